@@ -88,7 +88,7 @@ def grouped_percentiles(df: DataFrame, keys: list[str], wanted: dict[str, Pct])
         text = f"{want.value}|{want.scale}"
         if text not in ids:
             ids[text] = len(values)
-            unit = (want.value.cast("decimal(38,6)") * 10**want.scale).cast("long")
+            unit = (want.value.cast(f"decimal(38,{want.scale})") * 10**want.scale).cast("long")
             values.append((text, unit))
         ranks.setdefault(ids[text], []).append(
             F.struct(F.lit(i).alias("want"), F.lit(want.p).alias("p"), F.lit(want.upper).alias("upper"))

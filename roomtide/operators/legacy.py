@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import hours as H
+from ..functions.classify import OTHER
 from ..functions.scalars import ratio
 from ..functions.stats import Pct, aggregate_with_percentiles
 from ..keys import MARKET, VENUE_DAY
-from .market import OTHER, with_snapshot, with_venue
+from .market import with_snapshot, with_venue
 from .occupancy import known_category, with_masks
 
 

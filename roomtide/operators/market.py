@@ -8,14 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..functions.classify import OTHER
 from ..functions.geo import within_radius
 from ..functions.stats import Pct, aggregate_with_percentiles
 from ..keys import MARKET, MARKET_CODES, VENUE_DAY
 from .occupancy import known_category
 from .relational import latest_per
 
-OTHER = "other"
-
 
 # --- joins --------------------------------------------------------------------------------
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import hours as H
+from ..functions.classify import OTHER
 from ..functions.scalars import lead_days, ratio
 from ..keys import OBSERVED_RATE, RATE, VENUE_DAY
 
@@ -36,6 +37,11 @@ def on_day(obs: DataFrame, date) -> DataFrame:
     return obs if date is None else obs.where(F.col("observed_date") == F.lit(date).cast("date"))
 
 
+def on_or_before(obs: DataFrame, date) -> DataFrame:
+    """Observation days up to a date; prunes partitions."""
+    return obs.where(F.col("observed_date") <= F.lit(date).cast("date"))
+
+
 def with_masks(obs: DataFrame) -> DataFrame:
     """Adds `booked_mask`; a table that stores it is used as it is."""
     if "booked_mask" in obs.columns:
@@ -162,7 +168,7 @@ def clean_only(df: DataFrame) -> DataFrame:
     return df.where(~F.col("is_blocked_suspect"))
 
 
-def known_category(df: DataFrame, other: str) -> DataFrame:
+def known_category(df: DataFrame, other: str = OTHER) -> DataFrame:
     return df.where(F.col("category") != other)
 
 
@@ -175,7 +181,7 @@ def market_venues(fill: DataFrame, venues: DataFrame, other: str) -> DataFrame:
 
 def heatmap(
     obs: DataFrame, closed: DataFrame, fill: DataFrame, venues: DataFrame, date=None,
-    other: str = "other",
+    other: str = OTHER,
 ) -> DataFrame:
     """Open and booked hours per category, district, weekday and hour.
 
@@ -208,7 +214,7 @@ def heatmap(
 
 def lead_curve(
     obs: DataFrame, closed: DataFrame, fill: DataFrame, venues: DataFrame, date=None,
-    other: str = "other",
+    other: str = OTHER,
 ) -> DataFrame:
     """Open and booked hours per category, district and days ahead; districts must be known."""
     places = market_venues(fill, venues, other).where(F.col("sigungu").isNotNull())

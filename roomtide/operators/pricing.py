@@ -22,7 +22,7 @@ def price_baseline(obs: DataFrame, snap) -> DataFrame:
     day = obs.where(F.col("observed_date") == F.lit(snap).cast("date"))
     prices = day.select(*RATE, F.explode("hour_prices").alias("p")).where(F.col("p") > 0)
     counts = prices.groupBy(*RATE, "p").agg(F.count(F.lit(1)).alias("n"))
-    return counts.groupBy(*RATE).agg(F.percentile("p", 0.25, "n").alias("base_price"))
+    return counts.groupBy(*RATE).agg(F.percentile(F.col("p"), 0.25, F.col("n")).alias("base_price"))
 
 
 def guest_terms(rates: DataFrame, units: DataFrame, snap) -> DataFrame:
