@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .functions import hours as H
 from .keys import OBSERVATION, RATE
-from .operators import blocking, occupancy, revenue, settled
+from .operators import blocking, market, occupancy, revenue, settled
 from .session import shared_dir, stage
 from .sources.writers import replace_partition
 
@@ -260,6 +260,17 @@ class Panel:
     def day_pricing(self) -> revenue.Pricing:
         return self.pricing()
 
+    @cached_property
+    def past_pricing(self) -> revenue.Pricing:
+        days = settled.counted_days(self.observations, self.closed, AS_OF)
+        return revenue.pricing(
+            days, self.observations, self.rates, self.units, self.packages, AS_OF
+        )
+
+    @property
+    def base(self) -> DataFrame:
+        return market.venue_base(self.venues, self.snapshots, AS_OF)
+
     @cached_property
     def revenue(self) -> DataFrame:
         return stage(

@@ -35,6 +35,22 @@ def roll_last_seen(previous: DataFrame, new_obs: DataFrame) -> DataFrame:
     return latest_per(previous.unionByName(last_seen(new_obs)), RATE_DAY, "observed_date")
 
 
+def counted_days(
+    obs: DataFrame, closed: DataFrame, as_of, seen: DataFrame | None = None
+) -> DataFrame:
+    """Past days as last seen, with open hours and the booked ones among them."""
+    if seen is None:
+        picked = last_seen(past_seen_before(obs, as_of))
+    else:
+        picked = seen.where(F.col("target_date") < F.lit(as_of).cast("date"))
+    return picked.join(latest_closed_masks(closed, as_of), RATE).withColumns(
+        {
+            "open_mask": F.lit(H.FULL_DAY).bitwiseAND(F.bitwise_not(F.col("closed_mask"))),
+            "booked_mask": H.without("booked_mask", "closed_mask"),
+        }
+    )
+
+
 def venue_settled(
     obs: DataFrame, closed: DataFrame, rates: DataFrame, units: DataFrame, packages: DataFrame,
     as_of, final_lead: int = FINAL_LEAD, mult: int = S.DUMMY_MULTIPLE, cap: int = S.DUMMY_CAP,
@@ -46,16 +62,7 @@ def venue_settled(
     for rate types that are no longer offered. `seen` is a kept `last_seen` table.
     """
     day = F.lit(as_of).cast("date")
-    if seen is None:
-        picked = last_seen(past_seen_before(obs, as_of))
-    else:
-        picked = seen.where(F.col("target_date") < day)
-    days = picked.join(latest_closed_masks(closed, as_of), RATE).withColumns(
-        {
-            "open_mask": F.lit(H.FULL_DAY).bitwiseAND(F.bitwise_not(F.col("closed_mask"))),
-            "booked_mask": H.without("booked_mask", "closed_mask"),
-        }
-    )
+    days = counted_days(obs, closed, as_of, seen)
     p = pricing(days, obs, rates, units, packages, as_of, mult, cap, same_observation)
     final = F.col("lead_days") <= final_lead
     # One row per venue, date and lead; dates of several leads meet again in the venue sums.

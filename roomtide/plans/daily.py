@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,11 +32,13 @@ class Tables:
 
     def days_of(self, name: str, day: str) -> DataFrame:
         """Distinct days of a table; an absent table has none."""
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
-        at = hadoop.Path(self.path(name))
-        if not at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+        try:
+            table = self.read(name)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], f"{day} date")
-        return self.read(name).select(day).distinct()
+        return table.select(day).distinct()
 
 
 def derive_fill(t: Tables, date: str, other: str = OTHER) -> None:

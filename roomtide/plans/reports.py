@@ -20,7 +20,6 @@ from ..operators.market import revenue_per_area, revenue_rows, with_fill
 from ..operators.occupancy import future_only, known_category, with_masks
 from ..operators.relational import top_n
 
-ONE = F.lit(1)
 WIDE = ["sigungu", "eupmyeondong", "category"]
 
 
@@ -28,6 +27,10 @@ def _on(df: DataFrame, date, name: str = "observed_date") -> DataFrame:
     return df.where(F.col(name) == F.lit(date).cast("date"))
 
 
+def _n() -> Column:
+    return F.count(F.lit(1))
+
+
 def _clean() -> Column:
     return ~F.col("is_blocked_suspect")
 
@@ -44,7 +47,7 @@ def fill_summary(fill: DataFrame, date) -> DataFrame:
     return aggregate_with_percentiles(
         _on(fill, date), [],
         [
-            F.count(ONE).alias("spaces"), F.sum("booked_hours").alias("booked"),
+            _n().alias("spaces"), F.sum("booked_hours").alias("booked"),
             F.sum("open_slot_hours").alias("open_h"),
             _mean("open_hours_day", 2, 1).alias("avg_open_day"),
             _mean("fill_rate", 4, 1, 100).alias("avg_fill"),
@@ -66,7 +69,7 @@ def revenue_summary(revenue: DataFrame, fill: DataFrame, date) -> DataFrame:
     clean = lambda c: F.when(_clean(), F.col(c))
     return aggregate_with_percentiles(
         with_fill(_on(revenue, date), fill), [],
-        [F.count(ONE).alias("n"), F.count_if(F.col("short_booked_h") > 0).alias("active")],
+        [_n().alias("n"), F.count_if(F.col("short_booked_h") > 0).alias("active")],
         {
             "med": Pct(clean("rev_month_short")), "p90": Pct(clean("rev_month_short"), 90),
             "max_med": Pct(clean("rev_month_max")), "adr": Pct(clean("adr"), 50, 1),
@@ -89,7 +92,7 @@ def package_summary(revenue: DataFrame, date) -> DataFrame:
 
 def package_list_summary(packages: DataFrame, date) -> DataFrame:
     return _on(packages, date).agg(
-        F.count(ONE).alias("n_rows"), F.count_distinct("space_id").alias("spaces"),
+        _n().alias("n_rows"), F.count_distinct("space_id").alias("spaces"),
         F.count_if(F.col("shour") >= F.col("ehour")).alias("wrap"),
     )
 
@@ -120,15 +123,15 @@ def settled_vs_short(
 def settled_summary(settled: DataFrame, revenue: DataFrame, fill: DataFrame, as_of) -> DataFrame:
     day = _on(settled, as_of, "as_of")
     head = day.agg(
-        F.count(ONE).alias("n"), F.max("n_days").alias("max_days"),
+        _n().alias("n"), F.max("n_days").alias("max_days"),
         S.ratio(F.sum("n_days"), F.count("n_days"), 1, 6).alias("avg_days"),
         S.ratio(F.sum("n_days_final"), F.count("n_days_final"), 1, 6).alias("avg_final"),
         F.min("from_date").alias("from_d"), F.max("to_date").alias("to_d"),
-        F.count_if(F.col("booked_h") > 0).alias("active"), ONE.alias("one"),
+        F.count_if(F.col("booked_h") > 0).alias("active"), F.lit(1).alias("one"),
     )
     pairs = settled_vs_short(settled, revenue, fill, as_of)
     both = aggregate_with_percentiles(
-        pairs, [], [F.count(ONE).alias("n_compared"), ONE.alias("one")],
+        pairs, [], [_n().alias("n_compared"), F.lit(1).alias("one")],
         {
             "settled_day": Pct(F.col("rev_day"), 50, 1), "short_day": Pct(F.col("short_rev_day"), 50, 1)
         },
@@ -138,7 +141,7 @@ def settled_summary(settled: DataFrame, revenue: DataFrame, fill: DataFrame, as_
 
 def load_summary(obs: DataFrame, date) -> DataFrame:
     return _on(obs, date).agg(
-        F.count_distinct("space_id").alias("spaces"), F.count(ONE).alias("n_rows"),
+        F.count_distinct("space_id").alias("spaces"), _n().alias("n_rows"),
         F.min("target_date").alias("from_d"), F.max("target_date").alias("to_d"),
         F.sum("n_booked").alias("booked"), F.sum("n_slots").alias("slots"),
         S.ratio(F.sum("n_booked") * 100, F.sum("n_slots"), 1, 6).alias("pct"),
@@ -150,7 +153,7 @@ def overview(revenue: DataFrame, fill: DataFrame, venues: DataFrame, other: str
         known_category(venues, other).select("space_id"), "space_id"
     )
     return rows.agg(
-        F.count(ONE).alias("n"), F.count_if(_clean()).alias("clean"),
+        _n().alias("n"), F.count_if(_clean()).alias("clean"),
         F.count_if("is_blocked_suspect").alias("blocked"),
         F.count_if(_clean() & (F.col("short_booked_h") > 0)).alias("active"),
     )
@@ -182,7 +185,7 @@ def category_table(
     table = aggregate_with_percentiles(
         rows, ["category"],
         [
-            F.count(ONE).alias("n"), F.count_if(_clean()).alias("clean"),
+            _n().alias("n"), F.count_if(_clean()).alias("clean"),
             F.count_if(active).alias("active"),
         ],
         {
@@ -234,7 +237,7 @@ def market_candidate_counts(
     other: str = OTHER,
 ) -> DataFrame:
     table = market_table(revenue, fill, venues, snaps, min_clean, other)
-    return table.agg(F.count_if(F.col("p25") > 0).alias("n_above_zero"), F.count(ONE).alias("n_all"))
+    return table.agg(F.count_if(F.col("p25") > 0).alias("n_above_zero"), _n().alias("n_all"))
 
 
 def pattern_shares(obs: DataFrame, closed: DataFrame) -> DataFrame:
@@ -276,7 +279,7 @@ def blocking_audit_counts(
     return rows.agg(
         F.count_if(full).alias("n_full"), F.count_if(full & suspect).alias("suspect_full"),
         F.count_if(full & (F.col("n_distinct") == 1)).alias("identical_full"),
-        F.count(ONE).alias("n_all"), F.count_if(suspect).alias("suspect_all"),
+        _n().alias("n_all"), F.count_if(suspect).alias("suspect_all"),
     )
 
 
@@ -313,7 +316,7 @@ def supply_medians(
     place = rows if sido is None else rows.where(F.col("sido") == sido)
     chosen = place.where(F.col("category").isin(categories)).join(F.broadcast(top), "sigungu")
     table = aggregate_with_percentiles(
-        chosen, ["sigungu", "category"], [F.count(ONE).alias("n")],
+        chosen, ["sigungu", "category"], [_n().alias("n")],
         {
             "price": Pct(F.col("price"), upper=True),
             "pyeong": Pct(F.col("pyeong"), scale=2, digits=2, upper=True),
@@ -335,7 +338,7 @@ def snapshot_medians(rows: DataFrame, vintage: DataFrame, as_of) -> DataFrame:
     aged = aged.withColumn("pace", S.ratio("reviews", "months", 2, 12))
     some = lambda c: F.when(F.col(c) != 0, F.col(c))
     return aggregate_with_percentiles(
-        aged, ["category"], [F.count(ONE).alias("n")],
+        aged, ["category"], [_n().alias("n")],
         {
             "months": Pct(F.col("months"), upper=True), "reviews": Pct(F.col("reviews"), upper=True),
             "pace": Pct(F.col("pace"), scale=2, digits=2, upper=True),
@@ -356,7 +359,7 @@ def region_share(rows: DataFrame, n: int = 8) -> DataFrame:
 def observation_days(obs: DataFrame) -> DataFrame:
     """Rows, venues and last target date of each observation day."""
     return obs.groupBy("observed_date").agg(
-        F.count(ONE).alias("n_rows"), F.count_distinct("space_id").alias("spaces"),
+        _n().alias("n_rows"), F.count_distinct("space_id").alias("spaces"),
         F.max("target_date").alias("last_target"),
     )
 
