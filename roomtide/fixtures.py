@@ -39,18 +39,26 @@ class Panel:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        if name not in self._raw:
+            self._raw[name] = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        return self._raw[name]
 
     # --- base tables ----------------------------------------------------------------------
 
     @property
     def _ids(self) -> DataFrame:
-        return self.raw("supplier").select(F.col("s_suppkey").alias("space_id"))
+        # A small file of few ids that each expand to hundreds of rows: spread the ids first.
+        spread = self.spark.sparkContext.defaultParallelism
+        return self.raw("supplier").select(F.col("s_suppkey").alias("space_id")).repartition(spread)
 
-    @property
+    @cached_property
     def venues(self) -> DataFrame:
+        return stage(self._venues_rows(), "venues")
+
+    def _venues_rows(self) -> DataFrame:
         s = F.col("space_id")
         kind = F.element_at(
             F.array(F.lit("studio"), F.lit("practice"), F.lit("party")),
@@ -75,8 +83,11 @@ class Panel:
     def _per_day(self, df: DataFrame, days: list[str], name: str) -> DataFrame:
         return df.withColumn(name, F.explode(F.array(*[_d(d) for d in days])))
 
-    @property
+    @cached_property
     def snapshots(self) -> DataFrame:
+        return stage(self._snapshots_rows(), "snapshots")
+
+    def _snapshots_rows(self) -> DataFrame:
         s = F.col("space_id")
         rows = self._per_day(self._ids, OBSERVED, "snapshot_date")
         ago = (s * 11 % 120).cast("int")
@@ -92,8 +103,11 @@ class Panel:
     def _units(self) -> DataFrame:
         return self._ids.withColumn("product_id", F.explode(F.sequence(F.lit(0), F.lit(UNITS - 1))))
 
-    @property
+    @cached_property
     def units(self) -> DataFrame:
+        return stage(self._units_rows(), "units")
+
+    def _units_rows(self) -> DataFrame:
         rows = self._per_day(self._units, OBSERVED, "snapshot_date")
         return rows.select(
             "space_id", F.col("product_id").cast("long"), "snapshot_date",
@@ -101,8 +115,11 @@ class Panel:
             F.lit(8).alias("max_guest_capacity"),
         )
 
-    @property
+    @cached_property
     def rates(self) -> DataFrame:
+        return stage(self._rates_rows(), "rates")
+
+    def _rates_rows(self) -> DataFrame:
         p = F.col("product_id")
         yes = lambda c: F.when(c, F.lit("Y")).otherwise(F.lit("N"))
         return self._per_day(self._units, OBSERVED, "snapshot_date").select(
@@ -146,11 +163,11 @@ class Panel:
         block = F.when(nth % 5 != 0, F.lit(0x3FC00)).otherwise(F.lit(0))  # hours 10..17
         booked = F.when(suspect, block).otherwise(F.coalesce("runs", F.lit(0)))
         base = (F.lit(10000) + s % 20 * 1000).cast("int")
-        price = lambda h: (
-            F.when((s % 11 == 5) & (h == 23), F.lit(None))
-            .when((s % 7 == 3) & h.isin(12, 13), F.lit(999900))
-            .when(h >= 18, _div(base * 3, 2).cast("int"))
-            .otherwise(base)
+        noon = F.when(s % 7 == 3, F.lit(999900)).otherwise(base)
+        evening = _div(base * 3, 2).cast("int")
+        prices = F.concat(
+            F.array_repeat(base, 12), F.array_repeat(noon, 2), F.array_repeat(base, 4),
+            F.array_repeat(evening, 5), F.array(F.when(s % 11 != 5, evening)),
         )
         grid = self._calendar(self._units, OBSERVED)
         keys = ["space_id", "product_id", "observed_date", "target_date"]
@@ -164,7 +181,7 @@ class Panel:
             F.lit(24).alias("n_slots"), hours.alias("booked_hours"),
             F.bit_count("mask").cast("int").alias("n_booked"),
             F.when(s % 22 != 5, base).alias("price"),
-            F.transform(F.sequence(F.lit(0), F.lit(23)), price).alias("hour_prices"),
+            prices.alias("hour_prices"),
         )
 
     def _packages(self) -> DataFrame:

@@ -80,10 +80,11 @@ def hour_price(hour_prices, hour, price) -> Column:
     return F.coalesce(F.get(col(hour_prices), col(hour).cast("int")), col(price))
 
 
-def day_prices(hour_prices, price) -> Column:
-    """The 24 prices of a day, each falling back to the day's price."""
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(HOURS - 1)), lambda h: hour_price(hour_prices, h, price)
+def day_prices(hour_prices: str, price: str) -> Column:
+    """The 24 prices of a day, each falling back to the day's price. Spelled out, not a lambda,
+    so that it stays in generated code."""
+    return F.expr(
+        "array(" + ", ".join(f"coalesce(get({hour_prices}, {h}), {price})" for h in range(HOURS)) + ")"
     )
 
 

@@ -11,7 +11,7 @@ from ..functions.scalars import ratio
 from ..functions.stats import Pct, aggregate_with_percentiles
 from ..keys import MARKET, VENUE_DAY
 from .market import with_snapshot, with_venue
-from .occupancy import known_category, with_masks
+from .occupancy import hour_counts, known_category, with_masks
 
 
 def _not_past(obs: DataFrame) -> DataFrame:
@@ -70,14 +70,13 @@ def booking_heatmap_raw(obs: DataFrame, venues: DataFrame, other: str = OTHER) -
     """All 24 hours per category, district and weekday, closed or not."""
     days = with_masks(_not_past(obs))
     weekly = days.groupBy(*VENUE_DAY, "wday").agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.count_if(H.has_hour("booked_mask", h)).alias(f"b{h}") for h in range(H.HOURS)],
+        F.count(F.lit(1)).alias("n"), hour_counts().alias("b")
     )
     places = known_category(venues, other).select("space_id", "category", "sigungu", "dong_code")
     market = ["category", "sigungu", "dong_code", "observed_date", "wday"]
     sums = weekly.join(places, "space_id").groupBy(*market).agg(
         F.sum("n").alias("n_observations"),
-        F.array(*[F.sum(f"b{h}") for h in range(H.HOURS)]).alias("booked"),
+        F.expr(f"array({', '.join(f'sum(b[{h}])' for h in range(H.HOURS))})").alias("booked"),
     )
     cells = sums.select(*market, "n_observations", F.posexplode("booked").alias("hour", "n_booked"))
     return cells.withColumn("fill_rate", ratio("n_booked", "n_observations", 4, 6))

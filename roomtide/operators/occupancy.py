@@ -7,8 +7,6 @@ so the panel is never multiplied by 24.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,17 +47,18 @@ def with_masks(obs: DataFrame) -> DataFrame:
     return obs.withColumn("booked_mask", H.hour_mask("booked_hours"))
 
 
-def _hour_sum(h: int, cond: Column | None = None) -> Column:
-    booked = H.has_hour("booked_mask", h)
-    return F.count_if(booked if cond is None else booked & cond).cast("int")
+def _hour_sums(mask: str = "booked_mask", where: str = "true") -> list[str]:
+    """SQL texts of 24 sums: rows whose mask has the hour."""
+    return [f"count_if({where} AND getbit({mask}, {h}) = 1)" for h in range(H.HOURS)]
 
 
-def _per_hour(prefix: str) -> list[Column]:
-    return [F.col(f"{prefix}{h}") for h in range(H.HOURS)]
+def _named(sums: list[str], prefix: str) -> list[Column]:
+    return [F.expr(f"{text} AS {prefix}{h}") for h, text in enumerate(sums)]
 
 
-def _total(parts: list[Column]) -> Column:
-    return reduce(lambda a, b: a + b, parts)
+def hour_counts(mask: str = "booked_mask") -> Column:
+    """Array of the 24 sums, one aggregate without expanding rows."""
+    return F.expr(f"array({', '.join(_hour_sums(mask))})")
 
 
 def _closed_mask(min_days: int) -> Column:
@@ -72,13 +71,13 @@ def hour_class(obs: DataFrame, date=None, min_days: int = MIN_DAYS) -> DataFrame
     days = with_masks(future_only(on_day(obs, date)))
     sums = days.groupBy(*OBSERVED_RATE).agg(
         F.count(F.lit(1)).cast("int").alias("n_days"),
-        F.array(*[_hour_sum(h) for h in range(H.HOURS)]).alias("blocked"),
+        hour_counts().alias("blocked"),
     )
     n_blocked = F.col("n_blocked")
     return sums.select(
         *OBSERVED_RATE, "n_days", F.posexplode("blocked").alias("hour", "n_blocked")
     ).select(
-        *OBSERVED_RATE, "hour", "n_days", "n_blocked",
+        *OBSERVED_RATE, "hour", "n_days", n_blocked.cast("int").alias("n_blocked"),
         ((F.col("n_days") >= min_days) & (n_blocked == F.col("n_days"))).alias("is_closed"),
     )
 
@@ -130,13 +129,12 @@ def venue_fill(obs: DataFrame, date=None, min_days: int = MIN_DAYS) -> DataFrame
         F.count(F.lit(1)).alias("n"),
         F.count_if(near).alias("n_near"),
         _closed_mask(min_days).alias("closed_mask"),
-        *[_hour_sum(h).alias(f"b{h}") for h in range(H.HOURS)],
-        *[_hour_sum(h, near).alias(f"s{h}") for h in range(H.HOURS)],
+        *_named(_hour_sums(), "b"),
+        *_named(_hour_sums(where=f"datediff(target_date, observed_date) <= {NEAR_DAYS}"), "s"),
     )
     closed_n = H.n_hours("closed_mask")
-    still = lambda prefix: _total(
-        [F.when(H.has_hour("closed_mask", h), F.lit(0)).otherwise(c)
-         for h, c in enumerate(_per_hour(prefix))]
+    still = lambda prefix: F.expr(
+        " + ".join(f"if(getbit(closed_mask, {h}) = 1, 0, {prefix}{h})" for h in range(H.HOURS))
     )
     slim = rates.select(
         *OBSERVED_RATE, closed_n.alias("closed_n"),
@@ -190,23 +188,22 @@ def heatmap(
     """
     days = with_masks(future_only(on_day(obs, date)))
     weekly = days.groupBy(*OBSERVED_RATE, "wday").agg(
-        F.count(F.lit(1)).alias("n"), *[_hour_sum(h).alias(f"b{h}") for h in range(H.HOURS)]
+        F.count(F.lit(1)).alias("n"), *_named(_hour_sums(), "b")
     )
     joined = weekly.join(closed, OBSERVED_RATE).join(
         market_venues(fill, venues, other), VENUE_DAY
     )
-    is_open = lambda h: ~H.has_hour("closed_mask", h)
     market = ["category", "sigungu", "observed_date", "wday"]
+    opened = lambda value, h: f"sum(if(getbit(closed_mask, {h}) = 0, {value}, NULL))"
     sums = joined.groupBy(*market).agg(
-        *[F.sum(F.when(is_open(h), F.col("n"))).alias(f"o{h}") for h in range(H.HOURS)],
-        *[F.sum(F.when(is_open(h), F.col(f"b{h}"))).alias(f"k{h}") for h in range(H.HOURS)],
+        *[F.expr(f"{opened('n', h)} AS o{h}") for h in range(H.HOURS)],
+        *[F.expr(f"{opened(f'b{h}', h)} AS k{h}") for h in range(H.HOURS)],
     )
-    cells = F.array(
-        *[F.struct(F.lit(h).alias("hour"), F.col(f"o{h}").alias("n_open"),
-                   F.col(f"k{h}").alias("n_booked")) for h in range(H.HOURS)]
+    cells = ", ".join(
+        f"struct({h} AS hour, o{h} AS n_open, k{h} AS n_booked)" for h in range(H.HOURS)
     )
     return (
-        sums.select(*market, F.inline(cells))
+        sums.select(*market, F.expr(f"inline(array({cells}))"))
         .where(F.col("n_open").isNotNull())
         .select("*", ratio("n_booked", "n_open", 4, 6).alias("fill_rate"))
     )

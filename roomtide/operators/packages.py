@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import hours as H
-from ..functions.scalars import day_class, floor_amt
+from ..functions.scalars import HOLIDAY_CLASS, day_class, floor_amt
 from ..keys import OBSERVATION, RATE, UNIT
+from ..session import stage
 from .relational import best_per, latest_per
 
 WINDOW = ["shour", "ehour"]
@@ -52,15 +53,15 @@ def seen_windows(floors: DataFrame) -> DataFrame:
     return floors.groupBy(*UNIT, "target_date", *WINDOW).agg(F.min("pkg_floor").alias("pkg_floor"))
 
 
-def package_catalog(floors: DataFrame, calendar: DataFrame) -> DataFrame:
+def package_catalog(seen: DataFrame, calendar: DataFrame) -> DataFrame:
     """Cheapest amount per unit and window for each day class, with the cheapest of any day.
 
-    Two levels of minima. All classes of a window are one row with a small map, so a day that
-    needs prices finds its own class and the fallback with a single join.
+    Two levels of minima. All classes of a window are one row with a small map (8 classes), so a
+    day that needs prices finds its own class and the fallback in one place.
     """
     dclass = day_class("target_date", "day_is_holiday").alias("dclass")
     fine = (
-        floors.join(calendar, "target_date", "left")
+        seen.join(calendar, "target_date", "left")
         .groupBy(*UNIT, *WINDOW, dclass)
         .agg(F.min("pkg_floor").alias("pkg_floor"))
     )
@@ -77,81 +78,136 @@ def catalog_rows(catalog: DataFrame) -> DataFrame:
     )
 
 
-def package_need(priced: DataFrame, seen: DataFrame) -> DataFrame:
-    """(unit, day, day class) with sold hours but no package seen for that day. A unit whose rate
-    types disagree on the holiday flag appears with both classes."""
-    sold = priced.where(F.col("sold_mask") != 0).select(
-        *UNIT, "target_date", day_class("target_date", "is_holiday").alias("dclass")
+def sold_unit_days(priced: DataFrame) -> DataFrame:
+    """Units and days with sold hours and the day classes their rate types claim: two if they
+    disagree on the holiday flag."""
+    holiday = F.coalesce("is_holiday", F.lit(False))
+    days = priced.where(F.col("sold_mask") != 0).groupBy(*UNIT, "target_date").agg(
+        F.bool_or(holiday).alias("some"), F.bool_and(holiday).alias("all")
     )
-    return sold.distinct().join(
-        seen.select(*UNIT, "target_date").distinct(), [*UNIT, "target_date"], "left_anti"
+    classes = F.array_compact(
+        F.array(
+            F.when(F.col("some"), F.lit(HOLIDAY_CLASS)),
+            F.when(~F.col("all"), F.dayofweek("target_date") - 1),
+        )
     )
+    return days.select(*UNIT, "target_date", classes.alias("classes"))
 
 
-def package_fill(need: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Windows for days without seen packages: price of the same day class, else the cheapest."""
-    amount = F.coalesce(F.try_element_at("by_class", F.col("dclass")), F.col("any_floor"))
-    return need.join(catalog, UNIT).select(
-        *UNIT, "target_date", *WINDOW, amount.alias("pkg_floor")
-    )
+def day_windows(sold_days: DataFrame, seen: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Package windows of each sold unit-day as one array.
 
+    Windows seen for the day itself; without any, every window of the unit at the price of the
+    day's class, else at its cheapest. A unit has at most 24 x 24 different windows, which bounds
+    the arrays. Equal fillings of a day with two classes count as `copies` of one window.
+    """
+    entry = F.struct(*WINDOW, "pkg_floor", F.lit(1).alias("copies"))
+    by_day = seen.groupBy(*UNIT, "target_date").agg(F.collect_list(entry).alias("listed"))
+    by_unit = catalog.groupBy(*UNIT).agg(
+        F.collect_list(F.struct(*WINDOW, "by_class", "any_floor")).alias("known")
+    )
 
-def all_windows(seen: DataFrame, filled: DataFrame) -> DataFrame:
-    """Seen and filled windows; equal rows are one row with their number in `copies`, by which
-    the hourly sum of a hit counts."""
-    rows = seen.unionByName(filled)
-    return rows.groupBy(*UNIT, "target_date", *WINDOW, "pkg_floor").agg(
-        F.count(F.lit(1)).alias("copies")
+    def priced_for(w, dclass):
+        return F.coalesce(F.try_element_at(w["by_class"], dclass), w["any_floor"])
+
+    def filled(w):
+        first = priced_for(w, F.get("classes", F.lit(0)))
+        second = priced_for(w, F.coalesce(F.get("classes", F.lit(1)), F.get("classes", F.lit(0))))
+        two = F.size("classes") == 2
+        make = lambda amount, n: F.struct(
+            w["shour"].alias("shour"), w["ehour"].alias("ehour"), amount.alias("pkg_floor"),
+            F.lit(n).alias("copies"),
+        )
+        return (
+            F.when(~two, F.array(make(first, 1)))
+            .when(first == second, F.array(make(first, 2)))
+            .otherwise(F.array(make(first, 1), make(second, 1)))
+        )
+
+    substitute = F.flatten(F.transform("known", filled))
+    return (
+        sold_days.join(by_day, [*UNIT, "target_date"], "left")
+        .join(by_unit, UNIT, "left")
+        .select(*UNIT, "target_date", F.coalesce("listed", substitute).alias("windows"))
+        .where(F.col("windows").isNotNull())
     )
 
 
-def day_windows(windows: DataFrame) -> DataFrame:
-    return windows.where(F.col("shour") < F.col("ehour"))
+def window_rows(windows: DataFrame) -> DataFrame:
+    return windows.select(*UNIT, "target_date", F.inline("windows"))
 
 
-def overnight_windows(windows: DataFrame) -> DataFrame:
-    """Windows over midnight; one that ends at hour 0 is neither kind."""
-    return windows.where((F.col("shour") >= F.col("ehour")) & (F.col("ehour") > 0))
+def offered_days(priced: DataFrame, windows: DataFrame) -> DataFrame:
+    """Days with sold hours together with their windows."""
+    cols = ["lead_days", "sold_mask", "prices", "unit_floor"]
+    sold = priced.where(F.col("sold_mask") != 0).select(*OBSERVATION, *cols)
+    return sold.join(windows, [*UNIT, "target_date"])
 
 
-def package_hits(blocks: DataFrame, windows: DataFrame) -> DataFrame:
-    """Windows that lie inside a block of the same unit and day, with their hourly sum.
+def _runs(days: DataFrame) -> DataFrame:
+    """One row per block of sold hours of a day."""
+    runs = days.withColumn("h0", F.explode(H.mask_hours(H.run_starts("sold_mask"))))
+    return runs.withColumns(
+        {
+            "h1": F.col("h0") + H.run_length("sold_mask", "h0") - 1,
+            "blk": H.run_label("sold_mask", "h0"),
+        }
+    )
 
-    A block carries its day's prices, so the sum is taken in the row.
-    """
-    inside = (F.col("shour") >= F.col("h0")) & (F.col("ehour") - 1 <= F.col("h1"))
-    hits = blocks.join(day_windows(windows), [*UNIT, "target_date"]).where(inside)
+
+def package_hits(offered: DataFrame) -> DataFrame:
+    """Windows of one day that lie inside a block of the day, with their hourly sum. Days carry
+    their prices and windows, so nothing is joined."""
+    inside = F.filter(
+        "windows",
+        lambda w: (w["shour"] < w["ehour"]) & (w["shour"] >= F.col("h0"))
+        & (w["ehour"] - 1 <= F.col("h1")),
+    )
+    hits = _runs(offered).select(
+        *BLOCK, "lead_days", "prices", "unit_floor", F.inline(inside)
+    )
     total = H.span_sum("prices", "shour", "ehour") * F.col("unit_floor") * F.col("copies")
     return hits.select(*BLOCK, "lead_days", *WINDOW, "pkg_floor", total.alias("win_floor"))
 
 
 def overnight_hits(
-    blocks: DataFrame, windows: DataFrame, same_observation: bool = True
+    offered: DataFrame, priced: DataFrame, same_observation: bool = True
 ) -> DataFrame:
-    """Overnight windows whose first part lies in the last block of a day and whose second part
-    lies in the first block of the next day, both from the same observation unless told otherwise.
-    Two equi joins; the parts are summed in their rows."""
-    tail = blocks.where(F.col("h1") == 23).join(
-        overnight_windows(windows), [*UNIT, "target_date"]
-    ).where(F.col("shour") >= F.col("h0"))
-    evening = H.span_sum("prices", "shour", F.lit(H.HOURS)) * F.col("unit_floor")
-    tail = tail.select(
-        *BLOCK, "lead_days", *WINDOW, "pkg_floor", "copies", evening.alias("evening"),
-        F.date_add("target_date", 1).alias("next_date"),
+    """Windows over midnight whose evening lies in the last block of a day and whose morning lies
+    in the first block of the next day, both from the same observation unless told otherwise.
+
+    A window that ends at hour 0 is neither kind. One equi join of days that are sold at 23 h and
+    have such a window with days that are sold at 0 h.
+    """
+    last_start = F.array_max(H.mask_hours(H.run_starts("sold_mask")))
+    over = F.filter(
+        "windows",
+        lambda w: (w["shour"] >= w["ehour"]) & (w["ehour"] > 0) & (w["shour"] >= F.col("h0")),
+    )
+    tail = (
+        offered.where(H.has_hour("sold_mask", 23))
+        .withColumn("h0", last_start)
+        .select(
+            *OBSERVATION, "lead_days", "prices", "unit_floor",
+            H.run_label("sold_mask", "h0").alias("blk"),
+            F.date_add("target_date", 1).alias("next_date"), F.inline(over),
+        )
     )
-    head = blocks.where(F.col("h0") == 0).select(
-        *[F.col(c).alias(f"head_{c}") for c in [*RATE, "observed_date", "target_date", "h1"]],
-        F.col("blk").alias("blk_next"),
+    evening = H.span_sum("prices", "shour", F.lit(H.HOURS)) * F.col("unit_floor")
+    tail = tail.withColumn("evening", evening).drop("prices")
+    head = priced.where(H.has_hour("sold_mask", 0)).select(
+        *[F.col(c).alias(f"head_{c}") for c in [*RATE, "observed_date", "target_date"]],
+        H.run_length("sold_mask", F.lit(0)).alias("head_hours"),
         F.col("prices").alias("head_prices"), F.col("unit_floor").alias("head_floor"),
     )
     on = [F.col(c) == F.col(f"head_{c}") for c in RATE]
     on.append(F.col("next_date") == F.col("head_target_date"))
     if same_observation:
         on.append(F.col("observed_date") == F.col("head_observed_date"))
-    both = tail.join(head, on).where(F.col("head_h1") >= F.col("ehour") - 1)
+    both = tail.join(head, on).where(F.col("head_hours") >= F.col("ehour"))
     morning = H.span_sum("head_prices", F.lit(0), "ehour") * F.col("head_floor")
     return both.select(
-        *BLOCK, "lead_days", "blk_next", *WINDOW, "pkg_floor",
+        *BLOCK, "lead_days", H.run_label(F.lit(1), F.lit(0)).alias("blk_next"), *WINDOW, "pkg_floor",
         ((F.col("evening") + morning) * F.col("copies")).alias("win_floor"),
     )
 
@@ -169,23 +225,30 @@ def _best(hits: DataFrame) -> DataFrame:
 def choose_packages(day_hits: DataFrame, over_hits: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(chosen same-day windows, chosen overnight windows): at most one overnight window per last
     block, then at most one same-day window per block that does not touch the hours an overnight
-    window took at either end."""
+    window took at either end of the day.
+
+    The claims of overnight windows are one row per day: from which hour its last block and up to
+    which hour its first block is taken.
+    """
     over = _best(_with_cut(over_hits))
-    day = _with_cut(day_hits)
-    o = over.select(
-        *[F.col(c).alias(f"o_{c}") for c in [*BLOCK, "blk_next", *WINDOW]]
-    )
-    same = [F.col(c) == F.col(f"o_{c}") for c in [*RATE, "observed_date"]]
-    evening = [
-        *same, F.col("target_date") == F.col("o_target_date"), F.col("blk") == F.col("o_blk"),
-        F.col("ehour") - 1 >= F.col("o_shour"),
-    ]
-    morning = [
-        *same, F.col("target_date") == F.date_add("o_target_date", 1),
-        F.col("blk") == F.col("o_blk_next"), F.col("shour") < F.col("o_ehour"),
-    ]
-    free = day.join(o, evening, "left_anti").join(o, morning, "left_anti")
-    return _best(free), over
+    day = [*RATE, "observed_date", "target_date"]
+    evening = over.select(
+        *day, F.col("blk").alias("late_blk"), F.col("shour").alias("late_from"),
+        F.lit(None).cast("int").alias("early_blk"), F.lit(None).cast("int").alias("early_to"),
+    )
+    morning = over.select(
+        *RATE, "observed_date", F.date_add("target_date", 1).alias("target_date"),
+        F.lit(None).cast("int").alias("late_blk"), F.lit(None).cast("int").alias("late_from"),
+        F.col("blk_next").alias("early_blk"), F.col("ehour").alias("early_to"),
+    )
+    claims = evening.unionByName(morning).groupBy(*day).agg(
+        *[F.max(c).alias(c) for c in ("late_blk", "late_from", "early_blk", "early_to")]
+    )
+    late = (F.col("blk") == F.col("late_blk")) & (F.col("ehour") - 1 >= F.col("late_from"))
+    early = (F.col("blk") == F.col("early_blk")) & (F.col("shour") < F.col("early_to"))
+    taken = F.coalesce(late, F.lit(False)) | F.coalesce(early, F.lit(False))
+    free = _with_cut(day_hits).join(claims, day, "left").where(~taken)
+    return _best(free.drop("late_blk", "late_from", "early_blk", "early_to")), over
 
 
 def package_cuts(chosen_day: DataFrame, chosen_over: DataFrame) -> DataFrame:
@@ -194,15 +257,22 @@ def package_cuts(chosen_day: DataFrame, chosen_over: DataFrame) -> DataFrame:
     return chosen_over.select(*cols).unionByName(chosen_day.select(*cols))
 
 
+def package_windows(
+    priced: DataFrame, packages: DataFrame, obs: DataFrame, guest: DataFrame, snap
+) -> DataFrame:
+    """Windows of every sold unit-day, from the price list."""
+    seen = seen_windows(package_floors(packages, guest, snap))
+    catalog = package_catalog(seen, holiday_calendar(obs, snap))
+    return day_windows(sold_unit_days(priced), seen, catalog)
+
+
 def package_adjustment(
-    priced: DataFrame, blocks: DataFrame, packages: DataFrame, obs: DataFrame, guest: DataFrame,
-    snap, same_observation: bool = True,
+    priced: DataFrame, packages: DataFrame, obs: DataFrame, guest: DataFrame, snap,
+    same_observation: bool = True,
 ) -> DataFrame:
-    """All cuts of the priced days, from price list to chosen windows."""
-    floors = package_floors(packages, guest, snap)
-    seen = seen_windows(floors)
-    catalog = package_catalog(floors, holiday_calendar(obs, snap))
-    windows = all_windows(seen, package_fill(package_need(priced, seen), catalog))
-    day = package_hits(blocks, windows)
-    over = overnight_hits(blocks, windows, same_observation)
-    return package_cuts(*choose_packages(day, over))
+    """All cuts of the priced days, from price list to chosen windows. The days with windows feed
+    the same-day and the overnight branch, so they are written once."""
+    windows = package_windows(priced, packages, obs, guest, snap)
+    offered = stage(offered_days(priced, windows), "offered-days")
+    over = overnight_hits(offered, priced, same_observation)
+    return package_cuts(*choose_packages(package_hits(offered), over))

@@ -40,7 +40,7 @@ def pricing(
     terms = price_terms(price_baseline(obs, snap), guest)
     priced = stage(priced_days(days, terms, mult, cap), "priced-days")
     blocks = booking_blocks(priced)
-    cuts = package_adjustment(priced, blocks, packages, obs, guest, snap, same_observation)
+    cuts = package_adjustment(priced, packages, obs, guest, snap, same_observation)
     return Pricing(priced, blocks, cuts)
 
 

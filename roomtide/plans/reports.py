@@ -17,7 +17,7 @@ from ..functions.stats import (
 from ..keys import OBSERVED_RATE, UNIT, VENUE_DAY
 from ..operators.blocking import mode_share
 from ..operators.market import revenue_per_area, revenue_rows, with_fill
-from ..operators.occupancy import future_only, known_category, with_masks
+from ..operators.occupancy import future_only, hour_counts, known_category, with_masks
 from ..operators.relational import top_n
 
 WIDE = ["sigungu", "eupmyeondong", "category"]
@@ -244,10 +244,9 @@ def pattern_shares(obs: DataFrame, closed: DataFrame) -> DataFrame:
     """Pattern statistics over all observation days at once. A pattern is the count of each open
     booked hour; 24 sums stand for the merged list of hours."""
     days = with_masks(future_only(obs)).join(closed, OBSERVED_RATE)
-    mask = H.without("booked_mask", "closed_mask")
-    counts = F.array(*[F.count_if(H.has_hour(mask, h)) for h in range(H.HOURS)])
+    days = days.withColumn("m", H.without("booked_mask", "closed_mask"))
     patterns = days.groupBy(*UNIT, "target_date").agg(
-        counts.alias("hours"), F.sum(H.n_hours(mask)).alias("n_hours")
+        hour_counts("m").alias("hours"), F.sum(H.n_hours("m")).alias("n_hours")
     )
     shares = mode_share(patterns.where(F.col("n_hours") > 0), ["space_id"], "hours")
     return shares.select(

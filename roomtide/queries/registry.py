@@ -120,45 +120,43 @@ def booking_blocks(p: Panel) -> DataFrame:
     )
 
 
-def _settled_floors(p: Panel) -> DataFrame:
-    guest = pricing.guest_terms(p.rates, p.units, AS_OF)
-    return packages.package_floors(p.packages, guest, AS_OF)
+def _seen(p: Panel, snap: str) -> DataFrame:
+    guest = pricing.guest_terms(p.rates, p.units, snap)
+    return packages.seen_windows(packages.package_floors(p.packages, guest, snap))
 
 
-def _settled_catalog(p: Panel) -> DataFrame:
-    calendar = packages.holiday_calendar(p.observations, AS_OF)
-    return packages.package_catalog(_settled_floors(p), calendar)
+def _catalog(p: Panel, snap: str) -> DataFrame:
+    return packages.package_catalog(_seen(p, snap), packages.holiday_calendar(p.observations, snap))
+
+
+def _windows(p: Panel, priced: DataFrame, snap: str) -> DataFrame:
+    sold = packages.sold_unit_days(priced)
+    return packages.day_windows(sold, _seen(p, snap), _catalog(p, snap))
 
 
 @query
 def package_catalog(p: Panel) -> DataFrame:
-    return packages.catalog_rows(_settled_catalog(p))
+    return packages.catalog_rows(_catalog(p, AS_OF))
 
 
 @query
 def package_windows(p: Panel) -> DataFrame:
-    seen = packages.seen_windows(_settled_floors(p))
-    need = packages.package_need(p.past_pricing.priced, seen)
-    return packages.all_windows(seen, packages.package_fill(need, _settled_catalog(p)))
+    return packages.window_rows(_windows(p, p.past_pricing.priced, AS_OF))
 
 
-def _day_windows(p: Panel) -> DataFrame:
-    guest = pricing.guest_terms(p.rates, p.units, DAY)
-    floors = packages.package_floors(p.packages, guest, DAY)
-    seen = packages.seen_windows(floors)
-    catalog = packages.package_catalog(floors, packages.holiday_calendar(p.observations, DAY))
-    need = packages.package_need(p.day_pricing.priced, seen)
-    return packages.all_windows(seen, packages.package_fill(need, catalog))
+def _offered(p: Panel) -> DataFrame:
+    priced = p.day_pricing.priced
+    return packages.offered_days(priced, _windows(p, priced, DAY))
 
 
 @query
 def package_hits(p: Panel) -> DataFrame:
-    return packages.package_hits(p.day_pricing.blocks, _day_windows(p)).drop("observed_date")
+    return packages.package_hits(_offered(p)).drop("observed_date")
 
 
 @query
 def overnight_hits(p: Panel) -> DataFrame:
-    return packages.overnight_hits(p.day_pricing.blocks, _day_windows(p)).drop("observed_date")
+    return packages.overnight_hits(_offered(p), p.day_pricing.priced).drop("observed_date")
 
 
 @query
