@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import hours as H
-from .keys import OBSERVATION, RATE
+from .keys import RATE
 from .operators import blocking, market, occupancy, revenue, settled
 from .session import shared_dir, stage
 from .sources.writers import replace_partition
@@ -308,21 +308,3 @@ def panel(spark: SparkSession, sf_dir: str) -> Panel:
     if key not in _panels:
         _panels[key] = Panel(spark, sf_dir)
     return _panels[key]
-
-
-def landed_slots(obs: DataFrame, packages: DataFrame) -> DataFrame:
-    """Panel rows in the shape of landed slot records."""
-    text = lambda c: F.date_format(c, "yyyy-MM-dd")
-    time = obs.select(
-        *RATE, text("observed_date").alias("observed"), text("target_date").alias("d"), "wday",
-        F.when(F.col("is_holiday"), "Y").otherwise("N").alias("hday"), "n_slots",
-        F.col("booked_hours").alias("booked"), F.col("hour_prices").alias("hp"), "price",
-    )
-    package = packages.select(
-        F.lit("pkg").alias("kind"), *RATE, text("observed_date").alias("observed"),
-        text("target_date").alias("d"), "package_id", "name", "shour", "ehour", "price", "available",
-    )
-    return time.unionByName(package, allowMissingColumns=True)
-
-
-__all__ = ["OBSERVATION", "Panel", "landed_slots", "panel"]

@@ -331,7 +331,7 @@ MONTH_MS = 2_630_000_000
 def snapshot_medians(rows: DataFrame, vintage: DataFrame, as_of) -> DataFrame:
     """Per category the upper medians of age, reviews, review pace, price and area."""
     aged = rows.join(vintage.select("space_id", "registered"), "space_id", "left")
-    ms = F.datediff(F.lit(as_of).cast("date"), F.col("registered").cast("date")) * F.lit(86_400_000)
+    ms = F.datediff(F.lit(as_of).cast("date"), F.col("registered").cast("date")) * F.lit(86_400_000).cast("long")
     months = F.greatest(F.lit(1), F.floor(ms / MONTH_MS + 0.5)).cast("int")
     aged = aged.withColumn("months", F.when(F.col("registered").isNotNull(), months))
     aged = aged.withColumn("pace", S.ratio("reviews", "months", 2, 12))

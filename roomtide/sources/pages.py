@@ -36,7 +36,7 @@ def extract_embedded_json(
     Each text after a key begins with the object, and the JSON parser stops at its end, so no
     matching of braces is needed.
     """
-    tails = F.slice(F.split(page_state(html, fragment), _quoted(key)), 2, 2**31 - 1)
+    tails = F.filter(F.split(page_state(html, fragment), _quoted(key)), lambda t, i: i > 0)
     objects = F.transform(tails, lambda t: F.from_json(rewrite(F.concat(F.lit("{"), t)), schema))
     return F.get(F.filter(objects, lambda o: F.coalesce(accept(o), F.lit(False))), F.lit(0))
 

@@ -84,9 +84,10 @@ def read_slots(
     return split_slots(with_file_order(slots))
 
 
-def read_venue_meta(spark, path: str) -> DataFrame:
-    """JSON object {id: properties} -> one row per id; missing lists become empty."""
-    whole = spark.read.text(path, wholetext=True)
+def read_venue_meta(spark, path: str, whole_files: bool = True) -> DataFrame:
+    """JSON object {id: properties} -> one row per id; missing lists become empty. One object per
+    file, or one per line; the second form splits a large listing over tasks."""
+    whole = spark.read.text(path, wholetext=whole_files)
     rows = whole.select(F.explode(F.from_json("value", schemas.VENUE_META)).alias("id", "m"))
     lists = ("break_times", "break_days", "break_holidays")
     none = F.array().cast("array<string>")
