@@ -49,9 +49,11 @@ def suffix_min(df: DataFrame, order: str, value: str, out: str = "suffix_min") -
         df.repartitionByRange(order).withColumn("rng", F.spark_partition_id()), "suffix-min"
     )
     lows = parts.groupBy("rng").agg(F.min(value).alias("low"))
-    later = W.orderBy("rng").rowsBetween(1, W.unboundedFollowing)
+    # Descending order with a frame that grows from the front: a frame that shrinks towards the
+    # end would be evaluated anew for every row.
+    later = W.orderBy(F.desc("rng")).rowsBetween(W.unboundedPreceding, -1)
     after = lows.select("rng", F.min("low").over(later).alias("after"))
-    inside = W.partitionBy("rng").orderBy(order).rangeBetween(W.currentRow, W.unboundedFollowing)
+    inside = W.partitionBy("rng").orderBy(F.desc(order)).rangeBetween(W.unboundedPreceding, W.currentRow)
     return (
         parts.withColumn("here", F.min(value).over(inside))
         .join(F.broadcast(after), "rng")  # one row per range, at most the shuffle partition count
