@@ -183,25 +183,25 @@ def heatmap(
 ) -> DataFrame:
     """Open and booked hours per category, district, weekday and hour.
 
-    Days are summed per rate type and weekday before any join; the 24 hours are unfolded only
-    after the sums per market.
+    Days are summed per rate type and weekday, then per venue, then per market; the venue's
+    category and district join one row per venue and weekday, however many units a venue has. The
+    24 hours are unfolded only after the sums per market.
     """
     days = with_masks(future_only(on_day(obs, date)))
     weekly = days.groupBy(*OBSERVED_RATE, "wday").agg(
         F.count(F.lit(1)).alias("n"), *_named(_hour_sums(), "b")
     )
-    joined = weekly.join(closed, OBSERVED_RATE).join(
-        market_venues(fill, venues, other), VENUE_DAY
-    )
-    market = ["category", "sigungu", "observed_date", "wday"]
+    hours = range(H.HOURS)
     opened = lambda value, h: f"sum(if(getbit(closed_mask, {h}) = 0, {value}, NULL))"
-    sums = joined.groupBy(*market).agg(
-        *[F.expr(f"{opened('n', h)} AS o{h}") for h in range(H.HOURS)],
-        *[F.expr(f"{opened(f'b{h}', h)} AS k{h}") for h in range(H.HOURS)],
+    per_venue = weekly.join(closed, OBSERVED_RATE).groupBy(*VENUE_DAY, "wday").agg(
+        *[F.expr(f"{opened('n', h)} AS o{h}") for h in hours],
+        *[F.expr(f"{opened(f'b{h}', h)} AS k{h}") for h in hours],
     )
-    cells = ", ".join(
-        f"struct({h} AS hour, o{h} AS n_open, k{h} AS n_booked)" for h in range(H.HOURS)
+    market = ["category", "sigungu", "observed_date", "wday"]
+    sums = per_venue.join(market_venues(fill, venues, other), VENUE_DAY).groupBy(*market).agg(
+        *[F.expr(f"sum({c}{h}) AS {c}{h}") for c in "ok" for h in hours]
     )
+    cells = ", ".join(f"struct({h} AS hour, o{h} AS n_open, k{h} AS n_booked)" for h in hours)
     return (
         sums.select(*market, F.expr(f"inline(array({cells}))"))
         .where(F.col("n_open").isNotNull())

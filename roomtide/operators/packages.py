@@ -30,6 +30,13 @@ def latest_packages(packages: DataFrame, snap) -> DataFrame:
     return latest_per(slim, [*UNIT, "package_id", "target_date"], "observed_date")
 
 
+def roll_latest_packages(previous: DataFrame, new: DataFrame, snap) -> DataFrame:
+    """`latest_packages` brought forward by new observation days. The result can stand in for the
+    whole price history wherever `packages` is asked for."""
+    merged = previous.unionByName(latest_packages(new, snap))
+    return latest_per(merged, [*UNIT, "package_id", "target_date"], "observed_date")
+
+
 def holiday_calendar(obs: DataFrame, snap) -> DataFrame:
     """Public holidays as the snapshot day lists them; past days are therefore never holidays."""
     day = obs.where(F.col("observed_date") == F.lit(snap).cast("date"))

@@ -8,14 +8,16 @@ from pyspark.sql import functions as F
 
 from ..functions.classify import OTHER
 from ..keys import OBSERVED_RATE, RATE_DAY, VENUE_DAY
-from ..operators import blocking, occupancy, revenue, settled
+from ..operators import blocking, occupancy, packages, revenue, settled
 from ..sources.writers import replace_partition
 from .quality import MAX_DAYS, missing_days
 
 OBSERVATIONS, PACKAGES, RATES, UNITS = "observation", "package", "rate_snapshot", "unit_snapshot"
 VENUES = "venue"
 CLASSES, FILL, HEAT, LEAD = "hour_class", "venue_fill", "heatmap", "lead_curve"
-REVENUE, SETTLED, SEEN = "venue_revenue", "venue_settled", "last_seen"
+REVENUE, SETTLED = "venue_revenue", "venue_settled"
+SEEN, PRICES = "last_seen", "latest_packages"
+KEPT = "kept_on"
 
 
 class Tables:
@@ -58,30 +60,47 @@ def derive_fill(t: Tables, date: str, other: str = OTHER) -> None:
     replace_partition(lead, t.path(LEAD), value=date)
 
 
+def _kept(t: Tables, name: str, source: DataFrame, date: str, first, roll, sort: list[str]) -> DataFrame:
+    """A kept "latest per key" table as of `date`.
+
+    It is brought forward from the last state kept before `date` by the observation days since
+    then, so the history is read once and never again, and a day that is landed and derived twice
+    still counts in its last form. Remove the table to rebuild it after older days were corrected.
+    """
+    day = F.lit(date).cast("date")
+    days = t.days_of(name, KEPT).where(F.col(KEPT) < day)
+    last = days.agg(F.max(KEPT).alias("d")).collect()[0]["d"]  # one value
+    state = lambda d: t.read(name).where(F.col(KEPT) == F.lit(d).cast("date")).drop(KEPT)
+    upto = occupancy.on_or_before(source, date)
+    fresh = first(upto) if last is None else roll(state(last), upto.where(F.col("observed_date") > F.lit(last)))
+    replace_partition(fresh, t.path(name), KEPT, value=date, sort=sort)
+    return state(date)
+
+
+def latest_prices(t: Tables, date: str) -> DataFrame:
+    return _kept(
+        t, PRICES, t.read(PACKAGES), date,
+        lambda rows: packages.latest_packages(rows, date),
+        lambda kept, rows: packages.roll_latest_packages(kept, rows, date),
+        RATE_DAY,
+    )
+
+
 def derive_revenue(t: Tables, date: str) -> None:
     closed = occupancy.masks_of_classes(occupancy.on_day(t.read(CLASSES), date))
     result = revenue.venue_revenue(
-        t.read(OBSERVATIONS), closed, t.read(RATES), t.read(UNITS), t.read(PACKAGES), date
+        t.read(OBSERVATIONS), closed, t.read(RATES), t.read(UNITS), latest_prices(t, date), date
     )
     replace_partition(result, t.path(REVENUE), value=date, sort=["space_id"])
 
 
 def derive_settled(t: Tables, as_of: str) -> None:
-    """Counted revenue. The last observation of each day is taken from a kept table if there is
-    one, so that the old panel is not read again."""
-    obs = occupancy.on_or_before(t.read(OBSERVATIONS), as_of)
+    """Counted revenue, from the kept table of last observations and of latest package prices."""
+    obs = t.read(OBSERVATIONS)
+    seen = _kept(t, SEEN, obs, as_of, settled.last_seen, settled.roll_last_seen, RATE_DAY)
     closed = occupancy.masks_of_classes(t.read(CLASSES))
-    kept = [r[0] for r in t.days_of(SEEN, "kept_on").where(F.col("kept_on") < as_of)
-            .agg(F.max("kept_on")).collect()][0]
-    if kept is None:
-        seen = settled.last_seen(obs)
-    else:
-        before = t.read(SEEN).where(F.col("kept_on") == F.lit(kept)).drop("kept_on")
-        seen = settled.roll_last_seen(before, obs.where(F.col("observed_date") > F.lit(kept)))
-    replace_partition(seen, t.path(SEEN), "kept_on", value=as_of, sort=RATE_DAY)
-    seen = t.read(SEEN).where(F.col("kept_on") == F.lit(as_of).cast("date")).drop("kept_on")
     result = settled.venue_settled(
-        obs, closed, t.read(RATES), t.read(UNITS), t.read(PACKAGES), as_of, seen=seen
+        obs, closed, t.read(RATES), t.read(UNITS), latest_prices(t, as_of), as_of, seen=seen
     )
     replace_partition(result, t.path(SETTLED), "as_of", value=as_of, sort=["space_id"])
 

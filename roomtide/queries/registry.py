@@ -219,6 +219,16 @@ def latest_packages(p: Panel) -> DataFrame:
     )
 
 
+@query
+def latest_packages_rolled(p: Panel) -> DataFrame:
+    """The same from a kept table that is brought forward one observation day at a time."""
+    on = lambda d: p.packages.where(F.col("observed_date") == F.lit(d).cast("date"))
+    kept = packages.latest_packages(on(OBSERVED[0]), OBSERVED[0])
+    for day in OBSERVED[1:]:
+        kept = packages.roll_latest_packages(kept, on(day), day)
+    return kept.select(*UNIT, "package_id", "target_date", "observed_date", "price")
+
+
 # --- markets ------------------------------------------------------------------------------
 
 @query

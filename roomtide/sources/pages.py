@@ -10,35 +10,46 @@ from .. import schemas
 from ..functions.scalars import col, yes_no
 
 # Script fragment carrying a JSON string literal; ld+json block; detail key.
-FRAGMENT = r'self\.__next_f\.push\(\[1,("(?:[^"\\]|\\.)*")\]\)'
+# The quantifiers are possessive: a fragment may be megabytes long, and a backtracking group would
+# exhaust the stack.
+FRAGMENT = r'self\.__next_f\.push\(\[1,("(?:[^"\\]++|\\.)*+")\]\)'
 LD_JSON = r'(?s)application/ld\+json"?>(.*?)</script>'
 DETAIL_KEY = '"detail":{'
 
 
-def page_state(html, fragment: str = FRAGMENT) -> Column:
-    """All script fragments, unescaped and joined, so that a key cut in two is whole again.
-    Broken fragments are skipped; NULL where a page has none."""
+def _joined_fragments(html, fragment: str) -> Column:
     parts = F.regexp_extract_all(col(html), F.lit(fragment), F.lit(1))
     texts = F.transform(
         parts,
         lambda p: F.get_json_object(F.concat(F.lit('{"t":'), p, F.lit("}")), "$.t"),
     )
-    good = F.filter(texts, lambda t: t.isNotNull())
-    return F.when(F.size(good) > 0, F.array_join(good, ""))
+    return F.array_join(texts, "")  # skips NULL, that is broken fragments
 
 
-def extract_embedded_json(
+def page_state(html, fragment: str = FRAGMENT) -> Column:
+    """All script fragments, unescaped and joined, so that a key cut in two is whole again.
+    Broken fragments are skipped; NULL where a page has none."""
+    return F.nullif(_joined_fragments(html, fragment), F.lit(""))
+
+
+def embedded_objects(
     html, schema: DataType, accept, key: str = DETAIL_KEY, fragment: str = FRAGMENT,
     rewrite=lambda text: text,
 ) -> Column:
-    """First object after `key` that parses and that `accept` takes; else NULL.
+    """All objects after `key` that parse and that `accept` takes, in page order.
 
     Each text after a key begins with the object, and the JSON parser stops at its end, so no
     matching of braces is needed.
     """
-    tails = F.filter(F.split(page_state(html, fragment), _quoted(key)), lambda t, i: i > 0)
+    pieces = F.split(_joined_fragments(html, fragment), _quoted(key))
+    tails = F.filter(pieces, lambda t, i: i > 0)
     objects = F.transform(tails, lambda t: F.from_json(rewrite(F.concat(F.lit("{"), t)), schema))
-    return F.get(F.filter(objects, lambda o: F.coalesce(accept(o), F.lit(False))), F.lit(0))
+    return F.filter(objects, lambda o: F.coalesce(accept(o), F.lit(False)))
+
+
+def extract_embedded_json(html, schema: DataType, accept, **options) -> Column:
+    """First object after the key that `accept` takes; else NULL."""
+    return F.get(embedded_objects(html, schema, accept, **options), F.lit(0))
 
 
 def _quoted(text: str) -> str:
@@ -54,12 +65,6 @@ def is_venue_detail(d: Column) -> Column:
     return d["info"]["id"].isNotNull() & d["products"].isNotNull()
 
 
-def venue_detail(html) -> Column:
-    return normalize_detail(
-        extract_embedded_json(html, schemas.detail_schema(True), is_venue_detail, rewrite=_low_keys)
-    )
-
-
 def normalize_detail(detail) -> Column:
     """Lower-case spellings fill missing fields and booleans become 'Y'/'N'."""
     d = col(detail)
@@ -100,7 +105,16 @@ def extract_ld_json(html, type_name: str = "LocalBusiness") -> Column:
 
 
 def parse_pages(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Pages with `detail` and the business block; pages without a detail are dropped."""
-    return pages.select(
-        "*", venue_detail(html).alias("detail"), extract_ld_json(html).alias("local_business")
-    ).where(F.col("detail").isNotNull())
+    """Pages with `detail` and the business block; pages without a detail are dropped.
+
+    The detail is generated, not projected: a generator is evaluated once per page, while a
+    projected expression would be repeated in the NULL test and in every field access.
+    """
+    details = embedded_objects(
+        html, schemas.detail_schema(True), is_venue_detail, rewrite=_low_keys
+    )
+    found = pages.select("*", F.explode(F.slice(details, 1, 1)).alias("raw"))
+    return found.select(
+        *pages.columns, normalize_detail("raw").alias("detail"),
+        extract_ld_json(html).alias("local_business"),
+    )

@@ -98,6 +98,13 @@ def test_page_state_detail(spark):
     assert (rate.RSV_TP_CD, rate.charging_per_person, rate.is_extra_person_price_per_hour) == ("PKG", None, "N")
 
 
+def test_very_long_page_state(spark):
+    body = json.dumps({"info": {"id": 7, "desc": 'say "x" \\ ' * 200_000}, "products": []})
+    df = spark.createDataFrame([(1, push('"detail":'.replace(" ", "") + body.replace(': {"id"', ':{"id"')))],
+                               "page_id int, html string")
+    assert [(r.detail.info.id, len(r.detail.info.desc)) for r in pages.parse_pages(df).collect()] == [(7, 2_000_000)]
+
+
 def test_upsert_policies_and_idempotence(spark):
     old = observations(spark, [observation(1, [1])]).withColumn("wday", F.lit("old"))
     new = observations(spark, [observation(1, [1, 2], price=5), observation(2, [3])]).withColumn("wday", F.lit("new"))
