@@ -36,6 +36,7 @@ def main() -> None:
             "spark.ui.enabled": "false",
             # Small files: cut scans finer than a cluster would, so that all threads have work.
             "spark.sql.files.openCostInBytes": "262144",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
             "spark.python.sql.dataFrameDebugging.enabled": "false",
         },
     )

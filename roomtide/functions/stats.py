@@ -119,40 +119,42 @@ def grouped_percentiles(df: DataFrame, keys: list[str], wanted: dict[str, Pct])
     spot = F.col("p").cast("long") * (F.col("total") - 1)
     low = F.when(F.col("upper"), div(F.col("total"), F.lit(2))).otherwise(div(spot, F.lit(100)))
     part = F.when(F.col("upper"), F.lit(0)).otherwise(spot % 100)
+    both_ends = F.when(
+        F.col("part") > 0, F.array(F.col("low"), F.col("low") + 1)
+    ).otherwise(F.array(F.col("low")))
     targets = (
         ranked.select(*keys, "m", "b", "bn", "total", below.alias("below"), F.inline(per_value))
         .withColumn("part", part)
         .withColumn("low", low)
-        .withColumn("rank", F.explode(F.array(F.col("low"), F.col("low") + (F.col("part") > 0).cast("int"))))
+        .withColumn("rank", F.explode(both_ends))
         .where((F.col("below") <= F.col("rank")) & (F.col("rank") < F.col("below") + F.col("bn")))
         .select(
             *keys, "m", "b", "want", "part", (F.col("rank") - F.col("below")).alias("at"),
             (F.col("rank") == F.col("low")).alias("is_low"),
         )
-        .distinct()
     )
     in_class = W.partitionBy(*keys, "m", "b").orderBy("v").rowsBetween(W.unboundedPreceding, 0)
     placed = counts.withColumn("upto", F.sum("n").over(in_class))
     hits = join_on_keys(placed, targets, [*keys, "m", "b"], "inner").where(
         (F.col("upto") - F.col("n") <= F.col("at")) & (F.col("at") < F.col("upto"))
     )
-    ends = hits.groupBy(*keys, "want").agg(
-        F.max("part").alias("part"),
-        F.max(F.when(F.col("is_low"), F.col("v"))).alias("v0"),
-        F.max(F.when(~F.col("is_low"), F.col("v"))).alias("v1"),
-    )
-    step = (F.coalesce(F.col("v1"), F.col("v0")) - F.col("v0")).cast("decimal(20,0)")
-    hundredths = F.col("v0").cast("decimal(20,0)") * 100 + step * F.col("part").cast("decimal(3,0)")
+    # Per key and request one or two values: the lower end, and the upper end of a broken rank.
+    ends = []
+    for i in range(len(wanted)):
+        ends += [
+            F.expr(f"max(if(want = {i} AND is_low, v, NULL)) AS low{i}"),
+            F.expr(f"max(if(want = {i} AND NOT is_low, v, NULL)) AS high{i}"),
+            F.expr(f"max(if(want = {i}, part, NULL)) AS part{i}"),
+        ]
     out = []
     for i, (name, want) in enumerate(wanted.items()):
-        exact = F.max(F.when(F.col("want") == i, F.col("units")))
-        scaled = exact / F.lit(10 ** (want.scale + 2)).cast("decimal(12,0)")
-        out.append(
-            F.round(scaled.cast("decimal(38,10)"), want.digits)
-            .cast(f"decimal(18,{want.digits})")
-            .alias(name)
+        exact = (
+            f"(cast(low{i} AS decimal(20,0)) * 100 + cast(coalesce(high{i}, low{i}) - low{i}"
+            f" AS decimal(20,0)) * cast(part{i} AS decimal(3,0)))"
         )
-    return ends.select(*keys, "want", hundredths.alias("units")).groupBy(*keys).agg(*out)
+        scaled = f"cast({exact} / cast({10 ** (want.scale + 2)} AS decimal(12,0)) AS decimal(38,10))"
+        out.append(F.expr(f"cast(round({scaled}, {want.digits}) AS decimal(18,{want.digits}))").alias(name))
+    return hits.groupBy(*keys).agg(*ends).select(*keys, *out)
 
 
 def aggregate_with_percentiles(
