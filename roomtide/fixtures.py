@@ -7,6 +7,7 @@ scale factor, date-partitioned, as a landed panel would be; all operators read t
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -207,7 +208,7 @@ class Panel:
         )
 
     def _daily(self, df: DataFrame, label: str, sort: list[str]) -> DataFrame:
-        path = f"{shared_dir(self.spark)}/{label}-{id(self):x}"
+        path = f"{shared_dir(self.spark)}/{label}-{uuid.uuid4().hex}"
         replace_partition(df, path, "observed_date", sort=sort)
         schema = df.schema
         return self.spark.read.schema(schema).parquet(path).select(*df.columns)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.classify import OTHER
 from ..keys import OBSERVED_RATE, RATE_DAY, VENUE_DAY
 from ..operators import blocking, occupancy, packages, revenue, settled
+from ..session import staging_scope
 from ..sources.writers import replace_partition
 from .quality import MAX_DAYS, missing_days
 
@@ -88,10 +89,12 @@ def latest_prices(t: Tables, date: str) -> DataFrame:
 
 def derive_revenue(t: Tables, date: str) -> None:
     closed = occupancy.masks_of_classes(occupancy.on_day(t.read(CLASSES), date))
-    result = revenue.venue_revenue(
-        t.read(OBSERVATIONS), closed, t.read(RATES), t.read(UNITS), latest_prices(t, date), date
-    )
-    replace_partition(result, t.path(REVENUE), value=date, sort=["space_id"])
+    prices = latest_prices(t, date)
+    with staging_scope(t.spark):
+        result = revenue.venue_revenue(
+            t.read(OBSERVATIONS), closed, t.read(RATES), t.read(UNITS), prices, date
+        )
+        replace_partition(result, t.path(REVENUE), value=date, sort=["space_id"])
 
 
 def derive_settled(t: Tables, as_of: str) -> None:
@@ -99,10 +102,12 @@ def derive_settled(t: Tables, as_of: str) -> None:
     obs = t.read(OBSERVATIONS)
     seen = _kept(t, SEEN, obs, as_of, settled.last_seen, settled.roll_last_seen, RATE_DAY)
     closed = occupancy.masks_of_classes(t.read(CLASSES))
-    result = settled.venue_settled(
-        obs, closed, t.read(RATES), t.read(UNITS), latest_prices(t, as_of), as_of, seen=seen
-    )
-    replace_partition(result, t.path(SETTLED), "as_of", value=as_of, sort=["space_id"])
+    prices = latest_prices(t, as_of)
+    with staging_scope(t.spark):
+        result = settled.venue_settled(
+            obs, closed, t.read(RATES), t.read(UNITS), prices, as_of, seen=seen
+        )
+        replace_partition(result, t.path(SETTLED), "as_of", value=as_of, sort=["space_id"])
 
 
 def gaps(t: Tables, max_days: int = MAX_DAYS) -> DataFrame:

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,6 +39,24 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+_scope: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables staged inside the block when it ends. For runs that write their result
+    inside the block; frames that outlive it must not depend on staged tables."""
+    paths: list[str] = []
+    token = _scope.set(paths)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in paths:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write `df` once to the shared folder and return the written table.
 
@@ -45,5 +66,8 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    staged = _scope.get()
+    if staged is not None:
+        staged.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

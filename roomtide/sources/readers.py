@@ -58,11 +58,14 @@ def read_listing_reviews(spark, path: str) -> DataFrame:
 
 
 def with_file_order(df: DataFrame) -> DataFrame:
-    """`ordinal`: sorts rows as they follow each other in the files. A gzip file is read by one
-    task from front to back, so file name and running id order its rows."""
+    """`ordinal`: sorts rows as they follow each other in the files. A split is read from front to
+    back by one task, so file, start of the split and running id order its rows."""
     return df.withColumn(
         "ordinal",
-        F.struct(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("row")),
+        F.struct(
+            F.input_file_name().alias("file"), F.input_file_block_start().alias("start"),
+            F.monotonically_increasing_id().alias("row"),
+        ),
     )
 
 

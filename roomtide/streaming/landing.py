@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 from .. import schemas
 from ..keys import OBSERVATION
 from ..operators.ingest import load_observations
-from ..session import stage
+from ..session import stage, staging_scope
 from ..sources.writers import OBSERVATION_POLICY, replace_partition, upsert
 
 FILES_PER_BATCH = 1000
@@ -26,25 +26,29 @@ def ingest_stream(
     spark: SparkSession, folder: str, schema: StructType = schemas.SLOT,
     files_per_batch: int = FILES_PER_BATCH,
 ) -> DataFrame:
-    """Streaming frame over landed JSON lines; malformed lines are skipped."""
-    return (
+    """Streaming frame over landed JSON lines; malformed lines are skipped. Rows know when and in
+    which file they landed."""
+    rows = (
         spark.readStream.schema(schema)
         .option("mode", "DROPMALFORMED")
         .option("maxFilesPerTrigger", files_per_batch)
         .json(folder)
     )
+    return rows.select(
+        "*", F.col("_metadata.file_modification_time").alias("landed_at"),
+        F.col("_metadata.file_path").alias("landed_in"),
+    )
 
 
 def current_partitions(spark: SparkSession, path: str, days: DataFrame) -> DataFrame | None:
-    """The stored rows of the observation days in `days`, or None if there is no table yet. The
-    days of one batch are few; they prune the scan."""
+    """The stored rows of the observation days in `days`, or None if there is no table yet."""
     try:
         table = spark.read.schema(schemas.OBSERVATION).parquet(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
-    return table.join(F.broadcast(days), "observed_date", "left_semi").select(
+    return table.join(days, "observed_date", "left_semi").select(
         *[f.name for f in schemas.OBSERVATION.fields]
     )
 
@@ -52,16 +56,21 @@ def current_partitions(spark: SparkSession, path: str, days: DataFrame) -> DataF
 def upsert_batch(batch: DataFrame, path: str) -> None:
     """Merge one micro-batch into the date-partitioned observation table.
 
-    Within the batch the last record of a key counts. The merged days are written to the shared
-    folder first, because a partition cannot be overwritten while it is read; a batch that is
-    replayed after a failure gives the same table.
+    Within the batch the record of a key that landed last counts. The merged days are written to
+    the shared folder first, because a partition cannot be overwritten while it is read; a batch
+    that is replayed after a failure gives the same table.
     """
-    rows, _ = load_observations(batch.where(F.coalesce(F.col("kind") != "pkg", F.lit(True))))
-    new = stage(rows, "batch")
-    days = new.select("observed_date").distinct()
-    old = current_partitions(batch.sparkSession, path, days)
-    merged = new if old is None else stage(upsert(old, new, OBSERVATION, OBSERVATION_POLICY), "merged")
-    replace_partition(merged, path, sort=OBSERVATION)
+    order = F.struct("landed_at", "landed_in", F.monotonically_increasing_id().alias("row"))
+    time_rows = batch.where(F.coalesce(F.col("kind") != "pkg", F.lit(True)))
+    rows, _ = load_observations(time_rows.withColumn("ordinal", order))
+    with staging_scope(batch.sparkSession):
+        new = stage(rows, "batch")
+        days = new.select("observed_date").distinct()
+        old = current_partitions(batch.sparkSession, path, days)
+        merged = new
+        if old is not None:
+            merged = stage(upsert(old, new, OBSERVATION, OBSERVATION_POLICY), "merged")
+        replace_partition(merged, path, sort=OBSERVATION)
 
 
 def run_ingest(
@@ -70,7 +79,7 @@ def run_ingest(
 ) -> StreamingQuery:
     """Ingest everything that has landed since the last run, then stop."""
     def write(batch: DataFrame, _: int) -> None:
-        upsert_batch(batch.withColumn("ordinal", F.monotonically_increasing_id()), path)
+        upsert_batch(batch, path)
 
     query = (
         ingest_stream(spark, folder, files_per_batch=files_per_batch)

@@ -143,6 +143,15 @@ def test_stream_resumes_and_upserts(spark, tmp_path):
     ]
 
 
+def test_file_that_landed_later_wins_within_a_batch(spark, tmp_path):
+    folder, table, cp = (str(tmp_path / n) for n in ("in", "table", "cp"))
+    for name, hours, age in (("a", [1, 2, 3], 10), ("b", [1], 500), ("c", [1, 2], 100)):
+        path = lines(f"{folder}/{name}.json.gz", [slot("2026-01-03", hours)])
+        os.utime(path, (1_770_000_000 - age, 1_770_000_000 - age))
+    run_ingest(spark, folder, table, cp)
+    assert [r.n_booked for r in spark.read.schema(schemas.OBSERVATION).parquet(table).collect()] == [3]
+
+
 def test_daily_chain_and_backfill(spark, tmp_path):
     t = daily.Tables(spark, str(tmp_path))
     obs = observations(spark, [observation(n, [n % 24], observed=o) for o in (0, 1) for n in range(o + 1, 20)])
