@@ -86,7 +86,8 @@ def _messages(words: int, buckets: int, carry: bool):
             head["values"] = pack(deltas(values))
         slot = (short >> np.uint64(16)) * np.uint64(buckets) >> np.uint64(32)
         cuts = np.searchsorted(slot, np.arange(buckets + 1, dtype=np.uint64))
-        slots, data = [-1 - chunk % 4096], [pickle.dumps(head)]
+        # headers take slots of their own, spread by task and by chunk within the task
+        slots, data = [-1 - (31 * (chunk >> 24) + chunk % (1 << 24)) % 4096], [pickle.dumps(head)]
         for b in range(buckets):
             lo, hi = cuts[b], cuts[b + 1]
             if lo < hi:
