@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, rows
+from .common import batch_of, rows, slices
 
 START, END = "<|im_start|>", "<|im_end|>\n"
 BUDGET, HISTORY = 1024, 2
@@ -111,7 +111,7 @@ def _format(budget: int, history: int, count: Callable[[str], int]):
                 "n_repeated": (pa.int32(), [o[2] for o in out]), "text": (pa.string(), [o[3] for o in out]), "loss": (_SPAN, [o[4] for o in out]),
             })
 
-        for conv, group in groupby(rows(batches, "conv_id", "role", "text"), lambda r: r[0]):
+        for conv, group in groupby(rows(slices(batches), "conv_id", "role", "text"), lambda r: r[0]):
             for n, (turns, repeated) in enumerate(windows(((r, t) for _, r, t in group), budget, history, count)):
                 text, spans = format_turns(turns, repeated)
                 out.append((conv, n, repeated, text, spans))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from itertools import islice
 
@@ -33,6 +32,15 @@ def word_count(text: Column) -> Column:
     return F.coalesce(n, F.lit(0)).cast("long")
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows_each: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows in small slices, so that few texts at a time exist as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows_each):
+            yield batch.slice(at, rows_each)
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def utf8(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     """A text column as UTF-8 bytes. `bytes.lower` and `bytes.split` treat ASCII only, which is just
     the rule of the contracts: lower-case A-Z, words between \\x20 and \\x09-\\x0D."""
@@ -40,6 +48,14 @@ def utf8(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
 
 
+class _Numbers(dict):
+    """Gives each new key the next number; unlike a defaultdict over its own length, no reference cycle."""
+
+    def __missing__(self, key: bytes) -> int:
+        self[key] = n = len(self)
+        return n
+
+
 class Words:
     """Numbers words in order of first sight and keeps a 64-bit hash of each.
 
@@ -47,13 +63,12 @@ class Words:
     hashes do not depend on what was forgotten.
     """
 
-    def __init__(self, keep: int = 500_000) -> None:
+    def __init__(self, keep: int = 200_000) -> None:
         self.keep = keep
         self._reset()
 
     def _reset(self) -> None:
-        self.ids: defaultdict[bytes, int] = defaultdict()
-        self.ids.default_factory = self.ids.__len__
+        self.ids = _Numbers()
         self._hashes = np.empty(1 << 12, np.uint64)
         self._known = 0
 

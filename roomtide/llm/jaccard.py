@@ -36,11 +36,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import Words, batch_of, buckets_of, deltas, distinct, pack, rows, unpack, utf8
+from .common import Words, batch_of, buckets_of, deltas, distinct, pack, rows, slices, unpack, utf8
 from .components import components
 
 WORDS, SHARE = 5, 80
-CHUNK = 1_500_000
+CHUNK = 500_000
 MESSAGE = "slot int, chunk long, data binary"
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -98,7 +98,7 @@ def _messages(words: int, buckets: int, carry: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, base, n = Words(), TaskContext.get().partitionId() << 24, 0
         ids, digests, sets, held = [], [], [], 0
-        for batch in batches:
+        for batch in slices(batches):
             wanted = batch.column("digest").to_pylist() if carry else None
             for i, (key, text) in enumerate(zip(batch.column("doc_id").to_pylist(), utf8(batch, "text"), strict=True)):
                 s = shingle_set(vocabulary.hash_text(text), words)

@@ -36,11 +36,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from .common import Words, batch_of, buckets_of, crc_mod, deltas, pack, rows, unpack, utf8
+from .common import Words, batch_of, buckets_of, crc_mod, deltas, pack, rows, slices, unpack, utf8
 
 ORDER, DISCOUNT = 2, 0.75
 END, START = xxhash.xxh3_64_intdigest(b"\n</s>"), xxhash.xxh3_64_intdigest(b"\n<s>")
-CHUNK_TOKENS, STEP = 1_000_000, 1 / 32
+CHUNK_TOKENS, STEP = 500_000, 1 / 32
 MESSAGE = "slot int, data binary, counts binary"
 
 
@@ -168,7 +168,7 @@ def _word_counts(slots: int):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, counts, texts = Words(), np.zeros(0, np.int64), 0
-        for batch in batches:
+        for batch in slices(batches):
             for text in utf8(batch, "text"):
                 texts += 1
                 if text:
@@ -245,7 +245,7 @@ def _chunks(batches: Iterable[pa.RecordBatch], vocabulary: Vocabulary):
         tokens = np.concatenate([t for text in texts for t in (text, end)]) if texts else np.zeros(0, np.int64)
         return keys, numbers[tokens], counts[tokens], np.array(sizes, np.int64)
 
-    for batch in batches:
+    for batch in slices(batches):
         extra = list(zip(*(batch.column(n).to_pylist() for n in batch.schema.names if n != "text"), strict=True)) or [()] * len(batch)
         for key, text in zip(extra, utf8(batch, "text"), strict=True):
             keys.append(key)

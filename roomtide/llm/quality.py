@@ -29,13 +29,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import batch_of, crc_mod, utf8
+from .common import batch_of, crc_mod, slices, utf8
 from .toxicity import labelled_sample
 
 SAMPLE, BITS, ROUNDS, EPOCHS, PARTS, RATE, CUT = 16_000, 16, 4, 3, 8, 0.5, 0.5
 MASK = (1 << BITS) - 1
 _SHAPE = re.compile(rb"([A-Z])|([a-z\x80-\xff])|([0-9])|(.)", re.S)
-_KEEP = 300_000
+_KEEP = 150_000
 
 
 def shape(token: bytes) -> bytes:
@@ -64,7 +64,7 @@ def text_indices(n: int, distinct: int) -> tuple[int, ...]:
 
 
 def _features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         places, values = [], []
         for text in utf8(batch, "text"):
             tokens = (text or b"").split()
@@ -172,7 +172,7 @@ def grade_documents(docs: DataFrame, model: Ordinal, cut: float = CUT) -> DataFr
     """doc_id, expected_grade, p_above_0, p_above_1, selected (p_above_0 >= cut) of every document."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = model.scorer()
-        for batch in batches:
+        for batch in slices(batches):
             tails = [model.tails(score(t)) for t in utf8(batch, "text")]
             yield batch_of({
                 "doc_id": (pa.int64(), batch.column("doc_id")), "expected_grade": (pa.float64(), [sum(t) for t in tails]),
@@ -188,7 +188,7 @@ def select_documents(docs: DataFrame, model: Ordinal, cut: float = CUT) -> DataF
     """The selected documents, with all their columns."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = model.scorer()
-        for batch in batches:
+        for batch in slices(batches):
             yield batch.filter(pa.array([model.tails(score(t))[0] >= cut for t in utf8(batch, "text")], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

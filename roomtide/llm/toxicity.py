@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, crc_mod, rows
+from .common import batch_of, crc_mod, rows, slices
 from .mixing import hashed_unit
 
 SAMPLE, LEXICON, CUT = 20_000, 5_000, 0.3
@@ -137,11 +137,11 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen[1].clear()
         return out
 
-    for text, toxic in rows(batches, "text", "toxic"):
+    for text, toxic in rows(slices(batches), "text", "toxic"):
         words = {w for w in _WORD.findall((text or "").lower()) if len(w) > 2}
         seen[toxic].update("w" + w for w in words)
         seen[toxic].update({"s" + w[:k] for w in words for k in STEMS if len(w) > k})
-        if len(seen[0]) > 400_000:
+        if len(seen[0]) > 200_000:
             yield flush()
     yield flush()
 
@@ -149,7 +149,7 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _evidence(grammar: Grammar):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = grammar.automaton()
-        for batch in batches:
+        for batch in slices(batches):
             found = [grammar.evidence(t, automaton) for t in batch.column("text").to_pylist()]
             yield batch_of({
                 "toxic": (pa.int32(), batch.column("toxic")), "total": (pa.float64(), [f[0] for f in found]), "per_clause": (pa.float64(), [f[1] for f in found]),
@@ -202,7 +202,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lexicon: int
 def _score(grammar: Grammar):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = grammar.automaton()
-        for batch in batches:
+        for batch in slices(batches):
             found = [grammar.evidence(t, automaton) for t in batch.column("text").to_pylist()]
             yield batch_of({
                 "doc_id": (pa.int64(), batch.column("doc_id")), "score": (pa.float64(), [grammar.score(*f) for f in found]),
@@ -223,7 +223,7 @@ def keep_clean(docs: DataFrame, grammar: Grammar, cut: float = CUT) -> DataFrame
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = grammar.automaton()
-        for batch in batches:
+        for batch in slices(batches):
             low = [grammar.score(*grammar.evidence(t, automaton)) < cut for t in batch.column("text").to_pylist()]
             yield batch.filter(pa.array(low, pa.bool_()))
 

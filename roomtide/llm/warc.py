@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shared_dir, stage
-from .common import batch_of, rows, utf8
+from .common import batch_of, rows, slices, utf8
 
 # Fixed values of the seekable Zstandard format.
 SKIPPABLE_MAGIC, SEEKABLE_MAGIC = 0x184D2A5E, 0x8F92EAB1
@@ -140,7 +140,7 @@ class Bundle:
 def _write(folder: str, frame_bytes: int, bundle_bytes: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer, path = None, ""
-        for batch in batches:
+        for batch in slices(batches):
             out: list[tuple] = []
             for page_id, url, payload, first in zip(
                 batch.column("page_id").to_pylist(), batch.column("url").to_pylist(), utf8(batch, "html"),
