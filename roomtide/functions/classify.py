@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from .scalars import col
 
 OTHER = "기타"
-WEAK_CHARS = 500
 
 # Categories from the most specific to the least, each with its patterns.
 RULES: list[tuple[str, list[str]]] = [
@@ -52,8 +51,9 @@ def classify(strong, weak, rules=RULES, default: str = OTHER) -> Column:
     return F.coalesce(*_first_hit(s, rules), *_first_hit(w, rules), F.lit(default))
 
 
-def venue_category(detail, rules=RULES, default: str = OTHER) -> Column:
-    """Category of a venue page: names and tags count first, the description last."""
+def venue_category(detail, rules=RULES, default: str = OTHER, weak_chars: int | None = None) -> Column:
+    """Category of a venue page: names and tags count first, the description last. The whole
+    description counts unless `weak_chars` names how many of its first characters do."""
     d = col(detail)
     text = lambda c: F.coalesce(c, F.lit(""))
     none = F.array().cast("array<string>")
@@ -65,4 +65,5 @@ def venue_category(detail, rules=RULES, default: str = OTHER) -> Column:
         ),
         " ",
     )
-    return classify(strong, F.substring(d["info"]["desc"], 1, WEAK_CHARS), rules, default)
+    weak = d["info"]["desc"]
+    return classify(strong, weak if weak_chars is None else F.substring(weak, 1, weak_chars), rules, default)

@@ -214,8 +214,8 @@ def overnight_hits(
     both = tail.join(head, on).where(F.col("head_hours") >= F.col("ehour"))
     morning = H.span_sum("head_prices", F.lit(0), "ehour") * F.col("head_floor")
     return both.select(
-        *BLOCK, "lead_days", H.run_label(F.lit(1), F.lit(0)).alias("blk_next"), *WINDOW, "pkg_floor",
-        ((F.col("evening") + morning) * F.col("copies")).alias("win_floor"),
+        *BLOCK, "lead_days", "head_observed_date", H.run_label(F.lit(1), F.lit(0)).alias("blk_next"), *WINDOW,
+        "pkg_floor", ((F.col("evening") + morning) * F.col("copies")).alias("win_floor"),
     )
 
 
@@ -235,7 +235,8 @@ def choose_packages(day_hits: DataFrame, over_hits: DataFrame) -> tuple[DataFram
     window took at either end of the day.
 
     The claims of overnight windows are one row per day: from which hour its last block and up to
-    which hour its first block is taken.
+    which hour its first block is taken. A morning is claimed in the observation it was read from,
+    which may differ from the evening's.
     """
     over = _best(_with_cut(over_hits))
     day = [*RATE, "observed_date", "target_date"]
@@ -244,8 +245,8 @@ def choose_packages(day_hits: DataFrame, over_hits: DataFrame) -> tuple[DataFram
         F.lit(None).cast("int").alias("early_blk"), F.lit(None).cast("int").alias("early_to"),
     )
     morning = over.select(
-        *RATE, "observed_date", F.date_add("target_date", 1).alias("target_date"),
-        F.lit(None).cast("int").alias("late_blk"), F.lit(None).cast("int").alias("late_from"),
+        *RATE, F.col("head_observed_date").alias("observed_date"),
+        F.date_add("target_date", 1).alias("target_date"), F.lit(None).cast("int").alias("late_blk"), F.lit(None).cast("int").alias("late_from"),
         F.col("blk_next").alias("early_blk"), F.col("ehour").alias("early_to"),
     )
     claims = evening.unionByName(morning).groupBy(*day).agg(

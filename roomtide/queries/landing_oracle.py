@@ -217,5 +217,7 @@ def add_landing(put) -> None:
     ]
     put("daily_expectations", f"""
         SELECT day::VARCHAR AS day, rule, value, bound,
-          CASE WHEN kind = 'min' THEN value >= bound ELSE value <= bound END AS ok
-        FROM ({' UNION ALL '.join(parts)}) JOIN (VALUES {bounds}) r(rule, bound, kind) USING (rule)""")
+          coalesce(CASE WHEN kind = 'min' THEN value >= bound ELSE value <= bound END, false) AS ok
+        FROM (SELECT DISTINCT day FROM ({' UNION ALL '.join(parts)}))
+        CROSS JOIN (VALUES {bounds}) r(rule, bound, kind)
+        LEFT JOIN ({' UNION ALL '.join(parts)}) m USING (day, rule)""")

@@ -156,7 +156,7 @@ def package_hits(p: Panel) -> DataFrame:
 
 @query
 def overnight_hits(p: Panel) -> DataFrame:
-    return packages.overnight_hits(_offered(p), p.day_pricing.priced).drop("observed_date")
+    return packages.overnight_hits(_offered(p), p.day_pricing.priced).drop("observed_date", "head_observed_date")
 
 
 @query

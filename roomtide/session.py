@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -30,10 +31,14 @@ def build_session(app: str = "roomtide", master: str | None = None, **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the one the session names in spark.checkpoint.dir.
 
-    Only a session that names none (tests, local runs) gets a temporary folder.
+    Only a local session that names none (tests, local runs) gets a temporary folder: on a cluster
+    each executor would write to its own disk.
     """
     named = spark.conf.get(CHECKPOINT_DIR, None)
     if not named:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"{CHECKPOINT_DIR} must name a folder that all executors of {master} share")
         named = tempfile.mkdtemp(prefix="roomtide-")
         spark.conf.set(CHECKPOINT_DIR, named)
     return named.rstrip("/")

@@ -14,14 +14,24 @@ NEW, NEW_ELSE_OLD, OLD_ELSE_NEW = "new", "new_else_old", "old_else_new"
 
 
 def upsert(
-    old: DataFrame, new: DataFrame, keys: list[str], policy: dict[str, str] | str
+    old: DataFrame, new: DataFrame, keys: list[str], policy: dict[str, str] | str,
+    ordinal: str | None = None,
 ) -> DataFrame:
-    """Old table merged with new rows, unique by `keys` on both sides.
+    """Old table merged with new rows, unique by `keys` in the old table and in the result.
+
+    Of new rows with equal keys one counts: by `ordinal` (a column of `new`, not of `old`) the first
+    for "keep_old" and the last for other policies; without an ordinal any one of them.
 
     `policy` is "keep_old" (first write wins) or names the columns a matched row takes over:
     "new", "new_else_old" (NULL does not erase) or "old_else_new" (first value stays). Columns
     that are not named keep the old value. Rows without a partner pass unchanged.
     """
+    if ordinal:
+        rest = F.struct(*[c for c in old.columns if c not in keys])
+        pick = (F.min_by if policy == KEEP_OLD else F.max_by)(rest, ordinal).alias("r")
+        new = new.groupBy(*keys).agg(pick).select(*keys, "r.*").select(*old.columns)
+    else:
+        new = new.select(*old.columns).dropDuplicates(keys)
     if policy == KEEP_OLD:
         return old.unionByName(new.join(old.select(*keys), keys, "left_anti"))
     o = old.select(*keys, F.struct(*[c for c in old.columns if c not in keys]).alias("o"))
@@ -65,7 +75,7 @@ RUN_POLICY = dict.fromkeys(["spaces_ok", "spaces_gone", "reviews_seen"], NEW)
 def dedupe_last(df: DataFrame, keys: list[str], ordinal: str | Column) -> DataFrame:
     """Of rows with equal keys the one with the largest ordinal. An aggregate, so repeats already
     merge before the shuffle."""
-    rest = [c for c in df.columns if c not in keys and c != ordinal]
+    rest = [c for c in df.columns if c not in keys and not (isinstance(ordinal, str) and c == ordinal)]
     best = F.max_by(F.struct(*rest), col(ordinal)).alias("r")
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"r.{c}").alias(c) for c in rest])
 

@@ -14,10 +14,10 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from .. import schemas
-from ..keys import OBSERVATION
-from ..operators.ingest import load_observations
+from ..keys import OBSERVATION, PACKAGE
+from ..operators.ingest import load_observations, load_packages
 from ..session import stage, staging_scope
-from ..sources.writers import OBSERVATION_POLICY, replace_partition, upsert
+from ..sources.writers import OBSERVATION_POLICY, PACKAGE_POLICY, replace_partition, upsert
 
 FILES_PER_BATCH = 1000
 
@@ -40,46 +40,55 @@ def ingest_stream(
     )
 
 
-def current_partitions(spark: SparkSession, path: str, days: DataFrame) -> DataFrame | None:
+def current_partitions(
+    spark: SparkSession, path: str, days: DataFrame, schema: StructType = schemas.OBSERVATION
+) -> DataFrame | None:
     """The stored rows of the observation days in `days`, or None if there is no table yet."""
     try:
-        table = spark.read.schema(schemas.OBSERVATION).parquet(path)
+        table = spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
     return table.join(days, "observed_date", "left_semi").select(
-        *[f.name for f in schemas.OBSERVATION.fields]
+        *[f.name for f in schema.fields]
     )
 
 
-def upsert_batch(batch: DataFrame, path: str) -> None:
-    """Merge one micro-batch into the date-partitioned observation table.
+def _merge(new: DataFrame, path: str, schema: StructType, keys: list[str], policy: dict[str, str]) -> None:
+    new = stage(new, "batch")
+    old = current_partitions(new.sparkSession, path, new.select("observed_date").distinct(), schema)
+    merged = new if old is None else stage(upsert(old, new, keys, policy), "merged")
+    replace_partition(merged, path, sort=keys)
+
+
+def upsert_batch(batch: DataFrame, path: str, package_path: str) -> None:
+    """Merge one micro-batch into the date-partitioned observation and package tables.
 
     Within the batch the record of a key that landed last counts. The merged days are written to
     the shared folder first, because a partition cannot be overwritten while it is read; a batch
     that is replayed after a failure gives the same table.
     """
     order = F.struct("landed_at", "landed_in", F.monotonically_increasing_id().alias("row"))
-    time_rows = batch.where(F.coalesce(F.col("kind") != "pkg", F.lit(True)))
-    rows, _ = load_observations(time_rows.withColumn("ordinal", order))
     with staging_scope(batch.sparkSession):
-        new = stage(rows, "batch")
-        days = new.select("observed_date").distinct()
-        old = current_partitions(batch.sparkSession, path, days)
-        merged = new
-        if old is not None:
-            merged = stage(upsert(old, new, OBSERVATION, OBSERVATION_POLICY), "merged")
-        replace_partition(merged, path, sort=OBSERVATION)
+        landed = stage(batch.withColumn("ordinal", order), "landed")
+        package = F.coalesce(F.col("kind") == "pkg", F.lit(False))
+        times, _ = load_observations(landed.where(~package))
+        offers, _ = load_packages(landed.where(package))
+        _merge(times, path, schemas.OBSERVATION, OBSERVATION, OBSERVATION_POLICY)
+        _merge(offers, package_path, schemas.PACKAGE, PACKAGE, PACKAGE_POLICY)
 
 
 def run_ingest(
     spark: SparkSession, folder: str, path: str, checkpoint: str,
-    files_per_batch: int = FILES_PER_BATCH,
+    files_per_batch: int = FILES_PER_BATCH, package_path: str | None = None,
 ) -> StreamingQuery:
-    """Ingest everything that has landed since the last run, then stop."""
+    """Ingest everything that has landed since the last run, then stop. Package rows go to
+    `package_path`, beside the observations unless it is given."""
+    package_path = package_path or f"{path.rstrip('/')}-packages"
+
     def write(batch: DataFrame, _: int) -> None:
-        upsert_batch(batch, path)
+        upsert_batch(batch, path, package_path)
 
     query = (
         ingest_stream(spark, folder, files_per_batch=files_per_batch)

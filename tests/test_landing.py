@@ -143,6 +143,29 @@ def test_stream_resumes_and_upserts(spark, tmp_path):
     ]
 
 
+def test_stream_keeps_package_rows_of_mixed_files(spark, tmp_path):
+    folder, table, cp = (str(tmp_path / n) for n in ("in", "table", "cp"))
+    offer = {"kind": "pkg", "package_id": 9, "name": "night", "shour": 20, "ehour": 2, "available": "true"}
+    lines(folder + "/a.json.gz", [slot("2026-01-02", [1]), slot("2026-01-03", [1], price=500, **offer)])
+    run_ingest(spark, folder, table, cp)
+    lines(folder + "/b.json.gz", [slot("2026-01-03", [1], price=700, **offer)])
+    run_ingest(spark, folder, table, cp)
+    assert spark.read.schema(schemas.OBSERVATION).parquet(table).count() == 1
+    offers = spark.read.schema(schemas.PACKAGE).parquet(table + "-packages").collect()
+    assert [(r.package_id, r.price, r.available) for r in offers] == [(9, 700, True)]
+
+
+def test_upsert_resolves_repeats_within_the_new_rows(spark):
+    old = spark.createDataFrame([(1, "old")], "k long, v string")
+    new = spark.createDataFrame([(2, "a", 1), (2, "b", 2), (1, "c", 3)], "k long, v string, at long")
+    got = lambda policy, **o: sorted(tuple(r) for r in writers.upsert(old, new, ["k"], policy, **o).collect())
+    assert got(writers.KEEP_OLD, ordinal="at") == [(1, "old"), (2, "a")]
+    assert got({"v": writers.NEW}, ordinal="at") == [(1, "c"), (2, "b")]
+    assert len(got(writers.KEEP_OLD)) == 2
+    last = writers.dedupe_last(new, ["k"], F.col("at") * 2).collect()
+    assert {(r.k, r.v) for r in last} == {(1, "c"), (2, "b")}
+
+
 def test_file_that_landed_later_wins_within_a_batch(spark, tmp_path):
     folder, table, cp = (str(tmp_path / n) for n in ("in", "table", "cp"))
     for name, hours, age in (("a", [1, 2, 3], 10), ("b", [1], 500), ("c", [1, 2], 100)):

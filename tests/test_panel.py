@@ -223,8 +223,11 @@ def test_expectations_and_missing_days(spark):
         [(day(0), "observation_rows", Decimal(5)), (day(0), "attempts_failed_share", Decimal("0.04"))],
         "day date, rule string, value decimal(20,4)",
     )
-    got = {r.rule: r.ok for r in quality.daily_expectations(measures).collect()}
-    assert got == {"observation_rows": False, "attempts_failed_share": True}
+    got = {r.rule: (r.value, r.ok) for r in quality.daily_expectations(measures).collect()}
+    assert got.keys() == quality.RULES.keys()
+    assert got.pop("attempts_failed_share") == (Decimal("0.04"), True)
+    assert got.pop("observation_rows") == (Decimal(5), False)
+    assert set(got.values()) == {(None, False)}  # nothing was measured: the tables are missing
     d = lambda ns, c: spark.createDataFrame([(day(n),) for n in ns], f"{c} date")
     rows = quality.missing_days(
         d([1, 2, 3, 4], "observed_date"), d([1, 2, 4], "observed_date"), d([2, 4], "observed_date"), d([], "as_of"), 2
