@@ -129,13 +129,20 @@ def grouped_percentiles(df: DataFrame, keys: list[str], wanted: dict[str, Pct])
         .withColumn("rank", F.explode(both_ends))
         .where((F.col("below") <= F.col("rank")) & (F.col("rank") < F.col("below") + F.col("bn")))
         .select(
-            *keys, "m", "b", "want", "part", (F.col("rank") - F.col("below")).alias("at"),
-            (F.col("rank") == F.col("low")).alias("is_low"),
+            *keys, "m", "b", F.struct(
+                "want", "part", (F.col("rank") - F.col("below")).alias("at"),
+                (F.col("rank") == F.col("low")).alias("is_low"),
+            ).alias("target"),
         )
     )
+    # At most two ranks per request fall into a class. Classes without one are left out here, so
+    # only the others are put in order value by value.
+    asked = targets.groupBy(*keys, "m", "b").agg(F.collect_list("target").alias("targets"))
     in_class = W.partitionBy(*keys, "m", "b").orderBy("v").rowsBetween(W.unboundedPreceding, 0)
-    placed = counts.withColumn("upto", F.sum("n").over(in_class))
-    hits = join_on_keys(placed, targets, [*keys, "m", "b"], "inner").where(
+    placed = join_on_keys(counts, asked, [*keys, "m", "b"], "inner").withColumn(
+        "upto", F.sum("n").over(in_class)
+    )
+    hits = placed.select(*keys, "v", "n", "upto", F.inline("targets")).where(
         (F.col("upto") - F.col("n") <= F.col("at")) & (F.col("at") < F.col("upto"))
     )
     # Per key and request one or two values: the lower end, and the upper end of a broken rank.

@@ -54,7 +54,7 @@ def load_venues(
     a venue that is gone. A missing district name is borrowed from the first lot-style address
     with the same district code."""
     day = F.lit(date).cast("date")
-    pages = with_file_order(snapshots)
+    pages = snapshots if "ordinal" in snapshots.columns else with_file_order(snapshots)
     d = F.col("detail")
     ok = d.isNotNull()
     region = parse_region("detail.location.addr", "detail.location.cortar_no")

@@ -26,11 +26,14 @@ def add_landing(put) -> None:
         true AS available FROM pkg"""
     put("load_packages", package)
     put("flatten_packages", package)
+    put("streamed_packages", package)
     put("dedupe_last", f"""
         SELECT {DIGEST.replace("observed_date::VARCHAR AS observed_date", "'2026-01-02' AS observed_date")}
         FROM (FROM obs WHERE target_date >= DATE '2026-01-02'
               QUALIFY row_number() OVER (PARTITION BY {K3}, target_date ORDER BY observed_date DESC) = 1)""")
-    put("drop_past_count", f"SELECT count_if(target_date < DATE '{AS_OF}') AS n_skipped FROM obs")
+    put("drop_past_count", f"""
+        SELECT count_if(target_date < DATE '{AS_OF}') AS n_skipped
+        FROM (SELECT target_date FROM obs UNION ALL SELECT target_date FROM pkg)""")
     put("price_variance", f"""
         SELECT {K3}, max(n) AS n_hour_prices, count(DISTINCT hour_prices) AS n_day_patterns,
           CASE WHEN max(n) > 1 THEN 'by_hour' WHEN count(DISTINCT hour_prices) > 1 THEN 'by_day'
@@ -122,6 +125,12 @@ def add_landing(put) -> None:
     put("load_tags", """
         SELECT space_id, tag, rank FROM page, (VALUES ('tag a', 1), ('tag b', 2)) t(tag, rank)
         WHERE NOT is_gone""")
+    put("loaded_tags", """
+        SELECT space_id, tag, rank FROM page, (VALUES ('tag a', 1), ('tag b', 2)) t(tag, rank)
+        WHERE NOT is_gone""")
+    put("loaded_venues", f"""
+        SELECT space_id, '{DAY}' AS first_seen, '{AS_OF}' AS last_seen, is_gone,
+          CASE WHEN is_gone THEN '{DAY}' END AS gone_at, {live('category')} AS category FROM page""")
     C.add("target", """
         SELECT space_id, product_id, space_id * 100 + i * 10 AS rsv_type_id, '룸 ' || i AS product_name,
           NULLIF(space_id % 40 + i, 0)::DOUBLE AS pyeong, space_id % 9 + i AS max_guest, 10000 AS price,

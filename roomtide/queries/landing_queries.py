@@ -15,7 +15,8 @@ from ..functions.scalars import month_floor
 from ..functions.stats import value_share
 from ..keys import OBSERVED_RATE, RATE, RATE_DAY, UNIT
 from ..operators import ingest, occupancy, pricing, relational, vintage
-from ..plans import quality, reports
+from ..plans import load, quality, reports
+from ..plans.daily import Tables
 from ..session import shared_dir
 from ..sources import calendar, pages, readers, writers
 from ..streaming.landing import run_ingest
@@ -71,8 +72,8 @@ def dedupe_last(p: Panel) -> DataFrame:
 
 @query
 def drop_past_count(p: Panel) -> DataFrame:
-    """Rows whose target lies before the day of observation, counted."""
-    shifted = landed.slots(p.observations, p.packages.limit(0)).withColumn("observed", F.lit(AS_OF))
+    """Rows of both kinds whose target lies before the day of observation, counted."""
+    shifted = landed.slots(p.observations, p.packages).withColumn("observed", F.lit(AS_OF))
     return occupancy.drop_past(shifted, "d", "observed")[1]
 
 
@@ -357,6 +358,41 @@ def streamed_observations(p: Panel) -> DataFrame:
     return _digest(table)
 
 
+@query
+def streamed_packages(p: Panel) -> DataFrame:
+    """The package rows of the same mixed files."""
+    path = landed.land(landed.slots(p.observations, p.packages), "slots", "json")
+    root = f"{shared_dir(p.spark)}/stream-{uuid.uuid4().hex}"
+    run_ingest(p.spark, path, f"{root}/table", f"{root}/checkpoint", files_per_batch=8, package_path=f"{root}/offers")
+    table = p.spark.read.schema(schemas.PACKAGE).parquet(f"{root}/offers")
+    return table.select(
+        *RATE, "package_id", "observed_date", "target_date", "name", "shour", "ehour", "price", "available"
+    )
+
+
+@query
+def loaded_tags(p: Panel) -> DataFrame:
+    """Tags stored by the load plan from pages that landed twice, loaded on two days."""
+    return _loaded(p).read(load.TAGS).select("space_id", "tag", "rank")
+
+
+@query
+def loaded_venues(p: Panel) -> DataFrame:
+    """The venue table after the same two loads: first and last day seen, and the day it was gone."""
+    return _loaded(p).read(load.VENUES).select(
+        "space_id", "first_seen", "last_seen", "is_gone", "gone_at", "category"
+    )
+
+
+def _loaded(p: Panel) -> Tables:
+    tables = Tables(p.spark, f"{shared_dir(p.spark)}/loaded-{uuid.uuid4().hex}")
+    rows = landed.venue_pages(p)
+    pages = readers.read_snapshots(p.spark, landed.land(rows.unionByName(rows), "pages", "json"), readers.SKIP)
+    for day in (DAY, AS_OF):
+        load.load_pages(tables, pages, vintage.venue_vintage(p.listing), day)
+    return tables
+
+
 # --- generic operators --------------------------------------------------------------------
 
 @query

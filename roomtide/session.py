@@ -44,6 +44,51 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def _located(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _located(spark, path)
+    return fs.exists(at)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, at = _located(spark, path)
+    fs.delete(at, True)
+
+
+def put_in_place(spark: SparkSession, fresh: str, target: str) -> None:
+    """Make the finished folder `fresh` the folder `target`.
+
+    The old folder is set aside under a hidden name and removed last. Where a driver died between
+    the two renames, `restore` puts it back.
+    """
+    restore(spark, target)
+    fs, new = _located(spark, fresh)
+    at, old = (_located(spark, p)[1] for p in (target, _aside(target)))
+    fs.delete(old, True)
+    if fs.exists(at) and not fs.rename(at, old):
+        raise OSError(f"cannot set {target} aside")
+    if not fs.rename(new, at):
+        raise OSError(f"cannot move {fresh} to {target}")
+    fs.delete(old, True)
+
+
+def restore(spark: SparkSession, target: str) -> None:
+    """Put a folder back that was set aside and never replaced."""
+    fs, at = _located(spark, target)
+    old = _located(spark, _aside(target))[1]
+    if not fs.exists(at) and fs.exists(old):
+        fs.rename(old, at)
+
+
+def _aside(target: str) -> str:
+    parent, _, name = target.rstrip("/").rpartition("/")
+    return f"{parent}/.{name}.old"
+
+
 _scope: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 
@@ -58,8 +103,7 @@ def staging_scope(spark: SparkSession) -> Iterator[None]:
     finally:
         _scope.reset(token)
         for path in paths:
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+            remove(spark, path)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import col
+from ..session import put_in_place
 
 KEEP_OLD = "keep_old"
 NEW, NEW_ELSE_OLD, OLD_ELSE_NEW = "new", "new_else_old", "old_else_new"
@@ -86,13 +88,14 @@ def replace_partition(
 ) -> None:
     """Replace one partition (`value`, also by an empty result), or all that occur in `df`.
 
-    Running it twice changes nothing. Rows are not gathered per partition value: each task writes
+    The rows are complete in a hidden folder before the old ones are touched, so a rebuild that
+    fails leaves the old day readable. Running it twice changes nothing. Rows are not gathered per partition value: each task writes
     its own files, so a day of any size spreads over the cluster. Sorting inside the tasks keeps a
     key's rows together for compression, row-group skipping and map-side aggregation.
     """
     out = df.sortWithinPartitions(*sort) if sort else df
     if value is not None:
-        out.drop(partition).write.mode("overwrite").parquet(f"{path}/{partition}={value}")
+        replace_table(out.drop(partition), f"{path.rstrip('/')}/{partition}={value}")
         return
     (
         out.write.mode("overwrite")
@@ -102,6 +105,14 @@ def replace_partition(
     )
 
 
+def replace_table(df: DataFrame, path: str) -> None:
+    """Replace a whole folder once its new rows are written; `df` may read the old ones."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    fresh = f"{parent}/.{name}.{uuid.uuid4().hex}"
+    df.write.parquet(fresh)
+    put_in_place(df.sparkSession, fresh, path)
+
+
 def sorted_write(df: DataFrame, path: str, keys: list[str]) -> None:
     """JSON lines in key order: a range shuffle, then each task writes its range sorted."""
     df.orderBy(*keys).write.mode("overwrite").json(path)

@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 from .. import schemas
 from ..keys import OBSERVATION, PACKAGE
 from ..operators.ingest import load_observations, load_packages
-from ..session import stage, staging_scope
+from ..session import exists, remove, stage, staging_scope
 from ..sources.writers import OBSERVATION_POLICY, PACKAGE_POLICY, replace_partition, upsert
 
 FILES_PER_BATCH = 1000
@@ -55,19 +55,25 @@ def current_partitions(
     )
 
 
-def _merge(new: DataFrame, path: str, schema: StructType, keys: list[str], policy: dict[str, str]) -> None:
-    new = stage(new, "batch")
-    old = current_partitions(new.sparkSession, path, new.select("observed_date").distinct(), schema)
-    merged = new if old is None else stage(upsert(old, new, keys, policy), "merged")
-    replace_partition(merged, path, sort=keys)
+def _merge(
+    new: DataFrame, path: str, schema: StructType, keys: list[str], policy: dict[str, str], merged: str
+) -> None:
+    spark = new.sparkSession
+    if not exists(spark, f"{merged}/_SUCCESS"):
+        new = stage(new, "batch")
+        old = current_partitions(spark, path, new.select("observed_date").distinct(), schema)
+        rows = new if old is None else upsert(old, new, keys, policy)
+        rows.write.mode("overwrite").parquet(merged)
+    replace_partition(spark.read.schema(schema).parquet(merged), path, sort=keys)
 
 
-def upsert_batch(batch: DataFrame, path: str, package_path: str) -> None:
+def upsert_batch(batch: DataFrame, path: str, package_path: str, merged: str) -> None:
     """Merge one micro-batch into the date-partitioned observation and package tables.
 
     Within the batch the record of a key that landed last counts. The merged days are written to
-    the shared folder first, because a partition cannot be overwritten while it is read; a batch
-    that is replayed after a failure gives the same table.
+    the folder `merged` first and stay there until the next batch: if the driver dies while they
+    replace the stored days, the replay takes them from there instead of merging with days of
+    which some are already replaced or gone.
     """
     order = F.struct("landed_at", "landed_in", F.monotonically_increasing_id().alias("row"))
     with staging_scope(batch.sparkSession):
@@ -75,8 +81,8 @@ def upsert_batch(batch: DataFrame, path: str, package_path: str) -> None:
         package = F.coalesce(F.col("kind") == "pkg", F.lit(False))
         times, _ = load_observations(landed.where(~package))
         offers, _ = load_packages(landed.where(package))
-        _merge(times, path, schemas.OBSERVATION, OBSERVATION, OBSERVATION_POLICY)
-        _merge(offers, package_path, schemas.PACKAGE, PACKAGE, PACKAGE_POLICY)
+        _merge(times, path, schemas.OBSERVATION, OBSERVATION, OBSERVATION_POLICY, f"{merged}/observations")
+        _merge(offers, package_path, schemas.PACKAGE, PACKAGE, PACKAGE_POLICY, f"{merged}/packages")
 
 
 def run_ingest(
@@ -87,8 +93,11 @@ def run_ingest(
     `package_path`, beside the observations unless it is given."""
     package_path = package_path or f"{path.rstrip('/')}-packages"
 
-    def write(batch: DataFrame, _: int) -> None:
-        upsert_batch(batch, path, package_path)
+    kept = f"{checkpoint.rstrip('/')}-merged"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        remove(spark, f"{kept}/{batch_id - 1}")  # committed, as the next batch has begun
+        upsert_batch(batch, path, package_path, f"{kept}/{batch_id}")
 
     query = (
         ingest_stream(spark, folder, files_per_batch=files_per_batch)

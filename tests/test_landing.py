@@ -1,16 +1,18 @@
 import gzip
 import json
 import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
 from frames import day, observation, observations, package, packages, rates, units
-from roomtide import schemas
+from roomtide import schemas, session
 from roomtide.keys import OBSERVATION
 from roomtide.operators import ingest
 from roomtide.plans import daily
 from roomtide.sources import pages, readers, writers
+from roomtide.streaming import landing
 from roomtide.streaming.landing import run_ingest
 
 
@@ -155,6 +157,44 @@ def test_stream_keeps_package_rows_of_mixed_files(spark, tmp_path):
     assert [(r.package_id, r.price, r.available) for r in offers] == [(9, 700, True)]
 
 
+def test_batch_killed_while_it_replaces_days_is_replayed_whole(spark, tmp_path, monkeypatch):
+    folder, table, cp = (str(tmp_path / n) for n in ("in", "table", "cp"))
+    lines(folder + "/a.json.gz", [slot("2026-01-02", [1]), slot("2026-01-03", [1])])
+    run_ingest(spark, folder, table, cp)
+    lines(folder + "/b.json.gz", [slot("2026-01-03", [1, 2])])
+
+    def killed(df, path, **_):
+        shutil.rmtree(f"{path}/observed_date=2026-01-01")
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as m:
+        m.setattr(landing, "replace_partition", killed)
+        with pytest.raises(Exception, match="killed"):
+            run_ingest(spark, folder, table, cp)
+    run_ingest(spark, folder, table, cp)
+    rows = spark.read.schema(schemas.OBSERVATION).parquet(table).collect()
+    assert sorted((str(r.target_date), r.n_booked) for r in rows) == [("2026-01-02", 1), ("2026-01-03", 2)]
+
+
+def test_failed_rebuild_leaves_the_old_day(spark, tmp_path):
+    path = str(tmp_path / "t")
+    day = lambda values: spark.createDataFrame([(v,) for v in values], "v int").withColumn("d", F.lit("2026-01-01"))
+    stored = lambda: sorted(r.v for r in spark.read.parquet(path).collect())
+    writers.replace_partition(day([1, 2]), path, "d", value="2026-01-01")
+    bad = day([3]).withColumn("v", F.raise_error(F.lit("no")).cast("int"))
+    with pytest.raises(Exception):
+        writers.replace_partition(bad, path, "d", value="2026-01-01")
+    assert stored() == [1, 2]
+    # A driver that dies between the two renames leaves the day set aside.
+    os.rename(f"{path}/d=2026-01-01", f"{path}/.d=2026-01-01.old")
+    with pytest.raises(Exception):
+        writers.replace_table(bad.drop("d"), f"{path}/d=2026-01-01")
+    session.restore(spark, f"{path}/d=2026-01-01")
+    assert stored() == [1, 2]
+    writers.replace_partition(day([4]), path, "d", value="2026-01-01")
+    assert stored() == [4]
+
+
 def test_upsert_resolves_repeats_within_the_new_rows(spark):
     old = spark.createDataFrame([(1, "old")], "k long, v string")
     new = spark.createDataFrame([(2, "a", 1), (2, "b", 2), (1, "c", 3)], "k long, v string, at long")
