@@ -75,11 +75,6 @@ def is_booked(hours, hour) -> Column:
     return F.array_contains(col(hours), col(hour).cast("short"))
 
 
-def hour_price(hour_prices, hour, price) -> Column:
-    """Price of one hour, or the day's price where the hour has none."""
-    return F.coalesce(F.get(col(hour_prices), col(hour).cast("int")), col(price))
-
-
 def day_prices(hour_prices: str, price: str) -> Column:
     """The 24 prices of a day, each falling back to the day's price. Spelled out, not a lambda,
     so that it stays in generated code."""

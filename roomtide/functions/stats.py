@@ -12,35 +12,17 @@ from pyspark.sql import functions as F
 from .scalars import col, ratio
 
 
-def count_where(cond: Column) -> Column:
-    return F.count_if(cond)
-
-
 def sum_where(value, cond: Column | None = None) -> Column:
     v = col(value) if cond is None else F.when(cond, col(value))
     return F.coalesce(F.sum(v), F.lit(0))
 
 
-def count_distinct_where(value, cond: Column) -> Column:
-    return F.count_distinct(F.when(cond, col(value)))
-
-
 def count_distinct_tuple(*cols, cond: Column | None = None) -> Column:
     """Distinct composite values; a NULL member does not drop the tuple."""
     t = F.struct(*[col(c) for c in cols])
     return F.count_distinct(t if cond is None else F.when(cond, t))
 
 
-def any_true(value) -> Column:
-    return F.bool_or(F.coalesce(col(value), F.lit(False)))
-
-
-def ordered_list(value, cond: Column | None = None) -> Column:
-    """Ascending list with repeats. For groups bounded by their key only."""
-    v = col(value) if cond is None else F.when(cond, col(value))
-    return F.sort_array(F.collect_list(v))
-
-
 def join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Join on keys that may be NULL: NULL matches NULL, as it does in a group key."""
     r = right.select(*[F.col(c).alias(f"__{c}") if c in keys else F.col(c) for c in right.columns])
