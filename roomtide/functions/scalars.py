@@ -32,12 +32,16 @@ def _div(a: Column, b: Column) -> Column:
 def ratio(num, den, scale: int, precision: int = 18, times: Decimal = Decimal(1)) -> Column:
     """`num / den * times` of whole numbers, rounded half away from zero; NULL for den = 0.
 
-    Worked out in integers, so that the rounding does not depend on a floating-point quotient.
+    Worked out in integers, so that the rounding does not depend on a floating-point quotient; with
+    many digits in decimals, where twice the scaled numerator could pass a long.
     """
     up, down = times.as_integer_ratio()
     n = col(num).cast("long") * F.lit(up)
     d = F.nullif(col(den).cast("long"), F.lit(0).cast("long")) * F.lit(down)
-    units = _div(F.abs(n) * F.lit(2 * 10**scale) + d, d * 2)
+    twice = F.abs(n) * F.lit(2 * 10**scale)
+    if scale > 6:
+        twice, d = F.abs(n).cast("decimal(20,0)") * F.lit(Decimal(2 * 10**scale)), d.cast("decimal(20,0)")
+    units = _div(twice + d, d * 2)
     return _unscale(F.signum(n).cast("long") * units, scale, precision)
 
 
