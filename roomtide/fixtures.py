@@ -104,6 +104,13 @@ class Panel:
     def _units(self) -> DataFrame:
         return self._ids.withColumn("product_id", F.explode(F.sequence(F.lit(0), F.lit(UNITS - 1))))
 
+    @property
+    def _rate_types(self) -> DataFrame:
+        """Units with their rate types. Unit 1 has a second one: charged per person, dearer, without the
+        holiday flag, with an hour of its own that is always taken."""
+        types = F.when(F.col("product_id") == 1, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))).cast("array<bigint>")
+        return self._units.withColumn("rsv_type_id", F.explode(types))
+
     @cached_property
     def units(self) -> DataFrame:
         return stage(self._units_rows(), "units")
@@ -123,9 +130,9 @@ class Panel:
     def _rates_rows(self) -> DataFrame:
         p = F.col("product_id")
         yes = lambda c: F.when(c, F.lit("Y")).otherwise(F.lit("N"))
-        return self._per_day(self._units, OBSERVED, "snapshot_date").select(
-            "space_id", p.cast("long").alias("product_id"), F.lit(1).cast("long").alias("rsv_type_id"),
-            "snapshot_date", yes(p == 2).alias("charging_per_person"),
+        return self._per_day(self._rate_types, OBSERVED, "snapshot_date").select(
+            "space_id", p.cast("long").alias("product_id"), "rsv_type_id",
+            "snapshot_date", yes((p == 2) | (F.col("rsv_type_id") == 2)).alias("charging_per_person"),
             F.lit(4).alias("person_ceiling"), F.lit(5000).alias("extra_person_price"),
             yes(p % 2 == 0).alias("extra_per_hour"),
         )
@@ -163,22 +170,24 @@ class Panel:
         nth = F.datediff("target_date", _d(FIRST_DAY))
         block = F.when(nth % 5 != 0, F.lit(0x3FC00)).otherwise(F.lit(0))  # hours 10..17
         booked = F.when(suspect, block).otherwise(F.coalesce("runs", F.lit(0)))
-        base = (F.lit(10000) + s % 20 * 1000).cast("int")
+        second = F.col("rsv_type_id") == 2
+        base = (F.lit(10000) + s % 20 * 1000 + F.when(second, 2000).otherwise(0)).cast("int")
         noon = F.when(s % 7 == 3, F.lit(999900)).otherwise(base)
         evening = _div(base * 3, 2).cast("int")
         prices = F.concat(
             F.array_repeat(base, 12), F.array_repeat(noon, 2), F.array_repeat(base, 4),
             F.array_repeat(evening, 5), F.array(F.when(s % 11 != 5, evening)),
         )
-        grid = self._calendar(self._units, OBSERVED)
+        grid = self._calendar(self._rate_types, OBSERVED)
         keys = ["space_id", "product_id", "observed_date", "target_date"]
-        full = grid.join(self._runs, keys, "left").withColumn("mask", closed.bitwiseOR(booked))
+        full = grid.join(self._runs, keys, "left").withColumn(
+            "mask", closed.bitwiseOR(booked).bitwiseOR(F.when(second, F.lit(1 << 9)).otherwise(F.lit(0)))
+        )
         hours = H.mask_hours("mask").cast("array<smallint>")
         return full.select(
-            "space_id", p.cast("long").alias("product_id"), F.lit(1).cast("long").alias("rsv_type_id"),
-            "observed_date", "target_date",
+            "space_id", p.cast("long").alias("product_id"), "rsv_type_id", "observed_date", "target_date",
             (F.dayofweek("target_date") - 1).cast("string").alias("wday"),
-            (F.col("target_date") == _d(HOLIDAY)).alias("is_holiday"),
+            ((F.col("target_date") == _d(HOLIDAY)) & ~second).alias("is_holiday"),
             F.lit(24).alias("n_slots"), hours.alias("booked_hours"),
             F.bit_count("mask").cast("int").alias("n_booked"),
             F.when(s % 22 != 5, base).alias("price"),
@@ -187,7 +196,7 @@ class Panel:
 
     def _packages(self) -> DataFrame:
         """Four windows on units 0..3, seen from the second observation on; the last one ends at
-        midnight and never matches."""
+        midnight and never matches. Unit 1 sells them under its second rate type."""
         s = F.col("space_id")
         base = F.lit(10000) + s % 20 * 1000
         windows = [(1, 10, 14, 4), (2, 18, 22, 6), (3, 22, 2, 5), (4, 20, 0, 6)]
@@ -199,8 +208,8 @@ class Panel:
         amount = _div(base * F.col("k") * 7, 10)
         weekend = F.dayofweek("target_date").isin(1, 7)
         return rows.select("*", each).select(
-            "space_id", F.col("product_id").cast("long"), F.lit(1).cast("long").alias("rsv_type_id"),
-            "package_id", "observed_date", "target_date",
+            "space_id", F.col("product_id").cast("long"),
+            F.when(F.col("product_id") == 1, 2).otherwise(1).cast("long").alias("rsv_type_id"), "package_id", "observed_date", "target_date",
             F.concat(F.lit("package "), F.col("package_id").cast("string")).alias("name"),
             "shour", "ehour",
             F.when(weekend, _div(amount * 6, 5)).otherwise(amount).cast("int").alias("price"),
@@ -278,16 +287,19 @@ class Panel:
     def day_pricing(self) -> revenue.Pricing:
         return self.pricing()
 
-    @cached_property
-    def past_pricing(self) -> revenue.Pricing:
+    def counted_pricing(self, **options) -> revenue.Pricing:
         days = settled.counted_days(self.observations, self.closed, AS_OF)
         return revenue.pricing(
-            days, self.observations, self.rates, self.units, self.packages, AS_OF
+            days, self.observations, self.rates, self.units, self.packages, AS_OF, **options
         )
 
-    @property
+    @cached_property
+    def past_pricing(self) -> revenue.Pricing:
+        return self.counted_pricing()
+
+    @cached_property
     def base(self) -> DataFrame:
-        return market.venue_base(self.venues, self.snapshots, AS_OF)
+        return stage(market.venue_base(self.venues, self.snapshots, AS_OF), "venue-base")
 
     @cached_property
     def revenue(self) -> DataFrame:

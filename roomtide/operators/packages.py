@@ -68,7 +68,7 @@ def package_catalog(seen: DataFrame, calendar: DataFrame) -> DataFrame:
     """
     dclass = day_class("target_date", "day_is_holiday").alias("dclass")
     fine = (
-        seen.join(calendar, "target_date", "left")
+        seen.join(F.broadcast(calendar), "target_date", "left")  # one row per date of the calendar
         .groupBy(*UNIT, *WINDOW, dclass)
         .agg(F.min("pkg_floor").alias("pkg_floor"))
     )

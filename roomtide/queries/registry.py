@@ -169,6 +169,12 @@ def package_cuts_settled(p: Panel) -> DataFrame:
     return p.past_pricing.cuts
 
 
+@query
+def package_cuts_any_observation(p: Panel) -> DataFrame:
+    """Windows over midnight may end in a morning that was last seen in another observation."""
+    return p.counted_pricing(same_observation=False).cuts
+
+
 @query
 def venue_revenue(p: Panel) -> DataFrame:
     return p.venue_revenue(DAY)

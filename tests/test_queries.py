@@ -12,7 +12,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables are
 
 CHECKED = [
     "hour_class", "venue_fill", "flagged_fill", "heatmap", "lead_curve", "booking_blocks", "package_windows",
-    "overnight_hits", "venue_revenue", "venue_settled", "market_by_dong", "booking_market", "blocking_audit",
+    "overnight_hits", "package_cuts", "package_cuts_any_observation", "venue_revenue", "venue_settled", "market_by_dong", "booking_market", "blocking_audit",
     "load_observations", "load_venues", "embedded_detail", "upsert_observations", "streamed_observations", "streamed_packages", "loaded_tags",
     "loaded_venues", "drop_past_count", "same_rows",
 ]
