@@ -14,11 +14,17 @@ Jaccard 0.8 when their overlap reaches T = ceil(80 (m + n) / 180). The search, a
    short hits plus open long lists fall short of T is given up before.
 4. First every member of a short list is checked against its two end members, and links give
    components. Then only pairs that share a short list and are still in different components are
-   checked, so a large group of near copies costs its members, not their pairs, and no link between
-   components is lost.
+   checked, so that the components are found without all pairs of a large group.
+5. Every link lies inside a component, so `jaccard_links` counts them there: the sets of a component
+   are dealt in salted blocks, and a task takes the overlaps of all pairs of its block at once as a
+   product of 0/1 matrices. Only a count per set leaves the task, no row per pair.
+
+n_links of a row is the number of other documents that reach 0.8 with it; rows of equal doc_id and equal
+set are one document, so a set of k documents counts k times, for its own members k - 1 times.
 
 Nulls and empty texts have an empty set and no partner. Rows that share a doc_id are one node;
-a null doc_id keeps a null component. Other columns of the input are ignored.
+a null doc_id keeps a null component
+and has no links. Other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -41,6 +47,8 @@ from .components import components
 
 WORDS, SHARE = 5, 80
 CHUNK = 500_000
+#: Sets and shingles in one side of a block of a component, and shared shingles in one matrix.
+BLOCK, BLOCK_SHINGLES, COLUMNS = 512, 1_000_000, 4096
 MESSAGE = "slot int, chunk long, data binary"
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -182,10 +190,11 @@ def _ordered(share: int):
                 single = int((frequency[mine] == 1).sum())
                 short = values[mine[single:short_lists(n, share)]]
                 if len(short):
-                    out.append((key, n, single, short.tobytes(), np.sort(values[mine]).tobytes()))
+                    out.append((key, n, single, short.tobytes(), np.sort(values[mine]).tobytes(), head["digests"][i]))
             yield batch_of({
                 "id": (pa.int64(), [o[0] for o in out]), "n": (pa.int32(), [o[1] for o in out]), "skip": (pa.int32(), [o[2] for o in out]),
                 "short": (pa.binary(), [o[3] for o in out]), "shingles": (pa.binary(), [o[4] for o in out]),
+                "digest": (pa.binary(), [o[5] for o in out]),
             })
 
     return run
@@ -241,8 +250,98 @@ def _links(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     return pairs.join(x, "u").join(y, "v").mapInArrow(_verify(share), "u long, v long")
 
 
+def overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """|x & y| of every x of `a` and every y of `b`, each sorted and distinct."""
+    out = np.zeros((len(a), len(b)), np.int64)
+    values = [np.concatenate(x) if x else np.empty(0, np.uint64) for x in (a, b)]
+    shared = np.intersect1d(distinct(values[0]), distinct(values[1]), assume_unique=True)
+    if not len(shared):
+        return out
+    held = []
+    for x, v in zip((a, b), values, strict=True):
+        at = np.minimum(np.searchsorted(shared, v), len(shared) - 1)
+        hit = shared[at] == v
+        column, row = at[hit], np.repeat(np.arange(len(x)), [len(y) for y in x])[hit]
+        order = np.argsort(column, kind="stable")
+        held.append((column[order], row[order]))
+    for low in range(0, len(shared), COLUMNS):
+        sides = []
+        for x, (column, row) in zip((a, b), held, strict=True):
+            part = slice(*np.searchsorted(column, [low, low + COLUMNS]))
+            side = np.zeros((len(x), min(COLUMNS, len(shared) - low)), np.float32)
+            side[row[part], column[part] - low] = 1
+            sides.append(side)
+        out += (sides[0] @ sides[1].T).astype(np.int64)
+    return out
+
+
+def _count(share: int):
+    """Per set of a block, how many documents of the block its links lead to."""
+
+    def linked(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+        m, n = (np.array([len(x) for x in side], np.int64) for side in (a, b))
+        return overlaps(a, b) >= -(-share * (m[:, None] + n) // (100 + share))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, group in groupby(rows(batches, "component", "part", "side", "digest", "times", "shingles"), itemgetter(0, 1)):
+            own = {r[3]: r for r in group}  # a set read from two texts of one doc_id is there twice
+            sides: list[list[tuple]] = [[], [], []]
+            for r in own.values():
+                sides[r[2]].append(r)
+            sets = [[np.frombuffer(r[5], np.uint64) for r in side] for side in sides]
+            times = [np.array([r[4] for r in side], np.int64) for side in sides]
+            digests, counts = [], []
+            if sets[2]:
+                within = linked(sets[2], sets[2])
+                np.fill_diagonal(within, False)
+                digests, counts = [r[3] for r in sides[2]], [within @ times[2]]
+            elif sets[0] and sets[1]:
+                across = linked(sets[0], sets[1])
+                digests, counts = [r[3] for r in sides[0] + sides[1]], [across @ times[1], times[0] @ across]
+            if digests:
+                yield batch_of({"digest": (pa.binary(), digests), "others": (pa.int64(), pa.array(np.concatenate(counts)))})
+
+    return run
+
+
+def _link_counts(sets: DataFrame, groups: DataFrame, classes: DataFrame, share: int) -> DataFrame:
+    """(digest, others): documents of other sets that a set is linked to, over all blocks of its component."""
+    placed = sets.select("id", "digest", "n", "shingles").join(groups.select("id", "component"), "id")
+    sizes = placed.groupBy("component").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("s")).where("m > 1")
+    parts = F.least("m", F.ceil(F.greatest(F.col("m") / BLOCK, F.col("s") / BLOCK_SHINGLES))).cast("long")
+    dealt = placed.join(sizes.select("component", parts.alias("parts")), "component").join(classes.select("digest", "times"), "digest")
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("digest"), F.col("parts"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    low, high = F.least("own", "other"), F.greatest("own", "other")
+    side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
+    blocks = dealt.select("component", (low * F.col("parts") + high).alias("part"), side.cast("int").alias("side"), "digest", "times", "shingles")
+    blocks = blocks.repartition("component", "part").sortWithinPartitions("component", "part")
+    return blocks.mapInArrow(_count(share), "digest binary, others long").groupBy("digest").agg(F.sum("others").alias("others"))
+
+
 def jaccard_groups(docs: DataFrame, words: int = WORDS, share: int = SHARE) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id."""
+    seen, _, _, groups = _search(docs, words, share)
+    return _with_component(seen, groups).select("doc_id", "n_shingles", "component_id")
+
+
+def jaccard_links(docs: DataFrame, words: int = WORDS, share: int = SHARE) -> DataFrame:
+    """One row per input row: doc_id, n_shingles, n_links, component_id."""
+    seen, classes, sets, groups = _search(docs, words, share)
+    counts = classes.select("digest", "times").join(_link_counts(sets, groups, classes, share), "digest", "left")
+    counts = counts.select("digest", (F.col("times") - 1 + F.coalesce("others", F.lit(0))).alias("links")).where("links > 0")
+    counts = stage(counts, "link-counts")  # joined from a table of its own, so that a hot set can be split
+    out = _with_component(seen, groups).join(counts, "digest", "left")
+    n_links = F.when(F.col("doc_id").isNotNull(), F.coalesce("links", F.lit(0))).otherwise(0)
+    return out.select("doc_id", "n_shingles", n_links.cast("long").alias("n_links"), "component_id")
+
+
+def _with_component(seen: DataFrame, groups: DataFrame) -> DataFrame:
+    out = seen.join(groups.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+    return out.withColumn("component_id", F.coalesce("component", "doc_id"))
+
+
+def _search(docs: DataFrame, words: int, share: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Rows with the digest of their set, classes of equal sets, their sets, and components by doc_id."""
     buckets = buckets_of(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
@@ -253,10 +352,11 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, share: int = SHARE) -> D
 
     seen = stage(counted(docs, False).mapInArrow(_alive(share), "doc_id long, n_shingles long, digest binary, alive boolean"), "sets-seen")
     alive = seen.where("alive and doc_id is not null")
-    classes = alive.groupBy("digest").agg(F.min("doc_id").alias("rep"))
+    owners = alive.select("digest", "doc_id").distinct()
+    classes = owners.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("times"))
     copies = alive.join(classes, "digest").where("doc_id <> rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
-    texts = docs.join(classes.withColumnRenamed("rep", "doc_id"), "doc_id").dropDuplicates(["doc_id", "digest", "text"])
-    sets = stage(counted(texts, True).mapInArrow(_ordered(share), "id long, n int, skip int, short binary, shingles binary"), "sets")
+    texts = docs.join(classes.select(F.col("rep").alias("doc_id"), "digest"), "doc_id").dropDuplicates(["doc_id", "digest", "text"])
+    sets = stage(counted(texts, True).mapInArrow(_ordered(share), "id long, n int, skip int, short binary, shingles binary, digest binary"), "sets")
     postings = stage(sets.select("id", "n", "skip", "short").mapInArrow(_postings, "shingle long, id long, n int, pos int"), "short-lists")
 
     ends = postings.groupBy("shingle").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
@@ -277,6 +377,4 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, share: int = SHARE) -> D
     rest = rest.select(F.col("a.id").alias("u"), F.col("b.id").alias("v")).distinct()
     more = _links(rest, sets, share)
     edges = links.unionByName(more).unionByName(copies)
-    groups = components(edges, "u", "v")
-    out = seen.select("doc_id", "n_shingles").join(groups.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    return seen, classes, sets, components(edges, "u", "v")

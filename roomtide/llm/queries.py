@@ -35,7 +35,7 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_groups(table(spark, sf_dir, "documents"))
+    return jaccard.jaccard_links(table(spark, sf_dir, "documents"))
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

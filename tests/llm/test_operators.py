@@ -67,6 +67,31 @@ def test_jaccard_equals_brute_force(spark, docs):
     assert jaccard.jaccard_groups(docs.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("block", [512, 3])
+def test_jaccard_counts_every_link(spark, docs, monkeypatch, block):
+    """Links between different texts of one group, copies, a doc_id with two texts of equal and of other sets."""
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    base = docs.where("doc_id = 60").first().text
+    more = [(80, base), (60, base.upper()), (81, base + " more"), (81, "another text of one document"), (82, " ".join(base.split()[:88]))]
+    frame = docs.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
+    sets = []
+    for r in frame.collect():
+        w = words_of(r.text)
+        sets.append((r.doc_id, frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()))
+    documents = {s for s in sets if s[0] is not None and s[1]}
+
+    def links(row):
+        return sum(row != d and 100 * len(row[1] & d[1]) >= 80 * len(row[1] | d[1]) for d in documents) if row in documents else 0
+
+    want = sorted(((k, len(s), links((k, s))) for k, s in sets), key=str)
+    got = jaccard.jaccard_links(frame).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.n_links) for r in got), key=str) == want
+    assert max(n for _, _, n in want) > 10 and len({n for _, _, n in want}) > 3
+    groups = sorted((tuple(r) for r in jaccard.jaccard_groups(frame).collect()), key=str)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == groups
+    assert jaccard.jaccard_links(docs.limit(0)).collect() == []
+
+
 def test_decontaminate(spark, docs):
     line = "Ä1 b c d e f g h i j k l"
     more = [(200, f"x,{line}; {line} z"), (200, f"x,{line}; {line} z"), (201, "short item"), (202, "nothing here"), (None, line)]
