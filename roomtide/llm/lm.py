@@ -12,6 +12,7 @@ score. Nothing of it passes the driver but one line per shard.
 
 Model: absolute discounting, interpolated down to add-one unigrams:
 p(w | h) = max(c(hw) - D, 0) / c(h) + D * successors(h) / c(h) * p(w | shorter h), p(w) = (c + 1) / (N + V + 1).
+Texts begin after order - 1 start marks, which are contexts only: c(h) and successors(h) count no start mark after h.
 
 Tokens: words `[^\\x20\\x09-\\x0D]+` after lower-casing A-Z, then one end. Null and empty texts have the end
 alone. Repeated rows count and score each for itself; rows with a null doc_id are trained on or
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 from ..session import shared_dir
 from .common import Words, batch_of, buckets_of, crc_mod, deltas, pack, rows, slices, unpack, utf8
 
-ORDER, DISCOUNT = 2, 0.75
+ORDER, DISCOUNT = 3, 0.75
 END, START = xxhash.xxh3_64_intdigest(b"\n</s>"), xxhash.xxh3_64_intdigest(b"\n<s>")
 CHUNK_TOKENS, STEP = 500_000, 1 / 32
 MESSAGE = "slot int, data binary, counts binary"
@@ -302,6 +303,7 @@ def _columns(data: bytes) -> list[np.ndarray]:
 
 def _write_grams(folder: str, vocabulary: Vocabulary, order: int, discount: float):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pad = int(vocabulary.look_up(np.array([START], np.uint64))[0][0])
         for slot, group in groupby(rows(batches, "slot", "data", "counts"), lambda r: r[0]):
             parts = [(_columns(d), unpack(c, np.uint64)) for _, d, c in group]
             columns, counts = _grouped([np.concatenate([p[0][k] for p in parts]) for k in range(order)], np.concatenate([p[1] for p in parts]))
@@ -311,12 +313,13 @@ def _write_grams(folder: str, vocabulary: Vocabulary, order: int, discount: floa
                 key = parent.astype(np.uint64) * np.uint64(vocabulary.n) + columns[level - 1]
                 new = np.concatenate(([True], key[1:] != key[:-1]))
                 total, mine, own = np.add.reduceat(counts, np.flatnonzero(new)), key[new], parent[new]
-                whole = np.bincount(own, total, minlength=n_parents)
+                spoken = columns[level - 1][new] != np.uint64(pad)
+                whole = np.bincount(own[spoken], total[spoken], minlength=n_parents)
                 for name, array in EliasFano.encode(mine, n_parents * vocabulary.n).items():
                     _put(f"{path}.{level}.{name}.npy", array)
-                _put(f"{path}.{level}.p.npy", quantise((total - np.minimum(discount, total)) / whole[own]))
+                _put(f"{path}.{level}.p.npy", quantise(np.where(spoken, total - np.minimum(discount, total), 0.0) / np.maximum(whole[own], 1)))
                 with np.errstate(invalid="ignore", divide="ignore"):
-                    back = np.where(whole > 0, discount * np.bincount(own, minlength=n_parents) / whole, 1.0)
+                    back = np.where(whole > 0, discount * np.bincount(own[spoken], minlength=n_parents) / whole, 1.0)
                 _put(f"{path}.{level}.back.npy", quantise(back))
                 parent, n_parents = np.cumsum(new) - 1, len(mine)
             yield batch_of({"slot": (pa.int32(), [slot]), "path": (pa.string(), [path])})
