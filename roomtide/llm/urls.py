@@ -4,7 +4,8 @@ Trust and distrust spread over host edges by personalised PageRank, wholly in Da
 Trusted seeds are the hosts with pages that an allow rule fits, weighted by their number of pages;
 trust follows links. Blocked seeds are the hosts with pages that a block rule fits; distrust runs
 against the links, so that who links to blocked hosts becomes suspect. A host is blocked where its
-distrust exceeds `threshold` times its trust; a host that neither reaches is allowed.
+distrust exceeds `threshold` times its trust; a host that neither reaches is allowed. Rounds go on until every
+host within reach has rank and the ranks have settled.
 
 Edges: absolute links in the html (href and src), and for every host an edge to and from its parent
 domain (of two labels or more), as one owner stands behind both. An edge weighs the number of its
@@ -25,7 +26,9 @@ from pyspark.sql import functions as F
 from ..session import stage
 from .common import LOWER, UPPER
 
-ROUNDS, DAMPING, THRESHOLD = 8, 0.85, 1.0
+DAMPING, THRESHOLD = 0.85, 1.0
+#: The ranks are compared every STRIDE rounds, and settled when they differ by no more than TOLERANCE in sum.
+STRIDE, TOLERANCE = 8, 1e-6
 LINK = r"""(?i)(?:href|src)\s*=\s*["']?([a-z][a-z0-9+.-]*://[^"'\s>]+)"""
 
 
@@ -80,21 +83,25 @@ def host_edges(pages: DataFrame) -> DataFrame:
 
 
 def personalised_rank(
-    edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING, label: str = "rank"
+    edges: DataFrame, seeds: DataFrame, tolerance: float = TOLERANCE, damping: float = DAMPING, label: str = "rank"
 ) -> DataFrame:
-    """(host, rank) after `rounds` steps; edges (src, dst, share) with shares of each src summing to 1,
+    """(host, rank), settled to `tolerance`; edges (src, dst, share) with shares of each src summing to 1,
     seeds (host, seed) summing to 1. Rank that is not passed on (no out-links) is given back to the
     seeds by dividing by the total, as PageRank with teleport to the seeds does up to scale.
     """
     rank = seeds.select("host", F.col("seed").alias("rank"))
-    for i in range(rounds):
-        moved = edges.join(rank, edges.src == rank.host).groupBy(F.col("dst").alias("host"))
-        moved = moved.agg((F.sum(F.col("rank") * F.col("share")) * damping).alias("rank"))
-        back = seeds.select("host", (F.col("seed") * (1 - damping)).alias("rank"))
-        rank = moved.unionByName(back).groupBy("host").agg(F.sum("rank").alias("rank"))
-        if i % 4 == 3 and i + 1 < rounds:
-            rank = stage(rank, label)
-    rank = stage(rank, label)
+    back = seeds.select("host", (F.col("seed") * (1 - damping)).alias("rank"))
+    while True:
+        before = rank.select("host", F.col("rank").alias("old"))
+        for _ in range(STRIDE):
+            moved = edges.join(rank, edges.src == rank.host).select(F.col("dst").alias("host"), (F.col("rank") * F.col("share") * damping).alias("rank"))
+            rank = moved.unionByName(back).groupBy("host").agg(F.sum("rank").alias("rank"))
+        rank = stage(rank, label)
+        # a host once reached stays so: the seeds send rank on in every round
+        change = F.sum(F.abs(F.col("rank") - F.coalesce("old", F.lit(0.0))))
+        moved_by, reached = rank.join(before, "host", "left").agg(change, F.count_if(F.col("old").isNull())).first()
+        if not reached and (moved_by or 0.0) <= tolerance:
+            break
     total = rank.agg(F.sum("rank")).first()[0] or 1.0
     return rank.select("host", (F.col("rank") / total).alias("rank"))
 
@@ -105,7 +112,7 @@ def _shares(edges: DataFrame) -> DataFrame:
 
 
 def judge_urls(
-    pages: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int = ROUNDS, damping: float = DAMPING, threshold: float = THRESHOLD
+    pages: DataFrame, rules: tuple[Rule, ...] = RULES, tolerance: float = TOLERANCE, damping: float = DAMPING, threshold: float = THRESHOLD
 ) -> DataFrame:
     """page_id, host, path, rule, verdict, trust, distrust of every page."""
     url, html = F.col("url").cast("string"), F.coalesce(F.col("html").cast("string"), F.lit(""))
@@ -119,7 +126,7 @@ def judge_urls(
     def spread(verdict: str, along: DataFrame) -> DataFrame:
         own = seeds.where(F.col("by_rule") == verdict).select("host", "n")
         own = own.select("host", (F.col("n") / (own.agg(F.sum("n")).first()[0] or 1)).alias("seed"))
-        return personalised_rank(stage(_shares(along), "shares"), own, rounds, damping, verdict)
+        return personalised_rank(stage(_shares(along), "shares"), own, tolerance, damping, verdict)
 
     trust = spread("allow", edges).withColumnRenamed("rank", "trust")
     against = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
