@@ -7,9 +7,9 @@ against the links, so that who links to blocked hosts becomes suspect. A host is
 distrust exceeds `threshold` times its trust; a host that neither reaches is allowed. Rounds go on until every
 host within reach has rank and the ranks have settled.
 
-Edges: absolute links in the html (href and src), and for every host an edge to and from its parent
-domain (of two labels or more), as one owner stands behind both. An edge weighs the number of its
-links, a parent edge 1. Self-links are left out. Rank without out-links returns to the seeds.
+Edges: absolute links in the html (href and src, the scheme may be missing before //), and for every host an
+edge to and from each domain above it (of two labels or more), as one owner stands behind both, with or
+without pages on the domains between. An edge weighs the number of its links, a domain edge 1. Self-links are left out. Rank without out-links returns to the seeds.
 
 Host: after the first `://` up to `/`, `?`, `#` or the end, A-Z lower-cased; path: from there up to
 `?`, `#` or the end. Null urls, and urls without `://`, have an empty host and path; they fit no rule
@@ -29,7 +29,7 @@ from .common import LOWER, UPPER
 DAMPING, THRESHOLD = 0.85, 1.0
 #: The ranks are compared every STRIDE rounds, and settled when they differ by no more than TOLERANCE in sum.
 STRIDE, TOLERANCE = 8, 1e-6
-LINK = r"""(?i)(?:href|src)\s*=\s*["']?([a-z][a-z0-9+.-]*://[^"'\s>]+)"""
+LINK = r"""(?i)(?:href|src)\s*=\s*["']?((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]+)"""
 
 
 @dataclass(frozen=True)
@@ -73,10 +73,13 @@ def rule_of(host: Column, path: Column, rules: tuple[Rule, ...], verdict: bool)
 def host_edges(pages: DataFrame) -> DataFrame:
     """(src, dst, weight) of pages with host and html."""
     links = pages.select(F.col("host").alias("src"), F.explode(F.regexp_extract_all("html", F.lit(LINK), 1)).alias("url"))
-    links = links.select("src", host_of(F.col("url")).alias("dst")).groupBy("src", "dst").agg(F.count(F.lit(1)).alias("weight"))
+    full = F.when(F.startswith("url", F.lit("//")), F.concat(F.lit("http:"), "url")).otherwise(F.col("url"))
+    links = links.select("src", host_of(full).alias("dst")).groupBy("src", "dst").agg(F.count(F.lit(1)).alias("weight"))
     hosts = pages.select("host").union(links.select("dst")).distinct()
-    parent = F.regexp_extract("host", r"^[^.]+\.([^.]+\..+)$", 1)
-    family = hosts.select(F.col("host").alias("src"), parent.alias("dst")).where("dst <> ''")
+    labels = F.split("host", r"\.")
+    above = F.transform(F.sequence(F.lit(2), F.size(labels) - 1), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    family = hosts.where(F.size(labels) > 2).select(F.col("host").alias("src"), F.explode(above).alias("dst"))
+    family = family.where(F.col("src").rlike(r"^[^.]") & F.col("dst").rlike(r"^[^.]+\..+"))
     family = family.unionByName(family.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
     every = links.unionByName(family.withColumn("weight", F.lit(1).cast("long")))
     return every.where("src <> dst and src <> '' and dst <> ''").groupBy("src", "dst").agg(F.sum("weight").alias("weight"))

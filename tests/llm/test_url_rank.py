@@ -14,3 +14,12 @@ def test_long_chain(spark):
     for i in range(21):
         assert got[i].verdict == "block"
         assert got[i].distrust == pytest.approx(0.85 ** (20 - i) / whole, abs=1e-6)
+
+
+def test_edges_of_ancestors_and_schemeless_links(spark):
+    html = '<a href="//other.net/x"><img src=https://img.net/i.png><a href="/local/path">'
+    rows = [("a.b.example.org", html), ("..odd.com", ""), ("example.org", "")]
+    got = {(r.src, r.dst): r.weight for r in urls.host_edges(spark.createDataFrame(rows, "host string, html string")).collect()}
+    one = {("a.b.example.org", "b.example.org"), ("a.b.example.org", "example.org")}
+    assert set(got) == one | {(b, a) for a, b in one} | {("a.b.example.org", "other.net"), ("a.b.example.org", "img.net")}
+    assert set(got.values()) == {1}
