@@ -33,20 +33,30 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies, once; rows without id stay."""
-    docs = docs.select(*COLUMNS)
-    groups = jaccard.jaccard_groups(docs.where("doc_id is not null")).where("doc_id <> component_id")
-    gone = stage(groups.select("doc_id").distinct(), "near-copies")
-    kept = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return kept.select(*COLUMNS).unionByName(docs.where("doc_id is null"))
+    """The document with the smallest id of each group of near copies, once.
+
+    A document is an id with a text: rows of equal id and text are one, texts of a repeated id are
+    grouped apart, and so are rows without id, which come last in their group.
+    """
+    docs = docs.select(*COLUMNS).withColumn("key", F.xxhash64("doc_id", "text"))
+    groups = jaccard.jaccard_groups(docs.select(F.col("key").alias("doc_id"), "text"))
+    near = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("key"), F.col("component_id").alias("c")).distinct()
+    near = stage(near, "near-copies")
+    members = near.unionByName(near.select(F.col("c").alias("key"), "c").distinct())
+    ranked = members.join(docs.select("key", "doc_id").distinct(), "key")
+    first = ranked.groupBy("c").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("first"))
+    gone = stage(members.join(first.select(F.col("first.key").alias("key")), "key", "left_anti").select("key"), "near-copies-gone")
+    kept = docs.join(gone, "key", "left_anti").groupBy("key").agg(F.min(F.struct(*COLUMNS)).alias("row"))
+    return kept.select("row.*")
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no window of a benchmark item."""
+    """Documents that hold no window of a benchmark item; a row goes by its id and text, with or without id."""
     docs = docs.select(*COLUMNS)
-    judged = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated")
-    marked = stage(judged.select(F.col("doc_id").alias("hit_id")).distinct(), "contaminated")
-    return docs.join(marked, F.col("doc_id").eqNullSafe(F.col("hit_id")), "left_anti").select(*COLUMNS)
+    judged = decontaminate.judge_rows(docs, table(spark, sf_dir, "benchmark")).where("contaminated")
+    marked = stage(judged.select(F.col("doc_id").alias("hit_id"), F.col("h").alias("hit_h")).distinct(), "contaminated")
+    hit = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (decontaminate.text_hash() == F.col("hit_h"))
+    return docs.join(marked, hit, "left_anti").select(*COLUMNS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

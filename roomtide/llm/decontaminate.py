@@ -42,10 +42,19 @@ def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     return starts.select("item_id", F.slice("words", F.col("start") + 1, window).alias("gram")).distinct()
 
 
+def text_hash(text: str = "text") -> Column:
+    return F.xxhash64(F.col(text).cast("string"))
+
+
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every document row."""
+    return judge_rows(docs, items, window).drop("h")
+
+
+def judge_rows(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """As `decontaminate`, with the `text_hash` h: a row is judged by doc_id and h."""
     text = F.col("text").cast("string")
-    split = docs.select(F.col("doc_id"), F.xxhash64(text).alias("h"), words_of(text).alias("words"))
+    split = docs.select(F.col("doc_id"), text_hash().alias("h"), words_of(text).alias("words"))
     split = stage(split.withColumn("n_words", F.size("words").cast("long")), "document-words")
 
     owned = item_windows(items, window).withColumn("gram_id", F.xxhash64("gram"))
@@ -87,5 +96,5 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return out.select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size(items_found).cast("long").alias("n_items"),
-        F.sha2(F.array_join(items_found, ",").cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+        F.sha2(F.array_join(items_found, ",").cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"), "h",
     )
