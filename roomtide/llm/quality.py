@@ -3,7 +3,7 @@
 P(grade > k) = sigmoid(x . w - t_k) with one weight vector for all grades and ordered thresholds
 t_0 < t_1 < ...; the expected grade is the sum of these tail probabilities. x holds the mean of a
 text's hashed tokens, each as its lower-cased word and as its shape (case, digits, repeated marks),
-and hashed buckets of length and repetition. Documents are selected by a tail probability.
+tokens of more than `PIECE` bytes as consecutive pieces, and hashed buckets of length and repetition. Documents are selected by a tail probability.
 
 Training: at most `sample` labelled documents chosen by a hash of the id (a bounded sample, a
 parameter) are hashed once and written to the shared folder. Each round, every partition takes AdaGrad
@@ -36,19 +36,29 @@ SAMPLE, BITS, ROUNDS, EPOCHS, PARTS, RATE, CUT = 16_000, 16, 4, 3, 8, 0.5, 0.5
 MASK = (1 << BITS) - 1
 _SHAPE = re.compile(rb"([A-Z])|([a-z\x80-\xff])|([0-9])|(.)", re.S)
 _KEEP = 150_000
+#: Longest token in bytes; texts without white space are cut into pieces of that length.
+PIECE = 48
 
 
 def shape(token: bytes) -> bytes:
     """Runs of upper case, lower case and digits as one letter each; marks as they are, runs marked."""
     out, last = bytearray(), -1
-    for m in _SHAPE.finditer(token[:200]):
+    for m in _SHAPE.finditer(token):
         c = b"Aa0"[m.lastindex - 1] if m.lastindex < 4 else token[m.start()]
         if c != last:
             out.append(c)
         elif m.lastindex == 4 and out[-1:] != b"+":
             out += b"+"
         last = c
-    return bytes(out[:12])
+    return bytes(out)
+
+
+def tokens_of(text: bytes | None) -> list[bytes]:
+    """The words of a text, long ones in pieces: every byte but white space is in one token."""
+    words = (text or b"").split()
+    if max(map(len, words), default=0) <= PIECE:
+        return words
+    return [w[i:i + PIECE] for w in words for i in range(0, len(w), PIECE)]
 
 
 def token_indices(token: bytes) -> tuple[int, int]:
@@ -67,7 +77,7 @@ def _features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         places, values = [], []
         for text in utf8(batch, "text"):
-            tokens = (text or b"").split()
+            tokens = tokens_of(text)
             counts: Counter = Counter()
             words = Counter(tokens)
             for token, n in words.items():
@@ -139,7 +149,7 @@ class Ordinal:
         cache = Cache()
 
         def score(text: bytes | None) -> float:
-            tokens = (text or b"").split()
+            tokens = tokens_of(text)
             if len(cache) > _KEEP:
                 cache.clear()
             mean = sum(map(cache.__getitem__, tokens)) / len(tokens) if tokens else 0.0
