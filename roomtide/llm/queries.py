@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, jaccard, lm, mixing, neardup_vectors, quality, toxicity, urls, warc
+from . import chat, decontaminate, jaccard, lm, mixing, neardup_vectors, quality, token_files, toxicity, urls, warc
 from .common import table
 
 TEMPLATE_TEXT = "<|im_end|><|im_start|>assistant ok"
@@ -67,11 +67,18 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    folder = token_files.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.digests(spark, folder)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_decontaminate, op3_vector_neardup, op4_warc, op5_jaccard,
-        op6_url_filter, op7_chat, op8_quality, op9_lm, op10_mix,
+        op6_url_filter, op7_chat, op8_quality, op9_lm, op10_mix, op11_token_files,
     )
 }
 
