@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -120,3 +120,16 @@ def stage(df: DataFrame, label: str) -> DataFrame:
         staged.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def settle(spark: SparkSession, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The frame that `build` makes, written to the shared folder, without the tables staged on the way: they
+    are removed as soon as the result is written, or the run has failed."""
+    outer = _scope.get()
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    with staging_scope(spark):
+        made = build()
+        made.write.parquet(path)
+    if outer is not None:
+        outer.append(path)
+    return spark.read.schema(made.schema).parquet(path)
