@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, jaccard, lm, mixing, neardup_vectors, quality, token_files, toxicity, urls, warc
+from . import chat, decontaminate, hard_negatives, jaccard, lm, mixing, neardup_vectors, quality, token_files, toxicity, urls, warc
 from .common import table
 
 TEMPLATE_TEXT = "<|im_end|><|im_start|>assistant ok"
@@ -74,11 +74,16 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(spark, folder)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_decontaminate, op3_vector_neardup, op4_warc, op5_jaccard,
         op6_url_filter, op7_chat, op8_quality, op9_lm, op10_mix, op11_token_files,
+        op12_hard_negatives,
     )
 }
 
@@ -138,4 +143,28 @@ SELECT doc_id, size, source_size, target,
 FROM r
 """
 
-ORACLE = {"op2_decontaminate": OP2, "op10_mix": OP10}
+OP12 = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INT) AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+ORACLE = {"op2_decontaminate": OP2, "op10_mix": OP10, "op12_hard_negatives": OP12}
