@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, hard_negatives, jaccard, lm, mixing, neardup_vectors, quality, token_files, toxicity, urls, warc
+from . import chat, decontaminate, hard_negatives, jaccard, lm, mixing, neardup_vectors, quality, token_files, toxicity, urls, warc, whitening
 from .common import table
 
 TEMPLATE_TEXT = "<|im_end|><|im_start|>assistant ok"
@@ -78,12 +78,18 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    # beyond a long there is no deviation to return
+    return white.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_decontaminate, op3_vector_neardup, op4_warc, op5_jaccard,
         op6_url_filter, op7_chat, op8_quality, op9_lm, op10_mix, op11_token_files,
-        op12_hard_negatives,
+        op12_hard_negatives, op13_whitening,
     )
 }
 
