@@ -12,22 +12,24 @@ a filter on doc_id, or on part and offset, reads only the pages it needs, and a
 `ids` never reads the token column. A small table beside the files, one row per range, holds the number of ids
 before each range; `read_tokens` adds it to the offset, which gives every document's place in the whole.
 
-Tokens: the tokenizer splits at white space before anything else of its model, so pieces between blanks
-and line ends are encoded once per task, whole texts are put together from them, and the
-ids are those of the whole text. Documents are in ascending order of doc_id, null first; equal ids are
+Tokens: a tokenizer that splits at white space before anything else of its model encodes each piece between
+blanks once per task; whole texts are put together from them, and the ids are those of the whole text.
+With other tokenizers each text is encoded as one piece. Documents are in ascending order of doc_id, null first; equal ids are
 ordered by a hash of their text. Null and empty texts have the end id alone; repeated rows are documents of their own;
 other columns are ignored; an empty table gives files without rows.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import islice
+from itertools import compress, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -37,8 +39,12 @@ from .common import _Numbers, batch_of, slices
 
 END_ID = 2
 ROW_GROUP, PAGE, PAGE_ROWS = 16 << 20, 256 << 10, 2_000
-#: Texts are encoded until so many pieces are held; pieces up to KEPT_CHARS characters are remembered, up to KEPT of them.
-CHUNK, KEPT, KEPT_CHARS = 200_000, 500_000, 64
+#: Bytes of text encoded at once; pieces up to KEPT_CHARS characters are remembered, about KEPT of them.
+CHUNK, KEPT, KEPT_CHARS = 1 << 20, 400_000, 64
+#: The split of tokenizers that drop white space and part runs of letters, single digits and runs of other marks (fixed value).
+LETTERS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: A place that this split always parts: a mark other than the apostrophe behind a letter.
+CUT = r"([A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}])([,.;:!?])"
 STORED = "doc_id long, part int, offset long, n_tokens long, ids array<int>"
 LAYOUT = {
     "compression": "zstd", "parquet.writer.version": "v2", "parquet.block.size": str(ROW_GROUP), "parquet.page.size": str(PAGE),
@@ -54,6 +60,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)
+        split = ((model.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+        normal = [n["type"] for n in (model.get("normalizer") or {}).get("normalizers", [])]
+        # what stands for white space is removed before anything else of the model, so blanks part the text
+        self.apart = split.get("pattern", {}).get("Regex") == LETTERS and split.get("behavior") == "Removed" and split.get("invert") is True and normal == ["NFC", "Replace", "Lowercase"]
         self._forget()
 
     def _forget(self) -> None:
@@ -72,53 +84,55 @@ class Encoder:
             flat.append(np.array(coded.ids, np.int32))
         return np.concatenate(sizes), np.concatenate(flat)
 
-    def encode(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts, each followed by `end`, and how many each text has."""
+    def _known(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of the pieces in a table of sizes and ids; the table is the remembered one, and behind it the pieces too long to remember."""
         if len(self.pieces) > KEPT:
             self._forget()
-        known = len(self.pieces)
-        long: list[str] = []  # a long piece has a negative number
-        lines = []
-        for text in texts:
-            words = text.replace("\n", " ").split(" ")
-            if max(map(len, words)) <= KEPT_CHARS:
-                numbers = np.fromiter(map(self.pieces.__getitem__, words), np.int64, len(words))
-            else:
-                numbers = np.empty(len(words), np.int64)
-                for i, w in enumerate(words):
-                    if len(w) <= KEPT_CHARS:
-                        numbers[i] = self.pieces[w]
-                    else:
-                        long.append(w)
-                        numbers[i] = -len(long)
-            lines.append(numbers)
-        new = list(islice(reversed(self.pieces), len(self.pieces) - known))[::-1]
+        before, long = len(self.pieces), [i for i, w in enumerate(pieces) if len(w) > KEPT_CHARS]
+        numbers = np.zeros(len(pieces), np.int64)
+        short = np.ones(len(pieces), bool)
+        short[long] = False
+        numbers[short] = np.fromiter(map(self.pieces.__getitem__, compress(pieces, short)), np.int64, len(pieces) - len(long))
+        new = list(islice(reversed(self.pieces), len(self.pieces) - before))[::-1]
         if new:
             sizes, flat = self._together(new)
             self.sizes, self.flat = np.concatenate([self.sizes, sizes]), np.concatenate([self.flat, flat])
-        extra = [np.array(self.tokenizer.encode_batch_fast([w], add_special_tokens=False)[0].ids, np.int32) for w in long]
-        # one table: remembered pieces, the end, long pieces
-        n = len(self.sizes)
-        sizes = np.concatenate([self.sizes, [1], np.array([len(c) for c in extra], np.int64)]).astype(np.int64)
-        flat = np.concatenate([self.flat, np.array([end], np.int32), *extra])
+        numbers[long] = len(self.sizes) + np.arange(len(long))
+        extra = [np.array(self.tokenizer.encode_batch_fast([pieces[i]], add_special_tokens=False)[0].ids, np.int32) for i in long]
+        sizes = np.concatenate([self.sizes, np.array([len(c) for c in extra], np.int64)])
+        return numbers, sizes, np.concatenate([self.flat, *extra])
+
+    def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts (no nulls), each followed by `end`, and how many each text has."""
+        if not self.apart:
+            coded = [self.tokenizer.encode_batch_fast([t], add_special_tokens=False)[0].ids + [end] for t in texts.to_pylist()]
+            return np.array([i for ids in coded for i in ids], np.int32), np.array([len(ids) for ids in coded], np.int64)
+        texts = pc.replace_substring(texts.cast(pa.large_string()), "\n", " ")
+        texts = pc.replace_substring_regex(texts, CUT, r"\1 \2")
+        words = pc.split_pattern(texts, " ")
+        at = words.offsets.to_numpy()
+        coded = words.values.slice(at[0], at[-1] - at[0]).dictionary_encode()
+        numbers, sizes, flat = self._known(coded.dictionary.to_pylist())
+        # behind each text a piece of its own, the end
+        stops = at[1:] - at[0] + np.arange(len(texts))
+        line = np.full(len(coded) + len(texts), len(sizes), np.int64)
+        line[np.delete(np.arange(len(line)), stops)] = numbers[coded.indices.to_numpy()]
+        sizes, flat = np.append(sizes, 1), np.append(flat, np.int32(end))
         first = np.cumsum(sizes) - sizes
-        stop = np.array([n])
-        line = np.concatenate([part for numbers in lines for part in (numbers, stop)] or [np.zeros(0, np.int64)])
-        line = np.where(line < 0, n - line, line)
         width = sizes[line]
         ends = np.cumsum(width)
         place = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first[line] - ends + width, width)
-        closing = ends[np.cumsum([len(numbers) + 1 for numbers in lines]) - 1] if lines else np.zeros(0, np.int64)
-        return flat[place], np.diff(closing, prepend=0)
+        return flat[place], np.diff(ends[stops], prepend=0)
 
 
 def _encoded(path: str, end: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, offset = Encoder(path), TaskContext.get().partitionId(), 0
 
-        def emit(keys: list, texts: list[str]) -> pa.RecordBatch:
+        def emit(held: list[pa.RecordBatch]) -> pa.RecordBatch:
             nonlocal offset
-            ids, sizes = encoder.encode(texts, end)
+            keys = pa.concat_arrays([b.column("doc_id") for b in held])
+            ids, sizes = encoder.encode(pa.concat_arrays([b.column("text").cast(pa.large_string()) for b in held]), end)
             starts = offset + np.cumsum(sizes) - sizes
             offset += len(ids)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(ids, pa.int32()))
@@ -127,17 +141,15 @@ def _encoded(path: str, end: int):
                 "n_tokens": (pa.int64(), pa.array(sizes, pa.int64())), "ids": (pa.list_(pa.int32()), lists),
             })
 
-        keys, texts, held = [], [], 0
+        held, size = [], 0
         for batch in slices(batches):
-            for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                keys.append(key)
-                texts.append(text)
-                held += len(text) // 5 + 1
-                if held >= CHUNK:
-                    yield emit(keys, texts)
-                    keys, texts, held = [], [], 0
-        if keys:
-            yield emit(keys, texts)
+            held.append(batch)
+            size += pc.sum(pc.binary_length(batch.column("text"))).as_py() or 0
+            if size >= CHUNK:
+                yield emit(held)
+                held, size = [], 0
+        if held:
+            yield emit(held)
 
     return run
 

@@ -17,6 +17,7 @@ PARTS = ["a", "B", "é", "é", "́", " ", "  ", "\n", "\r\n", "\t", "\x0b", "\x
 
 
 def whole(text):
+    # the library on the whole text
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False).ids + [T.END_ID]
