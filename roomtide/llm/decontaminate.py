@@ -54,8 +54,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
 def judge_rows(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """As `decontaminate`, with the `text_hash` h: a row is judged by doc_id and h."""
     text = F.col("text").cast("string")
+    # split anew in each pass: stored word arrays would take more room than the documents
     split = docs.select(F.col("doc_id"), text_hash().alias("h"), words_of(text).alias("words"))
-    split = stage(split.withColumn("n_words", F.size("words").cast("long")), "document-words")
+    split = split.withColumn("n_words", F.size("words").cast("long"))
 
     owned = item_windows(items, window).withColumn("gram_id", F.xxhash64("gram"))
     owned = stage(owned, "item-windows")
@@ -81,6 +82,10 @@ def judge_rows(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataF
         found = at.join(F.broadcast(grams), "token").where(fits & same)
     else:
         at = split.select(*key, "n_words", F.posexplode("words").alias("pos", "token"))
+        # other words than the windows' rarest leave before the shuffle, while the set of these is small
+        prefixes = stage(grams.select("token").distinct(), "prefix-words")
+        n_prefixes = prefixes.count()
+        at = at.join(F.broadcast(prefixes), "token", "left_semi") if n_prefixes <= BROADCAST_ROWS else at
         near = at.join(grams, "token").where(fits).select(F.col("doc_id").alias("d"), F.col("h").alias("k"), "pos", "off", "len", "gram", "gram_id")
         found = near.join(split, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("k"))).where(same)
     hits = stage(found.select(*key, start.alias("start"), "len", "gram_id").distinct(), "window-hits")
