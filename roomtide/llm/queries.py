@@ -122,7 +122,9 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 
 OP10 = r"""
 WITH d AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+    md5(coalesce(text, '')) AS digest, row_number() OVER (PARTITION BY doc_id, source, md5(coalesce(text, ''))) - 1 AS number
+  FROM documents
 ),
 s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
@@ -139,13 +141,13 @@ e AS (
 x AS (SELECT CAST(arg_min(even, k) AS DOUBLE) AS even FROM e WHERE even <= lim),
 t AS (SELECT source, source_size, least(2.0 * source_size, even * weight) AS target FROM s, x),
 r AS (
-  SELECT d.doc_id, d.size, t.source_size, CAST(t.target AS DOUBLE) AS target,
+  SELECT d.doc_id, d.size, d.digest, d.number, t.source_size, CAST(t.target AS DOUBLE) AS target,
     CASE WHEN t.source_size > 0 THEN CAST(t.target AS DOUBLE) / t.source_size ELSE 0.0 END AS rate
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
 )
 SELECT doc_id, size, source_size, target,
   size * (CAST(floor(rate) AS BIGINT) + CASE
-    WHEN CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) / 4294967296.0 < rate - floor(rate) THEN 1 ELSE 0 END) AS taken
+    WHEN CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || digest || ':' || number), 1, 8) AS BIGINT) / 4294967296.0 < rate - floor(rate) THEN 1 ELSE 0 END) AS taken
 FROM r
 """
 

@@ -92,7 +92,10 @@ def test_jaccard_counts_every_link(spark, docs, monkeypatch, block):
     assert jaccard.jaccard_links(docs.limit(0)).collect() == []
 
 
-def test_decontaminate(spark, docs):
+@pytest.mark.parametrize("bound", [decontaminate.BROADCAST_ROWS, 2, 0])
+def test_decontaminate(spark, docs, monkeypatch, bound):
+    """Also by shuffle, with and without the set of prefix words sent to all tasks."""
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", bound)
     line = "Ä1 b c d e f g h i j k l"
     more = [(200, f"x,{line}; {line} z"), (200, f"x,{line}; {line} z"), (201, "short item"), (202, "nothing here"), (None, line)]
     frame = spark.createDataFrame([(i, t, None) for i, t in more], "doc_id long, text string, words string").unionByName(
@@ -107,6 +110,7 @@ def test_decontaminate(spark, docs):
     assert got[201, 2].items_sha256 == hashlib.sha256(b",2").hexdigest()
     assert not got[202, 2].contaminated and got[None, 12].contaminated
     assert not decontaminate.decontaminate(frame, items.limit(0)).where("contaminated").count()
+    assert decontaminate.decontaminate(frame.limit(0), items).collect() == []
 
 
 def test_vectors(spark):
@@ -237,6 +241,19 @@ def test_mixing(spark, docs):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_mixing_coins_of_null_and_equal_rows(spark):
+    """Rows without id and equal rows throw their own coins; the taken words come near the target."""
+    word = lambda i: f"w{i} " * 20
+    rows = [(None, word(i), "a") for i in range(200)] + [(7, word(0), "b")] * 200 + [(i, word(i), "c") for i in range(200)]
+    frame = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, source string, number int")
+    plan = mixing.mix_plan(frame)
+    for source_size, target, taken in plan.groupBy("target").agg(F.first("source_size"), F.sum("taken")).select("first(source_size)", "target", "sum(taken)").collect():
+        assert source_size == 4_000 and abs(taken - target) < 0.1 * source_size
+    again = mixing.mix(frame.repartition(7)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, mixing.mix(frame).collect()))
+    assert sum(len(r.text.split()) for r in again) == plan.agg(F.sum("taken")).first()[0]
+
+
 def test_grammar():
     g = toxicity.Grammar({"idiot": 4.0}, {"stup": 2.0})
     a = g.automaton()
