@@ -3,7 +3,7 @@
 Trust and distrust spread over host edges by personalised PageRank, wholly in DataFrame operations.
 Trusted seeds are the hosts with pages that an allow rule fits, weighted by their number of pages;
 trust follows links. Blocked seeds are the hosts with pages that a block rule fits; distrust runs
-against the links, so that who links to blocked hosts becomes suspect. A host is blocked where its
+against the links, so that who links to blocked hosts becomes suspect. Both are ranked in the same rounds. A host is blocked where its
 distrust exceeds `threshold` times its trust; a host that neither reaches is allowed. Rounds go on until every
 host within reach has rank and the ranks have settled.
 
@@ -18,17 +18,21 @@ and are allowed. Null html has no links. Repeated rows are judged alike; other c
 
 from __future__ import annotations
 
+import math
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..session import remove, settle, shared_dir, stage
 from .common import LOWER, UPPER
 
 DAMPING, THRESHOLD = 0.85, 1.0
 #: The ranks are compared every STRIDE rounds, and settled when they differ by no more than TOLERANCE in sum.
 STRIDE, TOLERANCE = 8, 1e-6
+#: Edges of a piece of the graph.
+ROWS_EACH = 200_000
 LINK = r"""(?i)(?:href|src)\s*=\s*["']?((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]+)"""
 
 
@@ -85,33 +89,67 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return every.where("src <> dst and src <> '' and dst <> ''").groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
 
 
-def personalised_rank(
-    edges: DataFrame, seeds: DataFrame, tolerance: float = TOLERANCE, damping: float = DAMPING, label: str = "rank"
-) -> DataFrame:
-    """(host, rank), settled to `tolerance`; edges (src, dst, share) with shares of each src summing to 1,
-    seeds (host, seed) summing to 1. Rank that is not passed on (no out-links) is given back to the
-    seeds by dividing by the total, as PageRank with teleport to the seeds does up to scale.
+def _pieces(n: int) -> int:
+    return max(1, math.ceil(n / ROWS_EACH))
+
+
+def personalised_rank(edges: DataFrame, seeds: DataFrame, tolerance: float = TOLERANCE, damping: float = DAMPING) -> DataFrame:
+    """(host, kind, rank) for several kinds of rank at once, each summing to 1, settled to `tolerance`.
+
+    edges (src, dst, kind, share) with shares of each src and kind summing to 1, seeds (host, kind, seed) summing to 1 in each
+    kind. Rank that is not passed on (no out-links) is given back to the seeds by dividing by the total, as
+    PageRank with teleport to the seeds does up to scale. A round is one join and one aggregation of all kinds;
+    the tables are cut into pieces that follow their rows, so that a small graph does not make many small files in each round.
     """
-    rank = seeds.select("host", F.col("seed").alias("rank"))
-    back = seeds.select("host", (F.col("seed") * (1 - damping)).alias("rank"))
+    spark = edges.sparkSession
+    n_edges = edges.count()
+    rank = seeds.select("host", "kind", F.col("seed").alias("rank"))
+    back = seeds.select("host", "kind", (F.col("seed") * (1 - damping)).alias("rank"))
+    last: str | None = None
     while True:
-        before = rank.select("host", F.col("rank").alias("old"))
+        before = rank.select("host", "kind", F.col("rank").alias("old"))
         for _ in range(STRIDE):
-            moved = edges.join(rank, edges.src == rank.host).select(F.col("dst").alias("host"), (F.col("rank") * F.col("share") * damping).alias("rank"))
-            rank = moved.unionByName(back).groupBy("host").agg(F.sum("rank").alias("rank"))
-        rank = stage(rank, label)
+            known = rank.select(F.col("host").alias("src"), "kind", "rank")
+            moved = edges.join(known, ["src", "kind"]).select(F.col("dst").alias("host"), "kind", (F.col("rank") * F.col("share") * damping).alias("rank"))
+            rank = moved.unionByName(back).groupBy("host", "kind").agg(F.sum("rank").alias("rank")).coalesce(_pieces(n_edges))
+        path = f"{shared_dir(spark)}/rank-{uuid.uuid4().hex}"
+        rank.write.parquet(path)
+        rank = spark.read.schema(rank.schema).parquet(path)
         # a host once reached stays so: the seeds send rank on in every round
         change = F.sum(F.abs(F.col("rank") - F.coalesce("old", F.lit(0.0))))
-        moved_by, reached = rank.join(before, "host", "left").agg(change, F.count_if(F.col("old").isNull())).first()
+        moved_by, reached = rank.join(before, ["host", "kind"], "left").agg(change, F.count_if(F.col("old").isNull())).first()
+        if last:
+            remove(spark, last)
+        last = path
         if not reached and (moved_by or 0.0) <= tolerance:
             break
-    total = rank.agg(F.sum("rank")).first()[0] or 1.0
-    return rank.select("host", (F.col("rank") / total).alias("rank"))
+    totals = rank.groupBy("kind").agg(F.sum("rank").alias("total"))
+    out = stage(rank.join(totals, "kind").select("host", "kind", (F.col("rank") / F.col("total")).alias("rank")).coalesce(_pieces(n_edges)), "ranks")
+    remove(spark, last)
+    return out
 
 
 def _shares(edges: DataFrame) -> DataFrame:
-    out = edges.groupBy("src").agg(F.sum("weight").alias("out"))
-    return edges.join(out, "src").select("src", "dst", (F.col("weight") / F.col("out")).alias("share"))
+    """Edges along the links (trust) and against them (distrust), with their share of all that leaves a host."""
+    along = edges.select("src", "dst", F.lit("allow").alias("kind"), "weight")
+    against = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), F.lit("block").alias("kind"), "weight")
+    both = along.unionByName(against)
+    out = both.groupBy("src", "kind").agg(F.sum("weight").alias("out"))
+    return both.join(out, ["src", "kind"]).select("src", "dst", "kind", (F.col("weight") / F.col("out")).alias("share"))
+
+
+def host_ranks(page: DataFrame, tolerance: float, damping: float) -> DataFrame:
+    """(host, trust, distrust) from pages with host, html and the verdict of the rules."""
+    edges = stage(host_edges(page.select("host", "html")), "host-edges")
+    n_edges = edges.count()
+    shares = stage(_shares(edges).coalesce(2 * _pieces(n_edges)), "shares")
+    seeds = page.where("by_rule is not null").groupBy("host", F.col("by_rule").alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    seeds = stage(seeds.coalesce(_pieces(n_edges)), "url-seeds")
+    whole = seeds.groupBy("kind").agg(F.sum("n").alias("whole"))
+    seeds = stage(seeds.join(whole, "kind").select("host", "kind", (F.col("n") / F.col("whole")).alias("seed")).coalesce(_pieces(n_edges)), "url-seeds")
+    rank = personalised_rank(shares, seeds, tolerance, damping)
+    of = lambda kind, name: F.coalesce(F.max(F.when(F.col("kind") == kind, F.col("rank"))), F.lit(0.0)).alias(name)
+    return rank.groupBy("host").agg(of("allow", "trust"), of("block", "distrust"))
 
 
 def judge_urls(
@@ -122,19 +160,7 @@ def judge_urls(
     page = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"), html.alias("html"))
     host, path = F.col("host"), F.col("path")
     page = page.withColumn("rule", rule_of(host, path, rules, False)).withColumn("by_rule", rule_of(host, path, rules, True))
-    edges = stage(host_edges(page.select("host", "html")), "host-edges")
-    seeds = page.where("by_rule is not null").groupBy("host", "by_rule").agg(F.count(F.lit(1)).alias("n"))
-    seeds = stage(seeds, "url-seeds")
-
-    def spread(verdict: str, along: DataFrame) -> DataFrame:
-        own = seeds.where(F.col("by_rule") == verdict).select("host", "n")
-        own = own.select("host", (F.col("n") / (own.agg(F.sum("n")).first()[0] or 1)).alias("seed"))
-        return personalised_rank(stage(_shares(along), "shares"), own, tolerance, damping, verdict)
-
-    trust = spread("allow", edges).withColumnRenamed("rank", "trust")
-    against = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
-    distrust = spread("block", against).withColumnRenamed("rank", "distrust")
-    ranks = stage(trust.join(distrust, "host", "full"), "url-ranks")
+    ranks = settle(pages.sparkSession, "url-ranks", lambda: host_ranks(page, tolerance, damping))
     judged = page.drop("html").join(ranks, "host", "left").fillna(0.0, ["trust", "distrust"])
     method = F.when(F.col("distrust") > threshold * F.col("trust"), "block").otherwise("allow")
     return judged.select("page_id", "host", "path", "rule", F.coalesce("by_rule", method).alias("verdict"), "trust", "distrust")
