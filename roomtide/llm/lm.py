@@ -1,11 +1,14 @@
 """Language-model scoring with an Elias-Fano n-gram trie.
 
 Level 1 of the trie holds the words (64-bit hashes in order, with exact counts); a word's rank is its
-number. Level k holds the k-grams as a monotone sequence of keys (rank of the parent in level k-1) *
-V + word, coded by Elias-Fano: low bits packed, high bits in unary with a rank directory. The
-children of a context are therefore one stretch of the sequence, and the successor of a context is
-found by selecting the stretch's zeros and a binary search on low bits: nothing is decoded
-but what a query touches. Probabilities and back-off weights are quantised to bytes on a log scale.
+number. Level k holds the k-grams in order of their context and word. Pointers, a monotone sequence with one entry per
+node of level k-1, say where a context's successors begin. The successors' words form a second monotone
+sequence: each word is stored relative to its context, on top of the last entry of the context before. Both sequences are coded
+by Elias-Fano: low bits packed, high bits in unary with directories of ones and zeros. A successor is found by taking the
+context's stretch from the pointers and the base from the entry before it, and searching the stretch alone, from its
+high bits to a binary search on low bits: nothing is decoded but what a query touches. Smoothed probabilities
+and back-off weights are quantised to 16 bits on a log scale, rounded down, so that no context's probabilities add
+up to more than 1.
 The trie is cut into shards by the hash of the first word; a shard is built by one task from counts that
 all tasks have summed before, written to the shared folder, and memory-mapped by the tasks that
 score. Nothing of it passes the driver but one line per shard.
@@ -21,7 +24,8 @@ not as any other; other columns are ignored. With no training text N and V are 0
 
 from __future__ import annotations
 
-import io
+import json
+import math
 import os
 import tempfile
 import uuid
@@ -41,7 +45,7 @@ from .common import Words, batch_of, buckets_of, crc_mod, deltas, pack, rows, sl
 
 ORDER, DISCOUNT = 3, 0.75
 END, START = xxhash.xxh3_64_intdigest(b"\n</s>"), xxhash.xxh3_64_intdigest(b"\n<s>")
-CHUNK_TOKENS, STEP = 500_000, 1 / 32
+CHUNK_TOKENS, STEP = 500_000, 1 / 4096
 MESSAGE = "slot int, data binary, counts binary"
 
 
@@ -59,37 +63,42 @@ def _select(words: np.ndarray, k: np.ndarray) -> np.ndarray:
     return place
 
 
+def _directory_dtype(n: int):
+    return np.uint32 if n < 1 << 32 else np.uint64
+
+
 class EliasFano:
-    """A sorted sequence of distinct keys under `universe`; `find` gives their places."""
+    """A monotone sequence of whole numbers; entries by place, and places of entries inside a stretch."""
 
-    def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray, ones: np.ndarray) -> None:
+    def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray, ones: np.ndarray, zeros: np.ndarray | None = None) -> None:
         self.n, self.low_bits, self.low, self.high, self.ones = n, low_bits, low, high, ones
+        self.zeros = 64 * np.arange(len(high)) - ones.astype(np.int64) if zeros is None else zeros
 
     @staticmethod
-    def encode(keys: np.ndarray, universe: int) -> dict[str, np.ndarray]:
-        n = len(keys)
+    def encode(values: np.ndarray, universe: int | None = None) -> dict[str, np.ndarray]:
+        values = values.astype(np.uint64)
+        n = len(values)
+        universe = universe or (int(values[-1]) + 1 if n else 1)
         low_bits = max(0, (universe // max(n, 1)).bit_length() - 1)
         bits = np.zeros((n * low_bits + 7) // 8 + 8, np.uint8)
         for at in range(0, n, 1 << 16):  # 2^16 rows start on a byte
-            part = keys[at:at + (1 << 16)]
+            part = values[at:at + (1 << 16)]
             plain = ((part[:, None] >> np.arange(low_bits, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8)
             packed = np.packbits(plain.ravel(), bitorder="little")
             bits[at * low_bits // 8:at * low_bits // 8 + len(packed)] = packed
         last = universe >> low_bits
         unary = np.zeros(-(-(n + last + 2) // 64) * 64, np.uint8)
-        unary[(keys >> np.uint64(low_bits)).astype(np.int64) + np.arange(n)] = 1
+        unary[(values >> np.uint64(low_bits)).astype(np.int64) + np.arange(n)] = 1
         high = np.packbits(unary, bitorder="little").view("<u8")
         ones = np.concatenate(([0], np.cumsum(np.bitwise_count(high).astype(np.int64))))[:-1]
-        return {"shape": np.array([n, low_bits]), "low": bits, "high": high, "ones": ones.astype(np.uint32 if n < 1 << 32 else np.uint64)}
+        kind = _directory_dtype(len(unary))
+        return {"shape": np.array([n, low_bits]), "low": bits, "high": high, "ones": ones.astype(kind), "zeros": (64 * np.arange(len(high)) - ones).astype(kind)}
 
-    def _zero(self, k: np.ndarray) -> np.ndarray:
-        """Place of the k-th zero of the unary part: the word by its rank directory, then the bit."""
-        lo, hi = np.zeros(len(k), np.int64), np.full(len(k), len(self.high) - 1)
-        while (lo < hi).any():
-            mid = (lo + hi + 1) // 2
-            right = 64 * mid - self.ones[mid].astype(np.int64) <= k
-            lo, hi = np.where(right, mid, lo), np.where(right, hi, mid - 1)
-        return 64 * lo + _select(~self.high[lo], k - (64 * lo - self.ones[lo].astype(np.int64)))
+    def _bit(self, directory: np.ndarray, k: np.ndarray, flip: bool) -> np.ndarray:
+        """Place of the k-th (from 0) one, or zero, of the unary part: the word by its directory, then the bit."""
+        word = np.searchsorted(directory, k.astype(directory.dtype), side="right") - 1
+        bits = self.high[word]
+        return 64 * word + _select(~bits if flip else bits, k - directory[word].astype(np.int64))
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         if not self.low_bits:
@@ -98,68 +107,148 @@ class EliasFano:
         word = np.ndarray((len(self.low) - 7,), "<u8", self.low, strides=(1,))[at >> 3]
         return (word >> (at & 7).astype(np.uint64)) & np.uint64((1 << self.low_bits) - 1)
 
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """Places of the keys, -1 for those that are not in the sequence."""
-        if not self.n or not len(keys):
-            return np.full(len(keys), -1)
-        h, low = (keys >> np.uint64(self.low_bits)).astype(np.int64), keys & np.uint64((1 << self.low_bits) - 1)
-        lo = np.where(h > 0, self._zero(np.maximum(h - 1, 0)) + 1 - h, 0)
-        end = self._zero(h) - h
-        hi = end.copy()
-        while (open_ := lo < hi).any():
-            mid = np.where(open_, (lo + hi) // 2, 0)
-            less = open_ & (self._low(mid) < low)
-            lo, hi = np.where(less, mid + 1, lo), np.where(open_ & ~less, mid, hi)
-        found = lo < end
-        at = np.where(found, lo, 0)
-        return np.where(found & (self._low(at) == low), at, -1)
+    def access(self, i: np.ndarray) -> np.ndarray:
+        """The entries at these places."""
+        high = (self._bit(self.ones, i, False) - i).astype(np.uint64)
+        return high << np.uint64(self.low_bits) | self._low(i)
+
+    def find(self, values: np.ndarray, begin: np.ndarray | None = None, end: np.ndarray | None = None) -> np.ndarray:
+        """Places of the values inside begin .. end - 1 (of all without), -1 for those that are not there."""
+        begin = np.zeros(len(values), np.int64) if begin is None else begin
+        end = np.full(len(values), self.n) if end is None else end
+        out = np.full(len(values), -1)
+        h, low = (values >> np.uint64(self.low_bits)).astype(np.int64), values & np.uint64((1 << self.low_bits) - 1)
+        ask = np.flatnonzero((begin < end) & (h < 64 * len(self.high) - self.n))
+        if not len(ask):
+            return out
+        h, low = h[ask], low[ask]
+        lo = np.maximum(np.where(h > 0, self._bit(self.zeros, np.maximum(h - 1, 0), True) + 1 - h, 0), begin[ask])
+        stop = np.minimum(self._bit(self.zeros, h, True) - h, end[ask])
+        hi = stop.copy()
+        open_ = np.flatnonzero(lo < hi)
+        while len(open_):
+            mid = (lo[open_] + hi[open_]) // 2
+            less = self._low(mid) < low[open_]
+            lo[open_[less]] = mid[less] + 1
+            hi[open_[~less]] = mid[~less]
+            open_ = open_[lo[open_] < hi[open_]]
+        at = np.flatnonzero(lo < stop)
+        at = at[self._low(lo[at]) == low[at]]
+        out[ask[at]] = lo[at]
+        return out
 
 
 def quantise(p: np.ndarray) -> np.ndarray:
-    """log10 of numbers in (0, 1] in steps of 1/32, as a byte; 255 for zero."""
+    """log10 of numbers in (0, 1] in 16 bits, rounded down, for numbers from 10^-15.9; 65535 for zero."""
     with np.errstate(divide="ignore"):
-        return np.where(p > 0, np.clip(np.rint(-np.log10(p) / STEP), 0, 254), 255).astype(np.uint8)
+        return np.where(p > 0, np.clip(np.ceil(-np.log10(p) / STEP), 0, 65534), 65535).astype(np.uint16)
+
+
+VALUES = np.append(10.0 ** (-STEP * np.arange(65535)), 0.0)
+
+
+class Level:
+    """The k-grams of a shard: children of the nodes of the level above."""
 
+    def __init__(self, arrays: dict[str, np.ndarray]) -> None:
+        part = lambda name: EliasFano(*map(int, arrays[f"{name}.shape"]), *(arrays[f"{name}.{x}"] for x in ("low", "high", "ones", "zeros")))
+        self.pointers, self.words = part("pointers"), part("words")
+        self.p, self.back = arrays["p"], arrays["back"]
 
-VALUES = np.append(10.0 ** (-STEP * np.arange(255)), 0.0)
+    @staticmethod
+    def arrays(parent: np.ndarray, n_parents: int, word: np.ndarray, p: np.ndarray, back: np.ndarray) -> dict[str, np.ndarray]:
+        """Of nodes in order of (parent, word)."""
+        size = np.bincount(parent, minlength=n_parents)
+        pointers = np.concatenate(([0], np.cumsum(size)))
+        full = np.flatnonzero(size)
+        last = word[pointers[full + 1] - 1]
+        base = np.zeros(n_parents, np.uint64)
+        base[full] = np.cumsum(last) - last
+        coded = {"pointers": EliasFano.encode(pointers), "words": EliasFano.encode(base[parent] + word)}
+        return {f"{n}.{k}": v for n, c in coded.items() for k, v in c.items()} | {"p": quantise(p), "back": quantise(back)}
+
+    def successors(self, parent: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """The node of each (parent, word), -1 where there is none; parents are sorted."""
+        own, which = np.unique(parent, return_inverse=True)
+        begin, end = self.pointers.access(own).astype(np.int64), self.pointers.access(own + 1).astype(np.int64)
+        base = np.where(begin > 0, self.words.access(np.maximum(begin - 1, 0)) if self.words.n else 0, 0).astype(np.uint64)
+        return self.words.find(base[which] + word.astype(np.uint64), begin[which], end[which])
 
 
 # --- shards -----------------------------------------------------------------------------------
 
-def _put(path: str, array: np.ndarray) -> None:
+def _put(path: str, arrays: dict[str, np.ndarray]) -> None:
+    """Arrays in one file, each on a multiple of 64 bytes, behind a line that says where."""
     files, at = fs.FileSystem.from_uri(path) if ":" in path.split("/")[0] else (fs.LocalFileSystem(), path)
-    data = io.BytesIO()
-    np.save(data, array)
+    places, size = {}, 0
+    for name, array in arrays.items():
+        places[name] = (array.dtype.str, len(array), size)
+        size += -(-array.nbytes // 64) * 64
+    head = json.dumps(places).encode()
+    head += b" " * (-(len(head) + 9) % 64) + b"\n"
     with files.open_output_stream(at, compression=None) as out:
-        out.write(data.getbuffer())
+        out.write(len(head).to_bytes(8, "little") + head)
+        for array in arrays.values():
+            out.write(np.ascontiguousarray(array).view(np.uint8).data)
+            out.write(bytes(-array.nbytes % 64))
 
 
-def _get(path: str) -> np.ndarray:
-    """Memory-mapped where it lies if that is a mounted folder, else from a copy of this process."""
+def _get(path: str) -> dict[str, np.ndarray]:
+    """Memory-mapped where the file lies if that is a mounted folder, else from a copy without a name, which ends with the mapping."""
     at = path.removeprefix("file://").removeprefix("file:")
-    if ":" in at.split("/")[0]:
+    copied = ":" in at.split("/")[0]
+    if copied:
         files, inner = fs.FileSystem.from_uri(path)
-        at = os.path.join(tempfile.mkdtemp(prefix="shard-"), "array.npy")
-        with files.open_input_stream(inner, compression=None) as source, open(at, "wb") as copy:
+        handle, at = tempfile.mkstemp(prefix="shard-")
+        with files.open_input_stream(inner, compression=None) as source, os.fdopen(handle, "wb") as copy:
             while block := source.read(1 << 22):
                 copy.write(block)
-    return np.load(at, mmap_mode="r")
+    data = np.memmap(at, np.uint8, "r")
+    if copied:
+        os.remove(at)
+    head = 8 + int.from_bytes(data[:8].tobytes(), "little")
+    places = json.loads(data[8:head].tobytes())
+    return {n: data[head + start:head + start + length * np.dtype(kind).itemsize].view(kind) for n, (kind, length, start) in places.items()}
 
 
 def slot_of(hashes: np.ndarray, slots: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(slots) >> np.uint64(32)).astype(np.int64)
 
 
+def _order(columns: list[np.ndarray]) -> np.ndarray:
+    """Places that sort the rows; as one number each where that fits."""
+    widths = [int(c.max()) + 1 for c in columns]
+    if math.prod(widths) >= 1 << 63:
+        return np.lexsort(columns[::-1])
+    key = np.zeros(len(columns[0]), np.uint64)
+    for column, width in zip(columns, widths, strict=True):
+        key = key * np.uint64(width) + column.astype(np.uint64)
+    return np.argsort(key)
+
+
 def _grouped(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """Distinct rows in order, counts summed."""
     if not len(counts):
         return columns, counts
-    order = np.lexsort(columns[::-1])
+    order = _order(columns)
     columns = [c[order] for c in columns]
-    first = np.concatenate(([True], np.any([c[1:] != c[:-1] for c in columns], axis=0)))
+    new = columns[0][1:] != columns[0][:-1]
+    for c in columns[1:]:
+        new |= c[1:] != c[:-1]
+    first = np.concatenate(([True], new))
     return [c[first] for c in columns], np.add.reduceat(counts[order], np.flatnonzero(first))
 
 
+def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and of each key its place among them."""
+    order = np.argsort(keys)
+    ranked = keys[order]
+    new = np.concatenate(([True], ranked[1:] != ranked[:-1])) if len(keys) else np.zeros(0, bool)
+    place = np.empty(len(keys), np.int64)
+    place[order] = np.cumsum(new) - 1
+    return ranked[new], place
+
+
 def _word_counts(slots: int):
     def emit(hashes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
         (hashes,), counts = _grouped([hashes], counts)
@@ -190,8 +279,7 @@ def _write_words(folder: str):
             parts = [(np.cumsum(unpack(d, np.uint64), dtype=np.uint64), unpack(c, np.uint64)) for _, d, c in group]
             (hashes,), counts = _grouped([np.concatenate([p[0] for p in parts])], np.concatenate([p[1] for p in parts]))
             path = f"{folder}/words-{slot}-{uuid.uuid4().hex}"
-            _put(f"{path}.hash.npy", hashes)
-            _put(f"{path}.count.npy", counts)
+            _put(path, {"hash": hashes, "count": counts})
             yield batch_of({"slot": (pa.int32(), [slot]), "path": (pa.string(), [path]), "n": (pa.int64(), [len(hashes)]), "total": (pa.int64(), [int(counts.sum())])})
 
     return run
@@ -215,7 +303,8 @@ class Vocabulary:
 
     def _shard(self, s: int) -> tuple[np.ndarray, np.ndarray]:
         if s not in self._open:
-            self._open[s] = _get(f"{self.paths[s]}.hash.npy"), _get(f"{self.paths[s]}.count.npy")
+            arrays = _get(self.paths[s])
+            self._open[s] = arrays["hash"], arrays["count"]
         return self._open[s]
 
     def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -312,16 +401,14 @@ def _write_grams(folder: str, vocabulary: Vocabulary, order: int, discount: floa
             for level in range(2, order + 1):
                 key = parent.astype(np.uint64) * np.uint64(vocabulary.n) + columns[level - 1]
                 new = np.concatenate(([True], key[1:] != key[:-1]))
-                total, mine, own = np.add.reduceat(counts, np.flatnonzero(new)), key[new], parent[new]
+                total, own = np.add.reduceat(counts, np.flatnonzero(new)), parent[new]
                 spoken = columns[level - 1][new] != np.uint64(pad)
                 whole = np.bincount(own[spoken], total[spoken], minlength=n_parents)
-                for name, array in EliasFano.encode(mine, n_parents * vocabulary.n).items():
-                    _put(f"{path}.{level}.{name}.npy", array)
-                _put(f"{path}.{level}.p.npy", quantise(np.where(spoken, total - np.minimum(discount, total), 0.0) / np.maximum(whole[own], 1)))
+                p = np.where(spoken, total - np.minimum(discount, total), 0.0) / np.maximum(whole[own], 1)
                 with np.errstate(invalid="ignore", divide="ignore"):
                     back = np.where(whole > 0, discount * np.bincount(own[spoken], minlength=n_parents) / whole, 1.0)
-                _put(f"{path}.{level}.back.npy", quantise(back))
-                parent, n_parents = np.cumsum(new) - 1, len(mine)
+                _put(f"{path}.{level}", Level.arrays(own, n_parents, columns[level - 1][new], p, back))
+                parent, n_parents = np.cumsum(new) - 1, len(own)
             yield batch_of({"slot": (pa.int32(), [slot]), "path": (pa.string(), [path])})
 
     return run
@@ -341,38 +428,46 @@ class Trie:
     def start(self) -> int:
         return int(self.vocabulary.look_up(np.array([START], np.uint64))[0][0])
 
-    def _level(self, slot: int, level: int):
+    def _level(self, slot: int, level: int) -> Level:
         if (slot, level) not in self._open:
-            path = f"{self.shards[slot]}.{level}"
-            n, low_bits = map(int, _get(f"{path}.shape.npy"))
-            code = EliasFano(n, low_bits, *(_get(f"{path}.{x}.npy") for x in ("low", "high", "ones")))
-            self._open[slot, level] = code, _get(f"{path}.p.npy"), _get(f"{path}.back.npy")
+            self._open[slot, level] = Level(_get(f"{self.shards[slot]}.{level}"))
         return self._open[slot, level]
 
     def unigram(self, counts: np.ndarray) -> np.ndarray:
         return (counts + 1) / (self.tokens + self.words + 1)
 
-    def extend(self, grams: list[np.ndarray], p: np.ndarray) -> np.ndarray:
-        """p(w | longer h) from p(w | shorter h), for sorted distinct grams (h..., w)."""
-        out, n = p.copy(), self.vocabulary.n
-        cuts = np.searchsorted(grams[0], self.vocabulary.first)
-        for slot in np.flatnonzero(cuts[1:] > cuts[:-1]):
-            if slot not in self.shards:
-                continue
-            mine = slice(cuts[slot], cuts[slot + 1])
-            node = grams[0][mine] - self.vocabulary.first[slot]
-            for level in range(2, len(grams) + 1):
-                code, prob, back = self._level(int(slot), level)
-                word = grams[level - 1][mine]
-                place = np.full(len(node), -1)
-                ask = np.flatnonzero((node >= 0) & (word < n))
-                place[ask] = code.find(node[ask].astype(np.uint64) * np.uint64(n) + word[ask].astype(np.uint64))
-                if level == len(grams):
-                    found = np.where(place >= 0, VALUES[prob[np.maximum(place, 0)]], 0.0)
-                    weight = np.where(node >= 0, VALUES[back[np.maximum(node, 0)]], 1.0)
-                    out[mine] = found + weight * p[mine]
-                node = place
-        return out
+    def probabilities(self, line: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """p(w | the order - 1 words before) at each place of a line of word numbers, from order - 1 on; `counts` by place.
+
+        Level by level: the context of a gram is the gram of the place before, whose node is known, so each
+        distinct gram of the line takes one step down."""
+        p, n = self.unigram(counts), self.vocabulary.n
+        words, gram = _numbered(line)
+        slot = np.searchsorted(self.vocabulary.first, words, side="right") - 1
+        node = np.where(words < n, words - self.vocabulary.first[np.minimum(slot, self.vocabulary.slots - 1)], -1)
+        width = len(words)
+        word = gram
+        for level in range(2, self.order + 1):
+            # places before order - 1 have no whole context and are not asked for
+            before = np.concatenate(([0], gram[:-1]))
+            distinct, gram = _numbered(before * width + word)
+            parent, last = distinct // width, words[distinct % width]
+            slot, context = slot[parent], node[parent]
+            found, weight, node = np.zeros(len(distinct)), np.ones(len(distinct)), np.full(len(distinct), -1)
+            known = np.flatnonzero(context >= 0)
+            cuts = np.searchsorted(slot[known], np.arange(self.vocabulary.slots + 1))
+            for s in np.flatnonzero(cuts[1:] > cuts[:-1]):
+                if s not in self.shards:
+                    continue
+                mine = known[cuts[s]:cuts[s + 1]]
+                grams = self._level(int(s), level)
+                weight[mine] = VALUES[grams.back[context[mine]]]
+                ask = mine[last[mine] < n]
+                node[ask] = place = grams.successors(context[ask], last[ask])
+                hit = place >= 0
+                found[ask[hit]] = VALUES[grams.p[place[hit]]]
+            p = np.minimum(found[gram] + weight[gram] * p, 1.0)  # the bound is exact but for the last bit
+        return p
 
 
 def train(docs: DataFrame, folder: str | None = None, order: int = ORDER, discount: float = DISCOUNT) -> Trie:
@@ -404,16 +499,9 @@ def _score(trie: Trie):
             first = np.cumsum(sizes) - sizes
             base = np.log10(trie.unigram(counts))
             line, place = _padded(tokens, sizes, trie.order - 1, 0, trie.start)
-            p = trie.unigram(counts)
-            for k in range(2, trie.order + 1):
-                columns = [line[place - k + 1 + i] for i in range(k)]
-                order = np.lexsort(columns[::-1])
-                sorted_ = [c[order] for c in columns]
-                new = np.concatenate(([True], np.any([c[1:] != c[:-1] for c in sorted_], axis=0)))
-                # a token's shorter probability depends on its last words only, so equal grams agree
-                value = trie.extend([c[new] for c in sorted_], p[order][new])
-                p = np.empty_like(p)
-                p[order] = value[np.cumsum(new) - 1]
+            seen = np.zeros(len(line), np.int64)
+            seen[place] = counts
+            p = trie.probabilities(line, seen)[place]
             yield batch_of({
                 "doc_id": (pa.int64(), [k[0] for k in keys]), "n_tokens": (pa.int64(), pa.array(sizes)),
                 "n_known": (pa.int64(), pa.array(np.add.reduceat((counts > 0).astype(np.int64), first))),
