@@ -40,7 +40,7 @@ from .common import _Numbers, batch_of, slices
 END_ID = 2
 ROW_GROUP, PAGE, PAGE_ROWS = 16 << 20, 256 << 10, 2_000
 #: Bytes of text encoded at once; pieces up to KEPT_CHARS characters are remembered, about KEPT of them.
-CHUNK, KEPT, KEPT_CHARS = 1 << 20, 400_000, 64
+CHUNK, KEPT, KEPT_CHARS = 4 << 20, 400_000, 64
 #: The split of tokenizers that drop white space and part runs of letters, single digits and runs of other marks (fixed value).
 LETTERS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: A place that this split always parts: a mark other than the apostrophe behind a letter.
@@ -53,6 +53,14 @@ LAYOUT = {
 }
 
 
+def _strings(pieces: pa.Array) -> list[str]:
+    """As Python strings, of one text: pieces hold no line end."""
+    if not len(pieces):
+        return []
+    whole = pa.ListArray.from_arrays(pa.array([0, len(pieces)], pa.int32()), pieces)
+    return pc.binary_join(whole, pa.scalar("\n", pieces.type))[0].as_py().split("\n")
+
+
 class Encoder:
     """Ids of whole texts; a piece between blanks is encoded once while it is remembered."""
 
@@ -66,6 +74,7 @@ class Encoder:
         normal = [n["type"] for n in (model.get("normalizer") or {}).get("normalizers", [])]
         # what stands for white space is removed before anything else of the model, so blanks part the text
         self.apart = split.get("pattern", {}).get("Regex") == LETTERS and split.get("behavior") == "Removed" and split.get("invert") is True and normal == ["NFC", "Replace", "Lowercase"]
+        self.lower = all(t["content"].startswith("<") for t in model.get("added_tokens", []))
         self._forget()
 
     def _forget(self) -> None:
@@ -108,11 +117,13 @@ class Encoder:
             coded = [self.tokenizer.encode_batch_fast([t], add_special_tokens=False)[0].ids + [end] for t in texts.to_pylist()]
             return np.array([i for ids in coded for i in ids], np.int32), np.array([len(ids) for ids in coded], np.int64)
         texts = pc.replace_substring(texts.cast(pa.large_string()), "\n", " ")
+        # these models know no upper case; added tokens, which are found before that, begin with a sign of their own
+        texts = pc.if_else(pc.match_substring(texts, "<"), texts, pc.ascii_lower(texts)) if self.lower else texts
         texts = pc.replace_substring_regex(texts, CUT, r"\1 \2")
         words = pc.split_pattern(texts, " ")
         at = words.offsets.to_numpy()
         coded = words.values.slice(at[0], at[-1] - at[0]).dictionary_encode()
-        numbers, sizes, flat = self._known(coded.dictionary.to_pylist())
+        numbers, sizes, flat = self._known(_strings(coded.dictionary))
         # behind each text a piece of its own, the end
         stops = at[1:] - at[0] + np.arange(len(texts))
         line = np.full(len(coded) + len(texts), len(sizes), np.int64)
