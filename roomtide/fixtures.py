@@ -81,6 +81,15 @@ class Panel:
             gone.alias("is_gone"), F.when(gone, _d(AS_OF)).alias("gone_at"),
         )
 
+    @cached_property
+    def places(self) -> DataFrame:
+        """Customers as points on the map; a third of them stands at one place."""
+        k = F.col("c_custkey")
+        crowd = k % 3 == 0
+        lat = F.when(crowd, 37.5412).otherwise(F.lit(37.5) + (k % 97) * F.lit(0.00103))
+        lng = F.when(crowd, 127.0007).otherwise(F.lit(127.0) + _div(k, 97) % 11 * F.lit(0.00091))
+        return self.raw("customer").select(k.alias("point_id"), lat.alias("lat"), lng.alias("lng"))
+
     def _per_day(self, df: DataFrame, days: list[str], name: str) -> DataFrame:
         return df.withColumn(name, F.explode(F.array(*[_d(d) for d in days])))
 

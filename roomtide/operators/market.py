@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions.classify import OTHER
-from ..functions.geo import within_radius
+from ..functions.geo import EARTH_M, METRES_PER_DEGREE, within_radius
 from ..functions.stats import Pct, aggregate_with_percentiles
 from ..keys import MARKET, MARKET_CODES, VENUE_DAY
+from ..session import stage
+from .nearby import radius_join
 from .occupancy import known_category
 from .relational import latest_per
 
@@ -170,16 +172,10 @@ def demand_trend(reviews: DataFrame, venues: DataFrame, other: str = OTHER) -> D
     )
 
 
-def market_at(
-    base: DataFrame, lat: float, lng: float, radius_m: int = 1000, category: str | None = None
-) -> DataFrame:
-    """Competition around a point, per category, largest first."""
-    near = within_radius(base.where(F.col("lat").isNotNull()), lat, lng, radius_m)
-    if category is not None:
-        near = near.where(F.col("category") == category)
+def _competition(near: DataFrame, keys: list[str]) -> DataFrame:
     new, one = F.col("is_newcomer"), F.count(F.lit(1))
     return aggregate_with_percentiles(
-        near, ["category"],
+        near, keys,
         [
             one.alias("n_spaces"), F.count_if("active_90d").alias("n_active"),
             F.count_distinct("host_id").alias("n_hosts"),
@@ -194,7 +190,67 @@ def market_at(
             "median_pyeong": Pct(F.col("total_pyeong"), scale=2, digits=3),
             "newcomer_median_rate": _pace(new, 50),
         },
-    ).orderBy(F.desc("n_spaces"))
+    )
+
+
+def market_at(
+    base: DataFrame, lat: float, lng: float, radius_m: int = 1000, category: str | None = None
+) -> DataFrame:
+    """Competition around a point, per category, largest first."""
+    near = within_radius(base.where(F.col("lat").isNotNull()), lat, lng, radius_m)
+    if category is not None:
+        near = near.where(F.col("category") == category)
+    return _competition(near, ["category"]).orderBy(F.desc("n_spaces"))
+
+
+def market_near(points: DataFrame, key: str, base: DataFrame, radius_m: int = 1000) -> DataFrame:
+    """Competition around each point of a table, per point and category; `key` names the points."""
+    met = radius_join(points, base, radius_m).select(F.col(f"point.{key}").alias(key), "place.*")
+    return _competition(stage(met, "near-points"), [key, "category"])
+
+
+#: Body of the SQL table function; percentiles are taken of whole numbers, so they are exact before they are rounded.
+_MARKET_AT = """
+CREATE OR REPLACE TEMPORARY FUNCTION {name}(
+  at_lat DOUBLE, at_lng DOUBLE, radius_m DOUBLE DEFAULT 1000, only_category STRING DEFAULT NULL
+)
+RETURNS TABLE (
+  category STRING, n_spaces BIGINT, n_active BIGINT, n_hosts BIGINT, n_newcomers BIGINT, n_newcomers_zero BIGINT,
+  operating_rate DECIMAL(6,3), median_rate DECIMAL(20,6), p25_rate DECIMAL(20,6), median_price DECIMAL(20,1),
+  median_pyeong DECIMAL(20,3), newcomer_median_rate DECIMAL(20,6)
+)
+RETURN
+SELECT category, count(*), count_if(active_90d), count(DISTINCT host_id), count_if(is_newcomer),
+  count_if(is_newcomer AND review_total = 0),
+  CAST(round(CAST(count_if(active_90d) AS DECIMAL(20,0)) / count(*), 3) AS DECIMAL(6,3)),
+  {incumbent_50}, {incumbent_25}, {price_50}, {pyeong_50}, {newcomer_50}
+FROM {view}
+WHERE lat BETWEEN at_lat - radius_m / {metre} * 1.001 AND at_lat + radius_m / {metre} * 1.001
+  AND {distance} <= radius_m AND (only_category IS NULL OR category = only_category)
+GROUP BY category
+"""
+
+
+def _sql_percentile(value: str, p: int, scale: int, digits: int) -> str:
+    whole = f"CAST(CAST({value} AS DECIMAL(28,{scale})) * {10**scale} AS BIGINT)"
+    return f"CAST(round(CAST(percentile({whole}, {p / 100}) AS DECIMAL(28,2)) / {10**scale}, {digits}) AS DECIMAL(20,{digits}))"
+
+
+def register_market_at(base: DataFrame, name: str = "market_at", view: str = "market_base") -> None:
+    """Make `SELECT * FROM market_at(lat, lng[, radius_m[, category]])` available in the session: `base` becomes the
+    view, and a temporary SQL table function with defaults reads it. The function is expanded into the query, so
+    its conditions reach the scan of the base."""
+    base.createOrReplaceTempView(view)
+    rate = lambda cond: f"CASE WHEN {cond} THEN reviews_per_month END"
+    distance = f"""{2 * EARTH_M} * asin(least(1.0D, sqrt(pow(sin((radians(lat) - radians(at_lat)) / 2), 2)
+      + cos(radians(at_lat)) * cos(radians(lat)) * pow(sin(radians(lng - at_lng) / 2), 2))))"""
+    base.sparkSession.sql(_MARKET_AT.format(
+        name=name, view=view, metre=METRES_PER_DEGREE, distance=distance,
+        incumbent_50=_sql_percentile(rate("active_90d AND NOT is_newcomer"), 50, 3, 6),
+        incumbent_25=_sql_percentile(rate("active_90d AND NOT is_newcomer"), 25, 3, 6),
+        price_50=_sql_percentile("median_price", 50, 0, 1), pyeong_50=_sql_percentile("total_pyeong", 50, 2, 3),
+        newcomer_50=_sql_percentile(rate("is_newcomer"), 50, 3, 6),
+    ))
 
 
 # --- occupancy and revenue ----------------------------------------------------------------

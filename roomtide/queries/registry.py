@@ -10,7 +10,7 @@ from pyspark.sql.types import DateType, DecimalType, ShortType, TimestampType
 
 from ..fixtures import AS_OF, DAY, OBSERVED, OTHER, Panel, panel
 from ..keys import RATE, RATE_DAY, UNIT
-from ..operators import blocking, legacy, market, occupancy, packages, pricing, settled
+from ..operators import blocking, legacy, market, nearby, occupancy, packages, pricing, settled
 from ..operators.relational import latest_as_of
 from ..plans import reports
 
@@ -275,6 +275,27 @@ def market_at_category(p: Panel) -> DataFrame:
     return market.market_at(p.base, 37.53, 127.0, 2500, "studio")
 
 
+@query
+def market_at_sql(p: Panel) -> DataFrame:
+    """Through the session's SQL table function, with its defaults and with a category."""
+    market.register_market_at(p.base)
+    return p.spark.sql("""
+        SELECT 'all' AS asked, * FROM market_at(37.53D, 127.0D, 2500)
+        UNION ALL SELECT 'default', * FROM market_at(37.53D, 127.0D)
+        UNION ALL SELECT 'studio', * FROM market_at(37.53D, 127.0D, only_category => 'studio', radius_m => 2500)""")
+
+
+@query
+def venues_near_points(p: Panel) -> DataFrame:
+    met = nearby.radius_join(p.places, p.venues, 300)
+    return met.select("point.point_id", "place.space_id", F.round("distance_m").cast("int").alias("metres"))
+
+
+@query
+def market_near_points(p: Panel) -> DataFrame:
+    return market.market_near(p.places, "point_id", p.base, 400)
+
+
 @query
 def booking_market(p: Panel) -> DataFrame:
     return market.booking_market(p.fill, p.venues, p.snapshots, OTHER)
