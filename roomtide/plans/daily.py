@@ -8,17 +8,17 @@ from pyspark.sql import functions as F
 
 from ..functions.classify import OTHER
 from ..keys import OBSERVED_RATE, RATE_DAY, VENUE_DAY
-from ..operators import blocking, occupancy, packages, revenue, settled
+from ..operators import blocking, occupancy, packages, revenue, settled, validity
 from ..session import staging_scope
 from ..sources.writers import replace_partition
+from .kept import ClosedLog, Kept
 from .quality import MAX_DAYS, missing_days
 
 OBSERVATIONS, PACKAGES, RATES, UNITS = "observation", "package", "rate_snapshot", "unit_snapshot"
 VENUES = "venue"
 CLASSES, FILL, HEAT, LEAD = "hour_class", "venue_fill", "heatmap", "lead_curve"
 REVENUE, SETTLED = "venue_revenue", "venue_settled"
-SEEN, PRICES = "last_seen", "latest_packages"
-KEPT = "kept_on"
+SEEN, PRICES, CLOSED_LOG = "last_seen", "latest_packages", "closed_log"
 
 
 class Tables:
@@ -61,30 +61,34 @@ def derive_fill(t: Tables, date: str, other: str = OTHER) -> None:
     replace_partition(lead, t.path(LEAD), value=date)
 
 
-def _kept(t: Tables, name: str, source: DataFrame, date: str, first, roll, sort: list[str]) -> DataFrame:
-    """A kept "latest per key" table as of `date`.
+def kept_prices(t: Tables, date: str) -> Kept:
+    """Latest prices as of a day. Rows beyond `date` are of later source days, which a state does not hold."""
+    return Kept(
+        t, PRICES, PACKAGES,
+        lambda rows: packages.latest_packages(rows, date),
+        lambda kept, rows: packages.roll_latest_packages(kept, rows, date),
+        RATE_DAY,
+    )
+
+
+def kept_seen(t: Tables) -> Kept:
+    return Kept(t, SEEN, OBSERVATIONS, settled.last_seen, settled.roll_last_seen, RATE_DAY)
+
 
-    It is brought forward from the last state kept before `date` by the observation days since
-    then, so the history is read once and never again, and a day that is landed and derived twice
-    still counts in its last form. Remove the table to rebuild it after older days were corrected.
-    """
+def closed_log(t: Tables) -> ClosedLog:
+    return ClosedLog(t, CLOSED_LOG, CLASSES)
+
+
+def closed_as_of(t: Tables, date: str) -> DataFrame:
+    """Closed hours by the last classification of each rate type up to a day."""
     day = F.lit(date).cast("date")
-    days = t.days_of(name, KEPT).where(F.col(KEPT) < day)
-    last = days.agg(F.max(KEPT).alias("d")).collect()[0]["d"]  # one value
-    state = lambda d: t.read(name).where(F.col(KEPT) == F.lit(d).cast("date")).drop(KEPT)
-    upto = occupancy.on_or_before(source, date)
-    fresh = first(upto) if last is None else roll(state(last), upto.where(F.col("observed_date") > F.lit(last)))
-    replace_partition(fresh, t.path(name), KEPT, value=date, sort=sort)
-    return state(date)
+    with staging_scope(t.spark):
+        log = closed_log(t).as_of(date)
+    return validity.latest_masks(log, day).withColumn("observed_date", day)
 
 
 def latest_prices(t: Tables, date: str) -> DataFrame:
-    return _kept(
-        t, PRICES, t.read(PACKAGES), date,
-        lambda rows: packages.latest_packages(rows, date),
-        lambda kept, rows: packages.roll_latest_packages(kept, rows, date),
-        RATE_DAY,
-    )
+    return kept_prices(t, date).as_of(date)
 
 
 def derive_revenue(t: Tables, date: str) -> None:
@@ -98,10 +102,11 @@ def derive_revenue(t: Tables, date: str) -> None:
 
 
 def derive_settled(t: Tables, as_of: str) -> None:
-    """Counted revenue, from the kept table of last observations and of latest package prices."""
+    """Counted revenue, from the kept tables of last observations and of latest package prices and from the log of
+    closed hours; of the history only days are read that these do not hold yet."""
     obs = t.read(OBSERVATIONS)
-    seen = _kept(t, SEEN, obs, as_of, settled.last_seen, settled.roll_last_seen, RATE_DAY)
-    closed = occupancy.masks_of_classes(t.read(CLASSES))
+    seen = kept_seen(t).as_of(as_of)
+    closed = closed_as_of(t, as_of)
     prices = latest_prices(t, as_of)
     with staging_scope(t.spark):
         result = settled.venue_settled(
@@ -119,9 +124,13 @@ def gaps(t: Tables, max_days: int = MAX_DAYS) -> DataFrame:
 
 def backfill(t: Tables, max_days: int = MAX_DAYS, other: str = OTHER) -> list[str]:
     """Derive what is missing, oldest day first, occupancy before revenue. The gap list has at
-    most `max_days` rows."""
-    done = []
-    for gap in gaps(t, max_days).collect():
+    most `max_days` rows. Counted revenue of the newest day is derived again when an older day has been filled, which it did not know."""
+    done: list[str] = []
+    found = gaps(t, max_days).collect()
+    newest = t.days_of(OBSERVATIONS, "observed_date").agg(F.max("observed_date")).first()[0]
+    late = any(g["day"] < newest for g in found)
+    counted: set[str] = set()
+    for gap in found:
         day = gap["day"].isoformat()
         if gap["need_fill"]:
             derive_fill(t, day, other)
@@ -129,5 +138,8 @@ def backfill(t: Tables, max_days: int = MAX_DAYS, other: str = OTHER) -> list[st
             derive_revenue(t, day)
         if gap["need_settled"]:
             derive_settled(t, day)
+            counted.add(day)
         done.append(day)
+    if late and newest.isoformat() not in counted:
+        derive_settled(t, newest.isoformat())
     return done

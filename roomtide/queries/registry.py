@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,10 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, ShortType, TimestampType
 
 from ..fixtures import AS_OF, DAY, OBSERVED, OTHER, Panel, panel
+from ..functions import hours as H
 from ..keys import RATE, RATE_DAY, UNIT
-from ..operators import blocking, legacy, market, nearby, occupancy, packages, pricing, settled
+from ..operators import blocking, legacy, market, nearby, occupancy, packages, pricing, settled, validity
 from ..operators.relational import latest_as_of
-from ..plans import reports
+from ..plans import daily, reports
+from ..session import shared_dir, staging_scope
+from ..sources.writers import replace_partition
 
 Query = Callable[[Panel], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -200,6 +204,45 @@ def venue_settled_rolled(p: Panel) -> DataFrame:
     return p.venue_settled(seen=seen)
 
 
+def _landed_late(p: Panel) -> daily.Tables:
+    """Tables whose days land out of order; after each landing the kept tables are brought up to the newest day."""
+    t = daily.Tables(p.spark, f"{shared_dir(p.spark)}/late-{uuid.uuid4().hex}")
+    on = lambda df, d: df.where(F.col("observed_date") == F.lit(d).cast("date"))
+    newest = ""
+    for day in (OBSERVED[1], OBSERVED[3], OBSERVED[0], OBSERVED[2]):
+        for name, table in ((daily.OBSERVATIONS, p.observations), (daily.PACKAGES, p.packages), (daily.CLASSES, p.classes)):
+            replace_partition(on(table, day), t.path(name), value=day)
+        newest = max(newest, day)
+        daily.kept_seen(t).as_of(newest)
+        daily.kept_prices(t, newest).as_of(newest)
+        with staging_scope(p.spark):
+            daily.closed_log(t).as_of(newest)
+    return t
+
+
+@query
+def venue_settled_late(p: Panel) -> DataFrame:
+    """Counted revenue from kept tables, after days have landed late."""
+    t = _landed_late(p)
+    closed = daily.closed_as_of(t, AS_OF)
+    seen, prices = daily.kept_seen(t).as_of(AS_OF), daily.latest_prices(t, AS_OF)
+    return settled.venue_settled(p.observations, closed, p.rates, p.units, prices, AS_OF, seen=seen)
+
+
+@query
+def latest_hour_class_logged(p: Panel) -> DataFrame:
+    """Closed hours as of a day, from the log of changes."""
+    log = daily.closed_log(_landed_late(p)).as_of(AS_OF)
+    hours = validity.latest_masks(log, F.lit(AS_OF).cast("date")).withColumn("hour", F.explode(F.sequence(F.lit(0), F.lit(23))))
+    return hours.select(*RATE, "hour", H.has_hour("closed_mask", F.col("hour")).alias("is_closed"))
+
+
+@query
+def closed_changes(p: Panel) -> DataFrame:
+    """Days on which the closed hours of a rate type became other ones."""
+    return validity.change_log(p.classes).select(*RATE, "valid_from", F.bit_count("closed_mask").alias("n_closed"))
+
+
 @query
 def last_seen(p: Panel) -> DataFrame:
     total = F.aggregate(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import tempfile
 import uuid
@@ -59,6 +60,39 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(at, True)
 
 
+def _files(spark: SparkSession, table: str) -> Iterator[tuple[str, int]]:
+    """Data files below a folder, hidden ones left out: path inside the folder and length."""
+    fs, at = _located(spark, table)
+    if not fs.exists(at):
+        return
+    top = fs.resolvePath(at).toUri().getPath().rstrip("/") + "/"
+    files = fs.listFiles(at, True)
+    while files.hasNext():
+        f = files.next()
+        inner = fs.resolvePath(f.getPath()).toUri().getPath().removeprefix(top)
+        if not re.search(r"(^|/)[._]", inner):
+            yield inner, f.getLen()
+
+
+def _digest(files: list[tuple[str, int]]) -> str:
+    return hashlib.sha1("\n".join(f"{n}:{size}" for n, size in sorted(files)).encode()).hexdigest()
+
+
+def fingerprint(spark: SparkSession, table: str) -> str:
+    """Digest of the names and lengths of all files of a table. Files are written under new names each time."""
+    return _digest(list(_files(spark, table)))
+
+
+def fingerprints(spark: SparkSession, table: str, column: str) -> dict[str, str]:
+    """The same per value of the partition column; empty for a table that is not partitioned by it."""
+    found: dict[str, list[tuple[str, int]]] = {}
+    for inner, size in _files(spark, table):
+        folder, _, name = inner.partition("/")
+        if name and folder.startswith(f"{column}="):
+            found.setdefault(folder.removeprefix(f"{column}="), []).append((name, size))
+    return {value: _digest(files) for value, files in found.items()}
+
+
 def put_in_place(spark: SparkSession, fresh: str, target: str) -> None:
     """Make the finished folder `fresh` the folder `target`.
 
