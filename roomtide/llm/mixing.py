@@ -29,9 +29,10 @@ from .common import word_count
 WEIGHTS, SHARE, CAP, SEED = (5, 2, 1), 1.5, 2, "mix-1"
 
 
-def hashed_unit(key: Column) -> Column:
-    """md5 of a text as a number in [0, 1)."""
-    return F.conv(F.substring(F.md5(key.cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+def hashed_unit(key: Column, seed: str = SEED) -> Column:
+    """Seeded md5 of a key (null counts as empty) as a number in [0, 1)."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit(""))).cast("binary"))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
 def text_digest(text: Column) -> Column:
@@ -79,8 +80,8 @@ def _copies(sized: DataFrame, sizes: DataFrame, order: Column, weights: tuple[in
     targets = source_targets(sizes, weights, share, cap).withColumnRenamed("source", "s")
     joined = numbered(sized, KEYS, order).join(targets, F.col("source").eqNullSafe(F.col("s")))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    name = F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "digest", F.col("number").cast("string"))
-    extra = hashed_unit(name) < rate - F.floor(rate)
+    name = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "digest", F.col("number").cast("string"))
+    extra = hashed_unit(name, seed) < rate - F.floor(rate)
     return joined.withColumn("copies", F.floor(rate) + extra.cast("long"))
 
 
