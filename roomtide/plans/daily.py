@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from ..functions.classify import OTHER
 from ..keys import OBSERVED_RATE, RATE_DAY, VENUE_DAY
 from ..operators import blocking, occupancy, packages, revenue, settled, validity
-from ..session import staging_scope
+from ..session import fingerprints, staging_scope
+from ..sources.published import Published
+from ..sources.shards import SHARD
 from ..sources.writers import replace_partition
 from .kept import ClosedLog, Kept
 from .quality import MAX_DAYS, missing_days
@@ -30,9 +32,22 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    @property
+    def store(self) -> Published:
+        """The tables of the folder that are published together: those that the load step and the stream write."""
+        return Published(self.spark, self.root)
+
     def read(self, name: str) -> DataFrame:
+        if self.store.holds(name):
+            rows = self.store.read(name)
+            return rows.drop(SHARD) if SHARD in rows.columns else rows
         return self.spark.read.parquet(self.path(name))
 
+    def versions(self, name: str, day: str) -> dict[str, str]:
+        """Days of a table, and for each the form it is in: another one after each rewrite."""
+        parts = self.store.manifest().tables.get(name)
+        return dict(parts) if parts is not None else fingerprints(self.spark, self.path(name), day)
+
     def days_of(self, name: str, day: str) -> DataFrame:
         """Distinct days of a table; an absent table has none."""
         try:

@@ -64,10 +64,9 @@ class Kept:
 
     def _source_days(self) -> dict[str, str]:
         """Days of the source and the form they are in; without partitions all days have the form of the whole table."""
-        spark, path = self.tables.spark, self.tables.path(self.source)
-        days = fingerprints(spark, path, SOURCE_DAY)
+        days = self.tables.versions(self.source, SOURCE_DAY)
         if not days:
-            whole = fingerprint(spark, path)
+            whole = fingerprint(self.tables.spark, self.tables.path(self.source))
             days = {r[0].isoformat(): whole for r in self.tables.days_of(self.source, SOURCE_DAY).collect()}
         return days
 
@@ -145,7 +144,7 @@ class ClosedLog:
     def as_of(self, date: str) -> DataFrame:
         """The log up to `date`, after folding what the classes hold and the log does not."""
         spark = self.tables.spark
-        now = fingerprints(spark, self.tables.path(self.classes), SOURCE_DAY)
+        now = self.tables.versions(self.classes, SOURCE_DAY)
         folded = self._folded()
         for day in sorted(d for d, v in now.items() if d <= date and folded.get(d) != v):
             self._fold(day, sorted(d for d in folded if d > day and d in now))

@@ -8,26 +8,24 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.classify import OTHER, RULES
 from ..operators.ingest import load_reviews, load_venues
-from ..session import exists, restore, stage, staging_scope
+from ..session import stage, staging_scope
 from ..sources import readers
-from ..sources.writers import (
-    HOURS_POLICY, KEEP_OLD, RUN_POLICY, VENUE_POLICY, dedupe_last, replace_partition, replace_table,
-    run_summary, upsert,
-)
-from ..streaming.landing import run_ingest
+from ..sources.published import Change
+from ..sources.shards import Sharded
+from ..sources.writers import HOURS_POLICY, KEEP_OLD, RUN_POLICY, VENUE_POLICY, dedupe_last, run_summary
+from ..streaming.landing import publish_ingest
 from .daily import OBSERVATIONS, PACKAGES, RATES, UNITS, VENUES, Tables
 
 SNAPSHOTS, TAGS, REVIEWS = "venue_snapshot", "venue_tag", "review"
 HOURS, RUNS = "venue_hours", "run"
 
 
-def merge_table(t: Tables, name: str, new: DataFrame, keys: list[str], policy: dict[str, str] | str) -> None:
-    """Upsert into a table that is not partitioned; the first load creates it. The keys of `new`
-    may repeat; without an order among them any one record counts."""
-    path = t.path(name)
-    restore(t.spark, path)
-    old = t.spark.read.schema(new.schema).parquet(path) if exists(t.spark, path) else new.limit(0)
-    replace_table(upsert(old, new, keys, policy), path)
+def merge_table(
+    t: Tables, change: Change, name: str, new: DataFrame, keys: list[str], policy: dict[str, str] | str, route: list[str] | None = None
+) -> list[str]:
+    """Upsert into a table without a date, as part of a change: the shards that hold keys of `new` are written anew, the
+    others are not read. Returns them. The keys of `new` may repeat; without an order among them any one record counts."""
+    return Sharded(t.store, name, new.schema, keys, route).merge(change, new, policy)
 
 
 def load_pages(
@@ -37,37 +35,46 @@ def load_pages(
 
     The landed files are parsed once, into a columnar copy that all five tables read; a gzip file
     is one task only for that step. Of a page that landed more than once the last copy counts.
-    Loading a day again changes nothing.
+    All tables change at once; loading a day again changes nothing.
     """
     with staging_scope(t.spark):
         once = stage(dedupe_last(readers.with_file_order(pages), ["id"], F.col("ordinal")), "pages")
         rows = load_venues(once, vintage, date, rules, default)
-        merge_table(t, VENUES, rows.venues, ["space_id"], VENUE_POLICY)
-        merge_table(t, TAGS, rows.tags, ["space_id", "tag"], KEEP_OLD)
+        change = t.store.begin()
+        merge_table(t, change, VENUES, rows.venues, ["space_id"], VENUE_POLICY)
+        merge_table(t, change, TAGS, rows.tags, ["space_id", "tag"], KEEP_OLD, ["space_id"])
         for name, daily, keys in (
             (SNAPSHOTS, rows.snapshots, ["space_id"]),
             (UNITS, rows.units, ["space_id", "product_id"]),
             (RATES, rows.rates, ["space_id", "product_id", "rsv_type_id"]),
         ):
-            replace_partition(daily, t.path(name), "snapshot_date", value=date, sort=keys)
+            change.put(name, daily, "snapshot_date", keys, [date])
+        change.publish()
 
 
 def load_listing(t: Tables, reviews: DataFrame, date: str) -> None:
     """Reviews by id; the first day a review was seen stays."""
-    merge_table(t, REVIEWS, load_reviews(reviews, date), ["review_id"], KEEP_OLD)
+    change = t.store.begin()
+    if merge_table(t, change, REVIEWS, load_reviews(reviews, date), ["review_id"], KEEP_OLD):
+        change.publish()
 
 
 def load_hours(t: Tables, meta: DataFrame, date: str) -> None:
-    merge_table(t, HOURS, readers.venue_hours(meta, date), ["space_id"], HOURS_POLICY)
+    change = t.store.begin()
+    merge_table(t, change, HOURS, readers.venue_hours(meta, date), ["space_id"], HOURS_POLICY)
+    change.publish()
 
 
 def load_run(t: Tables, date: str, listing: DataFrame, pages: DataFrame, reviews: DataFrame) -> None:
-    merge_table(t, RUNS, run_summary(date, listing, pages, reviews), ["run_date"], RUN_POLICY)
+    change = t.store.begin()
+    merge_table(t, change, RUNS, run_summary(date, listing, pages, reviews), ["run_date"], RUN_POLICY)
+    change.publish()
 
 
 def load_slots(t: Tables, folder: str, checkpoint: str) -> None:
-    """Observation and package rows of all slot files that landed since the last call."""
-    run_ingest(t.spark, folder, t.path(OBSERVATIONS), checkpoint, package_path=t.path(PACKAGES))
+    """Observation and package rows of all slot files that landed since the last call; the days and both tables
+    of a batch become visible together."""
+    publish_ingest(t.store, folder, checkpoint, OBSERVATIONS, PACKAGES)
 
 
 def skipped_past(slots: DataFrame) -> DataFrame:

@@ -19,7 +19,11 @@ def _list(values: list[str]) -> str:
 
 def add_landing(put) -> None:
     put("load_observations", f"SELECT {DIGEST} FROM obs")
-    put("streamed_observations", f"SELECT {DIGEST} FROM obs")
+    for name in ("streamed_observations", "published_observations"):
+        put(name, f"SELECT {DIGEST} FROM obs")
+    put("loaded_reviews", f"""
+        SELECT DISTINCT l_orderkey * 8 + l_linenumber AS review_id,
+          CASE WHEN (l_orderkey * 8 + l_linenumber) % 3 = 2 THEN '{AS_OF}' ELSE '{DAY}' END AS first_seen FROM lineitem""")
     put("flatten_calendar", f"SELECT {DIGEST} FROM (SELECT * REPLACE (hour_prices[1] AS price) FROM obs)")
     package = f"""SELECT {K3}, package_id, observed_date::VARCHAR AS observed_date,
         target_date::VARCHAR AS target_date, 'package ' || package_id AS name, shour, ehour, price,
@@ -27,6 +31,7 @@ def add_landing(put) -> None:
     put("load_packages", package)
     put("flatten_packages", package)
     put("streamed_packages", package)
+    put("published_packages", package)
     put("dedupe_last", f"""
         SELECT {DIGEST.replace("observed_date::VARCHAR AS observed_date", "'2026-01-02' AS observed_date")}
         FROM (FROM obs WHERE target_date >= DATE '2026-01-02'
@@ -42,7 +47,7 @@ def add_landing(put) -> None:
                 list_transform(hour_prices, lambda v: v IS NULL), true) THEN 1 ELSE 0 END AS n FROM obs)
         GROUP BY {K3}""")
     C.add("reviews_", """
-        SELECT l_orderkey * 8 + l_linenumber AS review_id, l_suppkey AS space_id, l_shipdate::DATE AS review_date
+        SELECT DISTINCT l_orderkey * 8 + l_linenumber AS review_id, l_shipdate::DATE AS review_date
         FROM lineitem""")
     put("sitemap_venues", "SELECT o_orderkey AS space_id, o_orderdate::DATE::VARCHAR AS lastmod FROM orders")
     put("listing_jsonl", "SELECT o_orderkey AS space_id, o_orderdate::DATE::VARCHAR AS lastmod FROM orders")

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .. import landed, schemas
 from ..fixtures import AS_OF, DAY, OTHER, Panel
@@ -19,7 +20,9 @@ from ..plans import load, quality, reports
 from ..plans.daily import Tables
 from ..session import shared_dir
 from ..sources import calendar, pages, readers, writers
-from ..streaming.landing import run_ingest
+from ..sources.published import Published
+from ..sources.shards import Sharded
+from ..streaming.landing import publish_ingest, run_ingest
 from .registry import query
 
 # English rules for the driver's documents; the oracle repeats them.
@@ -370,6 +373,41 @@ def streamed_packages(p: Panel) -> DataFrame:
     )
 
 
+@query
+def published_observations(p: Panel) -> DataFrame:
+    """The same files ingested into published tables, where the days of a batch become visible together."""
+    return _digest(_published(p).read("observation"))
+
+
+@query
+def published_packages(p: Panel) -> DataFrame:
+    return _published(p).read("package").select(
+        *RATE, "package_id", "observed_date", "target_date", "name", "shour", "ehour", "price", "available"
+    )
+
+
+def _published(p: Panel) -> Published:
+    path = landed.land(landed.slots(p.observations, p.packages), "slots", "json")
+    root = f"{shared_dir(p.spark)}/published-{uuid.uuid4().hex}"
+    store = Published(p.spark, f"{root}/tables")
+    publish_ingest(store, path, f"{root}/checkpoint", "observation", "package", files_per_batch=8)
+    return store
+
+
+@query
+def loaded_reviews(p: Panel) -> DataFrame:
+    """Reviews loaded in two overlapping parts into shards; of each the first day it was seen stays."""
+    t = Tables(p.spark, f"{shared_dir(p.spark)}/reviews-{uuid.uuid4().hex}")
+    schema = StructType().add("review_id", "long").add("space_id", "long").add("first_seen", "date")
+    table = Sharded(t.store, load.REVIEWS, schema, ["review_id"], rows_each=20_000)
+    for day, parts in ((DAY, (0, 1)), (AS_OF, (1, 2))):
+        rows = p.reviews.where((F.col("review_id") % 3).isin(*parts)).select("review_id", "space_id", F.lit(day).cast("date").alias("first_seen"))
+        change = t.store.begin()
+        table.merge(change, rows, "keep_old")
+        change.publish()
+    return table.read().select("review_id", "first_seen")  # of rows with equal ids any one is stored
+
+
 @query
 def loaded_tags(p: Panel) -> DataFrame:
     """Tags stored by the load plan from pages that landed twice, loaded on two days."""

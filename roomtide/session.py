@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -93,6 +94,45 @@ def fingerprints(spark: SparkSession, table: str, column: str) -> dict[str, str]
     return {value: _digest(files) for value, files in found.items()}
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder; an absent folder has none."""
+    fs, at = _located(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(at)) if fs.exists(at) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, at = _located(spark, path)
+    source = fs.open(at)
+    try:
+        return bytes(source.readAllBytes()).decode()
+    finally:
+        source.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, at = _located(spark, path)
+    out = fs.create(at, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def rename_new(spark: SparkSession, fresh: str, target: str) -> bool:
+    """Rename a file unless the target exists; the file system's own check, so of several writers one succeeds."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    old, new = hadoop.Path(fresh), hadoop.Path(target)
+    plain = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    context = hadoop.FileContext.getFileContext(old.getFileSystem(spark._jsc.hadoopConfiguration()).getUri(), spark._jsc.hadoopConfiguration())
+    try:
+        context.rename(old, new, plain)
+    except Py4JJavaError as e:
+        if "FileAlreadyExistsException" in e.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
 def put_in_place(spark: SparkSession, fresh: str, target: str) -> None:
     """Make the finished folder `fresh` the folder `target`.
 

@@ -17,6 +17,7 @@ from .. import schemas
 from ..keys import OBSERVATION, PACKAGE
 from ..operators.ingest import load_observations, load_packages
 from ..session import exists, remove, stage, staging_scope
+from ..sources.published import Published
 from ..sources.writers import OBSERVATION_POLICY, PACKAGE_POLICY, replace_partition, upsert
 
 FILES_PER_BATCH = 1000
@@ -108,3 +109,43 @@ def run_ingest(
     )
     query.awaitTermination()
     return query
+
+
+def publish_batch(batch: DataFrame, batch_id: int, store: Published, name: str, package_name: str) -> None:
+    """Merge one micro-batch into two published tables: all its days of both become visible together. The number of the
+    batch is published with them, so a batch that is played again after its publication changes nothing."""
+    change = store.begin()
+    if batch_id <= int(change.notes().get(f"{name}.batch", -1)):
+        return
+    order = F.struct("landed_at", "landed_in", F.monotonically_increasing_id().alias("row"))
+    with staging_scope(batch.sparkSession):
+        landed = stage(batch.withColumn("ordinal", order), "landed")
+        package = F.coalesce(F.col("kind") == "pkg", F.lit(False))
+        parts = (
+            (name, load_observations(landed.where(~package))[0], schemas.OBSERVATION, OBSERVATION, OBSERVATION_POLICY),
+            (package_name, load_packages(landed.where(package))[0], schemas.PACKAGE, PACKAGE, PACKAGE_POLICY),
+        )
+        for table, rows, schema, keys, policy in parts:
+            new = stage(rows, "batch")
+            days = [r[0].isoformat() for r in new.select("observed_date").distinct().collect()]  # days of one batch
+            old = change.read(table, schema, "observed_date", days)
+            merged = upsert(old, new, keys, policy).select(*[f.name for f in schema.fields])
+            change.put(table, merged, "observed_date", keys, days)
+    change.note({f"{name}.batch": str(batch_id)})
+    change.publish()
+
+
+def publish_ingest(
+    store: Published, folder: str, checkpoint: str, name: str, package_name: str, files_per_batch: int = FILES_PER_BATCH
+) -> StreamingQuery:
+    """Ingest everything that has landed since the last run into published tables, then stop."""
+    query = (
+        ingest_stream(store.spark, folder, files_per_batch=files_per_batch)
+        .writeStream.foreachBatch(lambda batch, n: publish_batch(batch, n, store, name, package_name))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    store.sweep()
+    return query
