@@ -196,7 +196,7 @@ def page_state_pages(p: Panel) -> DataFrame:
 def slot_versions(p: Panel) -> DataFrame:
     """All slot lines as if observed on the first day and landed again and again: `ordinal` tells
     which record of a key is the last."""
-    rows = slots(p.observations, p.packages.limit(0)).drop("kind")
+    rows = slots(p.observations, p.packages)
     return rows.withColumn("ordinal", F.col("observed")).withColumn("observed", F.lit("2026-01-02"))
 
 

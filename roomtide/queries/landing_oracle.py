@@ -36,6 +36,10 @@ def add_landing(put) -> None:
         SELECT {DIGEST.replace("observed_date::VARCHAR AS observed_date", "'2026-01-02' AS observed_date")}
         FROM (FROM obs WHERE target_date >= DATE '2026-01-02'
               QUALIFY row_number() OVER (PARTITION BY {K3}, target_date ORDER BY observed_date DESC) = 1)""")
+    put("dedupe_last_packages", f"""
+        SELECT {K3}, package_id, '2026-01-02' AS observed_date, target_date::VARCHAR AS target_date, shour, ehour, price
+        FROM pkg WHERE target_date >= DATE '2026-01-02'
+        QUALIFY row_number() OVER (PARTITION BY {K3}, package_id, target_date ORDER BY observed_date DESC) = 1""")
     put("drop_past_count", f"""
         SELECT count_if(target_date < DATE '{AS_OF}') AS n_skipped
         FROM (SELECT target_date FROM obs UNION ALL SELECT target_date FROM pkg)""")
@@ -148,11 +152,12 @@ def add_landing(put) -> None:
         SELECT '{AS_OF}' AS run_date, (SELECT count(*) FROM orders) AS spaces_listed,
           count_if(NOT is_gone) AS spaces_ok, count_if(is_gone) AS spaces_gone, 0 AS spaces_failed,
           (SELECT count(*) FROM lineitem) AS reviews_seen FROM page""")
-    three = "('연습실', '파티룸', '회의실')"
+    five = "('촬영스튜디오', '연습실', '파티룸', '회의실', '공유주방')"
     C.add("crosstab", f"""
         SELECT sigungu, count_if(category = '연습실') AS practice, count_if(category = '파티룸') AS party,
-          count_if(category = '회의실') AS meeting, count(*) AS total
-        FROM page WHERE NOT is_gone AND category IN {three} GROUP BY ALL""")
+          count_if(category = '회의실') AS meeting, count_if(category = '촬영스튜디오') AS studio,
+          count_if(category = '공유주방') AS kitchen, count(*) AS total
+        FROM page WHERE NOT is_gone AND category IN {five} GROUP BY ALL""")
     put("supply_crosstab", "FROM crosstab ORDER BY total DESC, sigungu LIMIT 15")
     put("supply_medians", f"""
         SELECT sigungu, category, n, {upper('p')}::DOUBLE AS price, {upper('a')}::DOUBLE AS pyeong
@@ -160,7 +165,7 @@ def add_landing(put) -> None:
                 list_sort(list(10000 + space_id % 20 * 1000 + 1000)) AS p,
                 list_sort(list(space_id % 40 * 3 + 6)) AS a
               FROM page JOIN (SELECT sigungu FROM crosstab ORDER BY total DESC, sigungu LIMIT 5) USING (sigungu)
-              WHERE NOT is_gone AND category IN {three} GROUP BY ALL) WHERE n >= 5""")
+              WHERE NOT is_gone AND category IN {five} GROUP BY ALL) WHERE n >= 5""")
     share = lambda source, c: f"""
         SELECT {c}, count(*) AS n, {ratio('count(*) * 100', f'(SELECT count(*) FROM {source})', 1)} AS share_pct
         FROM {source} GROUP BY {c}"""

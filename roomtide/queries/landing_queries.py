@@ -70,7 +70,14 @@ def load_packages(p: Panel) -> DataFrame:
 @query
 def dedupe_last(p: Panel) -> DataFrame:
     """Repeated landing of the same keys: the last record counts, past targets are dropped."""
-    return _digest(ingest.load_observations(landed.slot_versions(p))[0])
+    rows = landed.slot_versions(p)
+    return _digest(ingest.load_observations(rows.where("kind IS NULL").drop("kind"))[0])
+
+
+@query
+def dedupe_last_packages(p: Panel) -> DataFrame:
+    rows = ingest.load_packages(landed.slot_versions(p).where("kind = 'pkg'"))[0]
+    return rows.select(*RATE, "package_id", "observed_date", "target_date", "shour", "ehour", "price")
 
 
 @query
@@ -251,16 +258,19 @@ def run_summary(p: Panel) -> DataFrame:
     return writers.run_summary(AS_OF, p.listing, _snapshots(p), p.reviews)
 
 
+# The categories whose supply is compared.
+SUPPLY = {"촬영스튜디오": "studio", "연습실": "practice", "파티룸": "party", "회의실": "meeting", "공유주방": "kitchen"}
+
+
 @query
 def supply_crosstab(p: Panel) -> DataFrame:
     rows = reports.supply_rows(_snapshots(p))
-    table = reports.supply_crosstab(rows, ["연습실", "파티룸", "회의실"])
-    return table.withColumnsRenamed({"연습실": "practice", "파티룸": "party", "회의실": "meeting"})
+    return reports.supply_crosstab(rows, list(SUPPLY)).withColumnsRenamed(SUPPLY)
 
 
 @query
 def supply_medians(p: Panel) -> DataFrame:
-    return reports.supply_medians(reports.supply_rows(_snapshots(p)), ["연습실", "파티룸", "회의실"])
+    return reports.supply_medians(reports.supply_rows(_snapshots(p)), list(SUPPLY))
 
 
 @query
