@@ -49,11 +49,20 @@ def unescape(text: str) -> str:
     return re.sub(r"<\\([|\\])", r"<\1", text)
 
 
+def escape_role(role: str) -> str:
+    """A role stands on one line: its line breaks become a sign that escaped text can't hold."""
+    return escape(role).replace("\n", "<\\n")
+
+
+def unescape_role(role: str) -> str:
+    return re.sub(r"<\\([|\\n])", lambda m: "\n" if m[1] == "n" else f"<{m[1]}", role)
+
+
 def format_turns(turns: list[tuple[str, str]], n_repeated: int) -> tuple[str, list[dict[str, int]]]:
     """Text and loss spans of a window whose first `n_repeated` turns were seen before."""
     parts, at, spans = [], 0, []
     for i, (role, text) in enumerate(turns):
-        head, body = f"{START}{escape(role)}\n", escape(text)
+        head, body = f"{START}{escape_role(role)}\n", escape(text)
         if i >= n_repeated and role == "assistant":
             spans.append({"start": at + len(head), "stop": at + len(head) + len(body)})
         parts += [head, body, END]
@@ -65,7 +74,7 @@ def parse_turns(text: str) -> list[tuple[str, str]]:
     out = []
     for part in text.split(START)[1:]:
         role, body = part.removesuffix(END).split("\n", 1)
-        out.append((unescape(role), unescape(body)))
+        out.append((unescape_role(role), unescape(body)))
     return out
 
 

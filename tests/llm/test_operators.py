@@ -187,6 +187,31 @@ def test_chat_round_trip(spark):
     assert chat.read_chats(chat.format_chats(frame.limit(0))).count() == 0
 
 
+def test_chat_roles_with_line_breaks(spark):
+    turns = [("a\nb", "hello"), ("a", "b\nhello"), ("<\\n\n<|", "x")]
+    assert chat.parse_turns(chat.format_turns(turns, 0)[0]) == turns
+
+
+def test_repeated_vector_ids(spark):
+    rows = [(1, [1.0, 0.0, 0.0]), (1, [0.0, 1.0, 0.0]), (2, [1.0, 0.01, 0.0]), (3, [1.0, 0.0, 0.0]), (3, None)]
+    got = neardup_vectors.link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(1, 0, 1), (1, 2, 1), (2, 2, 1), (3, 0, 1), (3, 2, 1)]
+    assert neardup_vectors.link_vectors(spark.createDataFrame([], "vec_id long, embedding array<double>")).collect() == []
+
+
+def test_clauses_of_a_long_text_are_read_once():
+    """A text of 100,000 clauses with a hit in each, within seconds; clauses as when each stands alone."""
+    import time
+
+    g = toxicity.Grammar({"fool": 2.0}, {})
+    a = g.automaton()
+    text = "you are a fool. he said never a fool! " * 50_000
+    start = time.time()
+    total, _ = g.evidence(text, a)
+    assert time.time() - start < 30
+    assert total == pytest.approx(50_000 * (g.clause("you are a fool") + g.clause(" he said never a fool")))
+
+
 def test_elias_fano():
     keys = np.unique(np.random.default_rng(1).integers(0, 10**11, 3000).astype(np.uint64))
     for seq, universe in ((keys, 10**11), (np.arange(500, dtype=np.uint64), 500), (keys[:1], 10**11), (keys[:0], 10)):
