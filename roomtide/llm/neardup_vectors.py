@@ -200,9 +200,11 @@ def link_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     ready = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     clean = stage(ready.mapInArrow(_clean, "vec_id long, data binary"), "vectors")
     usable = clean.where("data is not null")
-    classes = stage(usable.groupBy("data").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("times")), "vector-classes")
+    # a number for each distinct vector, as equal ids may have different ones
+    classes = usable.groupBy("data").agg(F.min("vec_id").alias("low"), F.count(F.lit(1)).alias("times"))
+    classes = stage(classes.withColumn("id", F.monotonically_increasing_id()), "vector-classes")
     plan = Plan(classes.count(), cosine)
-    dealt = stage(classes.mapInArrow(_deal(plan), "cell long, tab int, tile long, id long, times long, data binary"), "vector-tiles")
+    dealt = stage(classes.select("id", "times", "data").mapInArrow(_deal(plan), "cell long, tab int, tile long, id long, times long, data binary"), "vector-tiles")
     sizes = dealt.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(f"n > {BLOCK}")
     parts = F.ceil(F.col("n") / BLOCK).cast("long")
     large = sizes.select("cell", parts.alias("parts"))
@@ -214,11 +216,15 @@ def link_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     order = ["cell", "part", "tab", "tile"]
     found = stage(blocks.repartition("cell", "part").sortWithinPartitions(*order).mapInArrow(_link(plan), "u long, v long, n long"), "vector-links")
     counts = found.groupBy(F.col("u").alias("id")).agg(F.sum("n").alias("others"))
-    members = usable.join(classes, "data").select("vec_id", "id", "times")
-    edges = found.select("u", "v").unionByName(members.select(F.col("vec_id").alias("u"), F.col("id").alias("v")))
-    groups = components(edges, "u", "v").withColumnRenamed("id", "vec_id")
-    linked = members.join(counts, "id", "left").groupBy("vec_id").agg(F.max(F.col("times") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
-    out = clean.select("vec_id").join(linked, "vec_id", "left").join(groups, "vec_id", "left")
+    members = usable.join(classes, "data").select("vec_id", "id", "times", "low")
+    lowest = lambda c, name: classes.select(F.col("id").alias(c), F.col("low").alias(name))
+    edges = found.select("u", "v").distinct().join(lowest("u", "a"), "u").join(lowest("v", "b"), "v").select("a", "b")
+    edges = edges.unionByName(members.select(F.col("vec_id").alias("a"), F.col("low").alias("b")))
+    groups = components(edges, "a", "b").withColumnRenamed("id", "vec_id")
+    # each row by its own vector, also where an id is repeated
+    linked = members.join(counts, "id", "left").select("vec_id", (F.col("times") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    alone = clean.where("data is null").select("vec_id", F.lit(0).cast("long").alias("n_links"))
+    out = linked.unionByName(alone).join(groups, "vec_id", "left")
     component = F.coalesce("component", "vec_id")
     return out.select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
