@@ -15,7 +15,7 @@ classes (targets, negations, verbs of speech, threats) are fixed lists.
 
 Null and empty texts have no evidence and get the curve's lowest score. Documents are scored whole,
 row by row: repeated rows score alike, other columns are ignored. Without usable labels the
-lexicon is empty and every document gets the same score. Null labels and ids are not learned from.
+lexicon is empty and only the fixed threats raise a score. Null labels and ids are not learned from.
 """
 
 from __future__ import annotations
@@ -113,7 +113,7 @@ class Grammar:
             start = end - length + 1
             if start < done or (start and low[start - 1].isalnum()):
                 continue
-            begin = max(low.rfind(mark, 0, start) for mark in ".!?;:\n") + 1
+            begin = max(low.rfind(mark, max(done, 0), start) for mark in ".!?;:\n") + 1
             stop = _CLAUSE.search(low, end)
             done = stop.start() if stop else len(low)
             total += self.clause(low[begin:done])
@@ -141,7 +141,7 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = {w for w in _WORD.findall((text or "").lower()) if len(w) > 2}
         seen[toxic].update("w" + w for w in words)
         seen[toxic].update({"s" + w[:k] for w in words for k in STEMS if len(w) > k})
-        if len(seen[0]) > 200_000:
+        if len(seen[0]) + len(seen[1]) > 200_000:
             yield flush()
     yield flush()
 
