@@ -213,6 +213,7 @@ def _postings(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "id": (pa.int64(), pa.array(np.repeat(batch.column("id").to_numpy(), sizes))),
             "n": (pa.int32(), pa.array(np.repeat(batch.column("n").to_numpy(), sizes))),
             "pos": (pa.int32(), pa.array((np.arange(sizes.sum()) - first + np.repeat(skip, sizes)).astype(np.int32))),
+            "skip": (pa.int32(), pa.array(np.repeat(skip, sizes))),
         })
 
 
@@ -357,10 +358,12 @@ def _search(docs: DataFrame, words: int, share: int) -> tuple[DataFrame, DataFra
     copies = alive.join(classes, "digest").where("doc_id <> rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
     texts = docs.join(classes.select(F.col("rep").alias("doc_id"), "digest"), "doc_id").dropDuplicates(["doc_id", "digest", "text"])
     sets = stage(counted(texts, True).mapInArrow(_ordered(share), "id long, n int, skip int, short binary, shingles binary, digest binary"), "sets")
-    postings = stage(sets.select("id", "n", "skip", "short").mapInArrow(_postings, "shingle long, id long, n int, pos int"), "short-lists")
+    postings = stage(sets.select("id", "n", "skip", "short").mapInArrow(_postings, "shingle long, id long, n int, pos int, skip int"), "short-lists")
 
-    ends = postings.groupBy("shingle").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
-    met = postings.select("shingle", "id").join(ends, "shingle").select("id", F.explode(F.array("lo", "hi")).alias("end"))
+    # the member with the fewest shingles of its own is the likeliest to be what the others are copies of
+    middle = F.min(F.struct("skip", "id"))["id"].alias("mid")
+    ends = postings.groupBy("shingle").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), middle).where("lo < hi")
+    met = postings.select("shingle", "id").join(ends, "shingle").select("id", F.explode(F.array("lo", "hi", "mid")).alias("end"))
     pairs = met.where("id <> end").select(F.least("id", "end").alias("u"), F.greatest("id", "end").alias("v")).distinct()
     links = stage(_links(pairs, sets, share), "links")
 
