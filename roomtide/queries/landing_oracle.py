@@ -21,6 +21,7 @@ def add_landing(put) -> None:
     put("load_observations", f"SELECT {DIGEST} FROM obs")
     for name in ("streamed_observations", "published_observations"):
         put(name, f"SELECT {DIGEST} FROM obs")
+    put("landed_files", "SELECT (SELECT count(*) FROM obs) + (SELECT count(*) FROM pkg) AS n_rows, 0::BIGINT AS n_cut, true AS all_read")
     put("loaded_reviews", f"""
         SELECT DISTINCT l_orderkey * 8 + l_linenumber AS review_id,
           CASE WHEN (l_orderkey * 8 + l_linenumber) % 3 = 2 THEN '{AS_OF}' ELSE '{DAY}' END AS first_seen FROM lineitem""")

@@ -19,7 +19,7 @@ from ..operators import ingest, occupancy, pricing, relational, vintage
 from ..plans import load, quality, reports
 from ..plans.daily import Tables
 from ..session import shared_dir
-from ..sources import calendar, pages, readers, writers
+from ..sources import calendar, ledger, pages, readers, writers
 from ..sources.published import Published
 from ..sources.shards import Sharded
 from ..streaming.landing import publish_ingest, run_ingest
@@ -361,6 +361,16 @@ def replaced_partitions(p: Panel) -> DataFrame:
     )
 
 
+@query
+def landed_files(p: Panel) -> DataFrame:
+    """What the ledger of a landing folder says of whole files: all rows read, nothing cut."""
+    files = ledger.landing_ledger(p.spark, landed.land(landed.slots(p.observations, p.packages), "slots", "json"))
+    return files.agg(
+        F.sum("n_rows").alias("n_rows"), F.count_if("is_cut").alias("n_cut"),
+        F.bool_and(F.col("plain_bytes") == F.col("read_bytes")).alias("all_read"),
+    )
+
+
 @query
 def streamed_observations(p: Panel) -> DataFrame:
     """Slot files ingested by a restartable stream, in several batches, upserted by key."""
