@@ -1,10 +1,10 @@
 """Toxicity by a weighted finite-state pattern grammar over clauses.
 
-Lexical transducers read a clause's tokens and write symbols: INSULT and THREAT with a weight, TARGET,
-NEGATION, REPORT, or nothing. The grammar transducer reads the symbols left to right; its state is
-(tokens that a negation still covers, speech is reported, a target was named). An insult adds its weight,
+A lexical transducer reads a clause's tokens and writes symbols: INSULT and THREAT with a weight, TARGET,
+NEGATION, REPORT, or nothing. Three transducers over these symbols are composed into one: negation (its state is how many
+tokens it still covers), reported speech and target (whether one was met). An insult adds its weight,
 damped if negated or reported; a threat counts only in a clause that names a target; a target
-raises the whole clause. A document's evidence is the sum over its matched clauses, so isolated
+raises the whole clause, as the final weights of the composed states say. A document's evidence is the sum over its matched clauses, so isolated
 function words never score. A logistic curve over the evidence and its share per clause gives the
 score.
 
@@ -23,7 +23,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import ahocorasick
@@ -44,7 +44,11 @@ NEGATED, REPORTED, TARGETED, REACH = 0.5, 0.6, 1.5, 3
 TARGETS = "you your yours yourself he she him her they them du dich dir ihr euch sie vous toi tu te usted ustedes ti ellos".split()
 NEGATIONS = "not never no none nobody nicht nie kein keine niemals jamais aucun nunca jamás ningún".split()
 REPORTS = 'said says say told wrote claimed sagte sagt schrieb dit disait écrit dijo dice escribió " « » “ ” „'.split()
-THREATS = "kill hurt murder destroy strangle stab töten umbringen tuer frapper matar golpear".split()
+THREATS = (
+    "kill kills killed killing hurt hurts hurting murder murders murdered murdering destroy destroys destroyed destroying "
+    "strangle strangles strangled strangling stab stabs stabbed stabbing töten tötet tötete getötet umbringen umbringt "
+    "umgebracht tuer tuerai tuera frapper frappe frapperai matar mataré matará golpear golpea golpearé"
+).split()
 THREAT_WEIGHT = 4.0
 
 _CLAUSE = re.compile(r"[.!?;:\n]+")
@@ -52,6 +56,56 @@ _TOKEN = re.compile(r"[^\W\d_]+|[\"«»“”„]")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+SYMBOLS = ("", "INSULT", "THREAT", "TARGET", "NEGATION", "REPORT")
+
+
+@dataclass(frozen=True)
+class Transducer:
+    """A deterministic weighted transducer over symbols. An arc (state, symbol) leads to a state, writes a symbol and
+    multiplies its weight; a final state multiplies the insults and the threats of a clause."""
+
+    start: object
+    arcs: dict[tuple[object, str], tuple[object, str, float]]
+    finals: dict[object, tuple[float, float]]
+
+
+def transducer(states: Iterable, step: Callable[[object, str], tuple[object, float]], final: Callable[[object], tuple[float, float]]) -> Transducer:
+    """From a step (state, symbol) -> (state, factor); every symbol is written as it is read. The first state starts."""
+    states = list(states)
+    arcs = {(q, s): (step(q, s)[0], s, step(q, s)[1]) for q in states for s in SYMBOLS}
+    return Transducer(states[0], arcs, {q: final(q) for q in states})
+
+
+def compose(a: Transducer, b: Transducer) -> Transducer:
+    """What `a` writes is read by `b`: states are pairs, weights multiply; only pairs that can be reached are kept."""
+    start = (a.start, b.start)
+    arcs, finals, open_ = {}, {}, [start]
+    while open_:
+        p, q = pair = open_.pop()
+        if pair in finals:
+            continue
+        finals[pair] = tuple(x * y for x, y in zip(a.finals[p], b.finals[q], strict=True))
+        for symbol in SYMBOLS:
+            p2, middle, f = a.arcs[p, symbol]
+            q2, out, g = b.arcs[q, middle]
+            arcs[pair, symbol] = (p2, q2), out, f * g
+            open_.append((p2, q2))
+    return Transducer(start, arcs, finals)
+
+
+_HARMS = ("INSULT", "THREAT")
+_ALL = (1.0, 1.0)
+#: State: how many of the next tokens a negation still covers.
+NEGATION = transducer(
+    range(REACH + 1), lambda q, s: (REACH if s == "NEGATION" else max(0, q - 1), NEGATED if q and s in _HARMS else 1.0), lambda q: _ALL
+)
+#: State: whether a verb of speech or a quotation mark came before.
+REPORT = transducer((False, True), lambda q, s: (q or s == "REPORT", REPORTED if q and s in _HARMS else 1.0), lambda q: _ALL)
+#: State: whether a target was named. Threats without one count nothing.
+TARGET = transducer((False, True), lambda q, s: (q or s == "TARGET", 1.0), lambda q: (TARGETED, TARGETED) if q else (1.0, 0.0))
+PATTERN = compose(compose(NEGATION, REPORT), TARGET)
+
+
 @dataclass(frozen=True)
 class Grammar:
     """Weights of whole words and of stems (a stem fits any word it begins), and the curve."""
@@ -75,22 +129,15 @@ class Grammar:
         return ("INSULT", weight) if weight else ("", 0.0)
 
     def clause(self, text: str) -> float:
-        """Weight of the best and only path: the grammar is deterministic."""
-        covered, reported, target = 0, False, False
-        insults = threats = 0.0
+        """Weight of the clause's only path through the lexical transducer and the composed grammar."""
+        state, mass = PATTERN.start, [0.0, 0.0]
         for token in _TOKEN.findall(text):
             symbol, weight = self.lexical(token)
-            if symbol == "TARGET":
-                target = True
-            elif symbol == "NEGATION":
-                covered = REACH + 1
-            elif symbol == "REPORT":
-                reported = True
-            elif symbol:
-                weight *= (NEGATED if covered else 1.0) * (REPORTED if reported else 1.0)
-                insults, threats = insults + weight * (symbol == "INSULT"), threats + weight * (symbol == "THREAT")
-            covered = max(0, covered - 1)
-        return (insults + threats) * TARGETED if target else insults
+            state, out, factor = PATTERN.arcs[state, symbol]
+            if weight:
+                mass[out == "THREAT"] += weight * factor
+        insults, threats = PATTERN.finals[state]
+        return mass[0] * insults + mass[1] * threats
 
     def automaton(self) -> ahocorasick.Automaton:
         found = ahocorasick.Automaton()

@@ -212,6 +212,25 @@ def test_clauses_of_a_long_text_are_read_once():
     assert total == pytest.approx(50_000 * (g.clause("you are a fool") + g.clause(" he said never a fool")))
 
 
+def test_composed_grammar_equals_a_plain_reading():
+    """Clauses of all symbols in any order against reading them with plain variables."""
+    def plain(symbols):
+        covered, reported, target, insults, threats = 0, False, False, 0.0, 0.0
+        for s in symbols:
+            w = {"I": 2.0, "H": toxicity.THREAT_WEIGHT}.get(s, 0.0) * (toxicity.NEGATED if covered else 1) * (toxicity.REPORTED if reported else 1)
+            insults, threats = insults + w * (s == "I"), threats + w * (s == "H")
+            covered = toxicity.REACH + 1 if s == "N" else covered
+            target, reported, covered = target or s == "T", reported or s == "R", max(0, covered - 1)
+        return (insults + threats) * toxicity.TARGETED if target else insults
+
+    words = {"I": "fool", "H": "killing", "T": "you", "N": "never", "R": "said", "-": "tree"}
+    g = toxicity.Grammar({"fool": 2.0}, {})
+    r = random.Random(2)
+    for symbols in [*itertools.product(words, repeat=3), *[[r.choice("IHTNR--") for _ in range(r.randint(0, 14))] for _ in range(2_000)]]:
+        assert g.clause(" ".join(words[s] for s in symbols)) == pytest.approx(plain(symbols))
+    assert len(toxicity.PATTERN.finals) == (toxicity.REACH + 1) * 4
+
+
 def test_elias_fano():
     keys = np.unique(np.random.default_rng(1).integers(0, 10**11, 3000).astype(np.uint64))
     for seq, universe in ((keys, 10**11), (np.arange(500, dtype=np.uint64), 500), (keys[:1], 10**11), (keys[:0], 10)):
