@@ -13,7 +13,7 @@ a filter on doc_id, or on part and offset, reads only the pages it needs, and a
 before each range; `read_tokens` adds it to the offset, which gives every document's place in the whole.
 
 Tokens: a tokenizer that splits at white space before anything else of its model encodes each piece between
-blanks once per task; whole texts are put together from them, and the ids are those of the whole text.
+blanks once per worker process; whole texts are put together from them, and the ids are those of the whole text.
 With other tokenizers each text is encoded as one piece. Documents are in ascending order of doc_id, null first; equal ids are
 ordered by a hash of their text. Null and empty texts have the end id alone; repeated rows are documents of their own;
 other columns are ignored; an empty table gives files without rows.
@@ -22,10 +22,13 @@ other columns are ignored; an empty table gives files without rows.
 from __future__ import annotations
 
 import json
+import os
+import sys
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 from itertools import compress, islice
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +48,8 @@ CHUNK, KEPT, KEPT_CHARS = 4 << 20, 400_000, 64
 LETTERS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: A place that this split always parts: a mark other than the apostrophe behind a letter.
 CUT = r"([A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}])([,.;:!?])"
+#: Functions travel with a job by value, so what outlives a task stands in a module of its own.
+KEPT_IN = "_token_encoders"
 STORED = "doc_id long, part int, offset long, n_tokens long, ids array<int>"
 LAYOUT = {
     "compression": "zstd", "parquet.writer.version": "v2", "parquet.block.size": str(ROW_GROUP), "parquet.page.size": str(PAGE),
@@ -136,9 +141,20 @@ class Encoder:
         return flat[place], np.diff(ends[stops], prepend=0)
 
 
+def _encoder(path: str) -> Encoder:
+    """One of a worker process: a worker runs many tasks, and pieces come again from task to task."""
+    kept = sys.modules.setdefault(KEPT_IN, ModuleType(KEPT_IN)).__dict__
+    file = os.stat(path)
+    key = (path, file.st_size, file.st_mtime_ns)
+    if key not in kept:
+        kept.clear()
+        kept[key] = Encoder(path)
+    return kept[key]
+
+
 def _encoded(path: str, end: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, offset = Encoder(path), TaskContext.get().partitionId(), 0
+        encoder, part, offset = _encoder(path), TaskContext.get().partitionId(), 0
 
         def emit(held: list[pa.RecordBatch]) -> pa.RecordBatch:
             nonlocal offset
