@@ -7,7 +7,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalars import col
-from ..session import stage
 
 
 def latest_per(df: DataFrame, keys: list[str], order) -> DataFrame:
@@ -37,51 +36,67 @@ def islands(df: DataFrame, keys: list[str], order: str, label: str = "blk") -> D
     return df.withColumn(label, F.col(order) - F.row_number().over(w))
 
 
+#: Ranges of a global order at most, and values that are looked at for the bounds of each.
+RANGES, LOOKED_AT = 200, 20
+
+
+def _ranges(df: DataFrame, order: list[str]) -> Column:
+    """Number of a row's range in a global order: how many bounds its place is not before.
+
+    The bounds are literals, taken from a bounded random sample of the places, of which every task sends no more than
+    are looked at. Any bounds give the same results; equal places share a range."""
+    place = F.struct(*[F.col(c) for c in order])
+    n = min(RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    some = df.select(*order).orderBy(F.rand(7)).limit(n * LOOKED_AT).collect()
+    ranked = sorted({tuple(r) for r in some}, key=lambda r: tuple((v is not None, v) for v in r))
+    bounds = ranked[len(ranked) // n:: max(1, len(ranked) // n)][: n - 1]
+    types = [df.schema[c].dataType for c in order]
+    literal = lambda row: F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(row, types, order, strict=True)])
+    if not bounds:
+        return F.lit(0)
+    return F.size(F.filter(F.array(*map(literal, bounds)), lambda b: b <= place))
+
+
 def suffix_min(df: DataFrame, order: str, value: str, out: str = "suffix_min") -> DataFrame:
     """For each row the smallest `value` among rows with the same or a larger `order`.
 
-    Three range-partitioned steps instead of one global window: ranges of `order` are written
-    sorted, each range contributes one minimum, and each row combines the running minimum inside
-    its range with the minimum of all later ranges. Only one row per range is ever put in a
-    single order.
+    No global window: rows are dealt into ranges of `order`, each range brings its minimum (one row per range on
+    the driver), and each row combines the running minimum inside its range with what the later ranges bring. The rows
+    are shuffled once.
     """
-    parts = stage(
-        df.repartitionByRange(order).withColumn("rng", F.spark_partition_id()), "suffix-min"
-    )
-    lows = parts.groupBy("rng").agg(F.min(value).alias("low"))
+    dealt = df.withColumn("rng", _ranges(df, [order]))
+    lows = {r.rng: r.low for r in dealt.groupBy("rng").agg(F.min(value).alias("low")).collect()}  # one row per range
+    after, least = [], None
+    for rng in range(max(lows, default=0), -1, -1):
+        after.append(F.lit(least).cast(df.schema[value].dataType))
+        known = [v for v in (least, lows.get(rng)) if v is not None]
+        least = min(known) if known else None
     # Descending order with a frame that grows from the front: a frame that shrinks towards the
     # end would be evaluated anew for every row.
-    later = W.orderBy(F.desc("rng")).rowsBetween(W.unboundedPreceding, -1)
-    after = lows.select("rng", F.min("low").over(later).alias("after"))
     inside = W.partitionBy("rng").orderBy(F.desc(order)).rangeBetween(W.unboundedPreceding, W.currentRow)
-    return (
-        parts.withColumn("here", F.min(value).over(inside))
-        .join(F.broadcast(after), "rng")  # one row per range, at most the shuffle partition count
-        .withColumn(out, F.least("here", "after"))
-        .drop("rng", "here", "after")
-    )
+    later = F.get(F.array(*reversed(after)), F.col("rng"))
+    return dealt.withColumn(out, F.least(F.min(value).over(inside), later)).drop("rng")
 
 
 def stride_sample(df: DataFrame, order: list[str], n: int = 12) -> DataFrame:
     """`n` rows at a fixed stride of the order: rows 0, s, 2s, .. with s = rows div n.
 
-    Ranks come from range partitions and their row counts, so no task sees the whole order.
+    Ranks come from ranges and their row counts, one row per range on the driver, so no task sees the whole order;
+    the rows are shuffled once.
     """
-    parts = stage(
-        df.repartitionByRange(*order).withColumn("rng", F.spark_partition_id()), "stride"
-    )
-    sizes = parts.groupBy("rng").agg(F.count(F.lit(1)).alias("size"))
-    before = W.orderBy("rng").rowsBetween(W.unboundedPreceding, -1)
-    start = sizes.select("rng", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
-    rows = parts.agg(F.count(F.lit(1))).scalar()
-    step = F.greatest(F.lit(1), F.call_function("div", rows, F.lit(n)))
+    dealt = df.withColumn("rng", _ranges(df, order))
+    sizes = {r.rng: r.size for r in dealt.groupBy("rng").agg(F.count(F.lit(1)).alias("size")).collect()}  # one row per range
+    starts, rows = [], 0
+    for rng in range(max(sizes, default=0) + 1):
+        starts.append(rows)
+        rows += sizes.get(rng, 0)
+    step = F.lit(max(1, rows // n)).cast("long")
     rank = F.row_number().over(W.partitionBy("rng").orderBy(*order)) - 1
+    at = rank + F.get(F.array(*[F.lit(s).cast("long") for s in starts]), F.col("rng"))
     return (
-        parts.withColumn("at", rank)
-        .join(F.broadcast(start), "rng")  # one row per range
-        .withColumn("at", F.col("at") + F.col("start"))
+        dealt.withColumn("at", at)
         .where((F.col("at") % step == 0) & (F.call_function("div", F.col("at"), step) < n))
-        .drop("rng", "start", "at")
+        .drop("rng", "at")
     )
 
 

@@ -212,6 +212,24 @@ def test_suffix_minimum_over_many_ranges(spark):
     assert got == want
 
 
+def test_global_orders_take_one_shuffle(spark):
+    """Ties, nulls, a hot place, two columns; the rows are exchanged once."""
+    rows = [(5, i) for i in range(300)] + [(i % 40, -i) for i in range(200)] + [(None, 7), (None, 900)]
+    df = spark.createDataFrame(rows, "x int, y int").repartition(5)
+    made = relational.suffix_min(df, "x", "y", "s")
+    known = lambda v: (v is not None, v)
+    want = sorted((known(x), y, min(b for a, b in rows if known(a) >= known(x))) for x, y in rows)
+    assert sorted((known(r.x), r.y, r.s) for r in made.collect()) == want
+    sample = relational.stride_sample(df, ["x", "y"], 9)
+    ranked = sorted(rows, key=lambda r: (known(r[0]), r[1]))
+    assert sorted((known(r.x), r.y) for r in sample.collect()) == [(known(ranked[i * 55][0]), ranked[i * 55][1]) for i in range(9)]
+    for plan in (made, sample):
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        text = text.split("== Initial Plan ==")[-1]
+        assert text.count("Exchange hashpartitioning") == 1 and "Exchange rangepartitioning" not in text
+    assert relational.suffix_min(df.limit(0), "x", "y").collect() == [] == relational.stride_sample(df.limit(0), ["x"]).collect()
+
+
 def test_stride_sample_and_recent_gaps(spark):
     df = spark.range(100).withColumnRenamed("id", "x")
     assert sorted(r.x for r in relational.stride_sample(df, ["x"], 12).collect()) == [i * 8 for i in range(12)]
