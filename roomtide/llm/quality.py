@@ -106,6 +106,7 @@ def _train(weights: np.ndarray, cuts: np.ndarray, epochs: int, rate: float, seed
         ]
         if not rows:
             return
+        rows.sort(key=lambda r: (r[1].tolist(), r[2].tolist(), r[0]))
         w, t = weights.copy(), cuts.copy()
         sw, st = np.full(len(w), 1e-6), np.full(len(t), 1e-6)
         order = np.random.default_rng(seed)
@@ -166,7 +167,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int
     grade = {"grade": F.when(good == 0, 0).otherwise(2 - toxic)}
     known = labelled_sample(docs, labels, F.col("quality").isin(0, 1), grade, sample, seed).select("text", "grade")
     hashed = known.mapInArrow(_features, "grade int, places array<int>, values array<double>")
-    hashed = stage(hashed.repartition(PARTS, F.xxhash64("places")), "quality-features")
+    # in an order of their own, so that a run again takes the same steps
+    dealt = hashed.repartition(PARTS, F.xxhash64("places")).sortWithinPartitions("places", "values", "grade")
+    hashed = stage(dealt, "quality-features")
     weights, cuts = np.zeros(1 << BITS), np.array([-2.0, 0.0])
     for r in range(rounds):
         parts = hashed.mapInArrow(_train(weights, cuts, EPOCHS, RATE / (1 + r), r), "n long, w binary, t binary").collect()

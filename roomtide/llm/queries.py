@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import settle
 from . import chat, decontaminate, hard_negatives, jaccard, lm, mixing, neardup_vectors, quality, token_files, toxicity, urls, warc, whitening
 from .common import table
 
@@ -22,11 +23,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return settle(spark, "op2", lambda: decontaminate.decontaminate(docs, items))
 
 
 def op3_vector_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup_vectors.link_vectors(table(spark, sf_dir, "embeddings"))
+    return settle(spark, "op3", lambda: neardup_vectors.link_vectors(table(spark, sf_dir, "embeddings")))
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +37,7 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_links(table(spark, sf_dir, "documents"))
+    return settle(spark, "op5", lambda: jaccard.jaccard_links(table(spark, sf_dir, "documents")))
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +65,7 @@ def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = mixing.mix_plan(table(spark, sf_dir, "documents"))
+    plan = settle(spark, "op10", lambda: mixing.mix_plan(table(spark, sf_dir, "documents")))
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
