@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from roomtide.llm import decontaminate, jaccard, mixing, quality, toxicity
 from roomtide.llm.common import table
-from roomtide.session import shared_dir, stage
+from roomtide.session import remove, shared_dir, stage, staging_scope
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -74,9 +74,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The mixed documents. What a stage has staged is removed when its result is written, and the result when the
+    next one's is; the last stage's stay for the frame that is returned."""
+    docs, before = table(spark, sf_dir, "documents"), None
     folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, step in STAGES[:-1]:
-        step(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        with staging_scope(spark):
+            step(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            remove(spark, f"{folder}/{before}")
+        before = name
     return STAGES[-1][1](spark, docs, sf_dir)
