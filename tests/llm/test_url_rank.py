@@ -23,3 +23,40 @@ def test_edges_of_ancestors_and_schemeless_links(spark):
     one = {("a.b.example.org", "b.example.org"), ("a.b.example.org", "example.org")}
     assert set(got) == one | {(b, a) for a, b in one} | {("a.b.example.org", "other.net"), ("a.b.example.org", "img.net")}
     assert set(got.values()) == {1}
+
+
+def test_verdicts_of_a_mixed_graph(spark):
+    """Trust and distrust over a random graph with both kinds of seeds, against dense power iteration."""
+    import random
+
+    import numpy as np
+
+    r, n = random.Random(12), 40
+    rows, links, seeds = [], np.zeros((n, n)), {"allow": np.zeros(n), "block": np.zeros(n)}
+    for i in range(n):
+        out = [r.randrange(n) for _ in range(r.randint(0, 5))]
+        html = "".join(f'<a href="http://h{j}.net/x">' for j in out)
+        kind = {0: "ok", 1: "bad"}.get(r.randrange(6), "x")
+        rows.append((i, f"http://h{i}.net/{kind}", html))
+        for j in out:
+            links[i, j] += i != j
+        if kind != "x":
+            seeds["allow" if kind == "ok" else "block"][i] += 1
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    rules = (urls.Rule("allow", "net", "/ok"), urls.Rule("block", "net", "/bad"))
+    got = {x.page_id: x for x in urls.judge_urls(pages, rules).collect()}
+
+    def rank(w, seed):
+        share = w / np.maximum(w.sum(axis=1, keepdims=True), 1)
+        seed = seed / seed.sum()
+        p = seed
+        for _ in range(400):
+            p = (1 - urls.DAMPING) * seed + urls.DAMPING * p @ share
+        return p / p.sum()
+
+    trust, distrust = rank(links, seeds["allow"]), rank(links.T, seeds["block"])
+    assert {x.verdict for x in got.values()} == {"allow", "block"}
+    for i in range(n):
+        assert got[i].trust == pytest.approx(trust[i], abs=2e-6) and got[i].distrust == pytest.approx(distrust[i], abs=2e-6)
+        if got[i].rule is None and abs(trust[i] - distrust[i]) > 1e-5:
+            assert got[i].verdict == ("block" if distrust[i] > trust[i] else "allow")
