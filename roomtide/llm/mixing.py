@@ -43,7 +43,8 @@ def numbered(rows: DataFrame, keys: list[str], order: Column) -> DataFrame:
     """`rows` with `number`, from 0 among rows with equal keys (nulls equal); rows that are alone have 0."""
     names = [f"key_{k}" for k in keys]
     repeats = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("times")).where("times > 1")
-    repeats = repeats.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)])
+    # a written table has a known size: while it is small it is sent to the rows, and no row is shuffled
+    repeats = stage(repeats.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]), "repeated-rows")
     equal = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names, strict=True)])
     alone = rows.join(repeats, equal, "left_anti").withColumn("number", F.lit(0))
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(order)) - 1
