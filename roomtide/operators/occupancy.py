@@ -98,8 +98,22 @@ def open_only(hours: DataFrame) -> DataFrame:
     return hours.where(~F.col("is_closed"))
 
 
+def with_day_classes(days: DataFrame, classes: DataFrame) -> DataFrame:
+    """Days with the classification of their observation as two masks, `known_mask` and `closed_mask`: unfolded into
+    hours, each finds its class in its row, so that days and not hours are joined. A class occurs once per hour."""
+    masks = classes.groupBy(*OBSERVED_RATE).agg(
+        F.bit_or(H.bit("hour")).alias("known_mask"),
+        F.bit_or(F.when(F.col("is_closed"), H.bit("hour")).otherwise(F.lit(0))).alias("closed_mask"),
+    )
+    return days.join(masks, OBSERVED_RATE)
+
+
 def with_hour_class(hours: DataFrame, classes: DataFrame) -> DataFrame:
-    """Rows per hour joined with their classification of the same observation."""
+    """Rows per hour with their classification of the same observation: looked up in the row, if the days
+    carried it, else joined."""
+    if "known_mask" in hours.columns:
+        known = hours.where(H.has_hour("known_mask", F.col("hour")))
+        return known.withColumn("is_closed", H.has_hour("closed_mask", F.col("hour"))).drop("known_mask", "closed_mask")
     return hours.join(
         classes.select(*OBSERVED_RATE, "hour", "is_closed"), [*OBSERVED_RATE, "hour"]
     )

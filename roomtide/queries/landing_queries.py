@@ -481,7 +481,7 @@ def same_rows(p: Panel) -> DataFrame:
 @query
 def open_hours_expanded(p: Panel) -> DataFrame:
     """Open and booked hours per venue by joining every hour with its class."""
-    hours = H.explode_hours(occupancy.future_only(p.observations))
+    hours = H.explode_hours(occupancy.with_day_classes(occupancy.future_only(p.observations), p.classes))
     opened = occupancy.open_only(occupancy.with_hour_class(hours, p.classes))
     return opened.groupBy("space_id", "observed_date").agg(
         F.count(F.lit(1)).alias("open_h"), F.count_if(H.is_booked("booked_hours", "hour")).alias("booked_h")
