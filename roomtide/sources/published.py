@@ -133,7 +133,8 @@ class Change:
         """Replace the partitions that occur in `rows`, and those of `values`, also by nothing; without `partition` the whole table."""
         version = f"roomtide_version=x{uuid.uuid4().hex}"
         path = f"{self.published.root}/{table}/{version}"
-        out = rows.sortWithinPartitions(*sort) if sort else rows
+        order = [*([partition] if partition else []), *[c for c in sort or [] if c != partition]]
+        out = rows.sortWithinPartitions(*order) if sort else rows  # the write wants them by partition value, too
         writer = out.write.partitionBy(partition) if partition else out.write
         writer.parquet(path)
         parts = self.tables.setdefault(table, {})

@@ -17,12 +17,13 @@ NEW, NEW_ELSE_OLD, OLD_ELSE_NEW = "new", "new_else_old", "old_else_new"
 
 def upsert(
     old: DataFrame, new: DataFrame, keys: list[str], policy: dict[str, str] | str,
-    ordinal: str | None = None,
+    ordinal: str | None = None, unique: bool = False,
 ) -> DataFrame:
     """Old table merged with new rows, unique by `keys` in the old table and in the result.
 
     Of new rows with equal keys one counts: by `ordinal` (a column of `new`, not of `old`) the first
-    for "keep_old" and the last for other policies; without an ordinal any one of them.
+    for "keep_old" and the last for other policies; without an ordinal any one of them. `unique` says that no key
+    without nulls is repeated in `new`.
 
     `policy` is "keep_old" (first write wins) or names the columns a matched row takes over:
     "new", "new_else_old" (NULL does not erase) or "old_else_new" (first value stays). Columns
@@ -33,7 +34,8 @@ def upsert(
         pick = (F.min_by if policy == KEEP_OLD else F.max_by)(rest, ordinal).alias("r")
         new = new.groupBy(*keys).agg(pick).select(*keys, "r.*").select(*old.columns)
     else:
-        new = new.select(*old.columns).dropDuplicates(keys)
+        new = new.select(*old.columns)
+        new = new if unique else new.dropDuplicates(keys)
     if policy == KEEP_OLD:
         return old.unionByName(new.join(old.select(*keys), keys, "left_anti"))
     o = old.select(*keys, F.struct(*[c for c in old.columns if c not in keys]).alias("o"))
@@ -53,6 +55,22 @@ def upsert(
     return joined.select(*[c if c in keys else merged(c) for c in old.columns])
 
 
+def fold(rows: DataFrame, keys: list[str], policy: dict[str, str], ordinal: str) -> DataFrame:
+    """Rows of several batches as one: what upserts of the batches into an empty table, one after the other by `ordinal`,
+    would leave. Keys are unique within a batch. A key with a null matches none, so its rows stay apart."""
+    apart = F.when(reduce(Column.__or__, [F.col(k).isNull() for k in keys]), F.col(ordinal)).alias("apart")
+    rest = [c for c in rows.columns if c not in (*keys, ordinal)]
+    last = [c for c in rest if policy.get(c) == NEW]
+    first = [c for c in rest if c not in policy]
+    picked = [agg(F.struct(*cs), ordinal).alias(name) for agg, cs, name in ((F.max_by, last, "last"), (F.min_by, first, "first")) if cs]
+    known = lambda c: F.when(F.col(c).isNotNull(), F.col(ordinal))
+    for c in rest:
+        if policy.get(c) in (NEW_ELSE_OLD, OLD_ELSE_NEW):
+            picked.append((F.max_by if policy[c] == NEW_ELSE_OLD else F.min_by)(c, known(c)).alias(c))
+    of = lambda c: F.col(f"last.{c}") if c in last else F.col(f"first.{c}") if c in first else F.col(c)
+    return rows.groupBy(*keys, apart).agg(*picked).select(*keys, *[of(c).alias(c) for c in rest])
+
+
 # Column policies of the panel tables.
 OBSERVATION_POLICY = dict.fromkeys(
     ["n_slots", "booked_hours", "n_booked", "price", "hour_prices"], NEW
@@ -93,10 +111,12 @@ def replace_partition(
     its own files, so a day of any size spreads over the cluster. Sorting inside the tasks keeps a
     key's rows together for compression, row-group skipping and map-side aggregation.
     """
-    out = df.sortWithinPartitions(*sort) if sort else df
     if value is not None:
+        out = df.sortWithinPartitions(*sort) if sort else df
         replace_table(out.drop(partition), f"{path.rstrip('/')}/{partition}={value}")
         return
+    # The write itself wants the rows by partition value: one sort serves both.
+    out = df.sortWithinPartitions(partition, *[c for c in sort if c != partition]) if sort else df
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

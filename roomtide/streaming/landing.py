@@ -7,18 +7,21 @@ bounded batches and stops.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .. import schemas
 from ..keys import OBSERVATION, PACKAGE
 from ..operators.ingest import load_observations, load_packages
-from ..session import exists, remove, stage, staging_scope
+from ..session import exists, names_in, read_text, remove, shared_dir, stage, staging_scope, write_text
 from ..sources.published import Published
-from ..sources.writers import OBSERVATION_POLICY, PACKAGE_POLICY, replace_partition, upsert
+from ..sources.writers import OBSERVATION_POLICY, PACKAGE_POLICY, fold, replace_partition, upsert
 
 FILES_PER_BATCH = 1000
 
@@ -56,34 +59,62 @@ def current_partitions(
     )
 
 
-def _merge(
-    new: DataFrame, path: str, schema: StructType, keys: list[str], policy: dict[str, str], merged: str
-) -> None:
-    spark = new.sparkSession
-    if not exists(spark, f"{merged}/_SUCCESS"):
-        new = stage(new, "batch")
-        old = current_partitions(spark, path, new.select("observed_date").distinct(), schema)
-        rows = new if old is None else upsert(old, new, keys, policy)
-        rows.write.mode("overwrite").parquet(merged)
-    replace_partition(spark.read.schema(schema).parquet(merged), path, sort=keys)
-
+#: Kinds of kept rows, below the folder that keeps batches.
+TIMES, OFFERS = "observations", "packages"
+_KINDS = {TIMES: (schemas.OBSERVATION, OBSERVATION, OBSERVATION_POLICY), OFFERS: (schemas.PACKAGE, PACKAGE, PACKAGE_POLICY)}
 
-def upsert_batch(batch: DataFrame, path: str, package_path: str, merged: str) -> None:
-    """Merge one micro-batch into the date-partitioned observation and package tables.
 
-    Within the batch the record of a key that landed last counts. The merged days are written to
-    the folder `merged` first and stay there until the next batch: if the driver dies while they
-    replace the stored days, the replay takes them from there instead of merging with days of
-    which some are already replaced or gone.
-    """
+def keep_batch(batch: DataFrame, batch_id: int, kept: str) -> None:
+    """Write the rows of one micro-batch below the folder `kept`, by kind and batch. Within the batch the record of a
+    key that landed last counts. A batch that is played again replaces what it left before."""
     order = F.struct("landed_at", "landed_in", F.monotonically_increasing_id().alias("row"))
     with staging_scope(batch.sparkSession):
         landed = stage(batch.withColumn("ordinal", order), "landed")
         package = F.coalesce(F.col("kind") == "pkg", F.lit(False))
-        times, _ = load_observations(landed.where(~package))
-        offers, _ = load_packages(landed.where(package))
-        _merge(times, path, schemas.OBSERVATION, OBSERVATION, OBSERVATION_POLICY, f"{merged}/observations")
-        _merge(offers, package_path, schemas.PACKAGE, PACKAGE, PACKAGE_POLICY, f"{merged}/packages")
+        for kind, rows in ((TIMES, load_observations(landed.where(~package))[0]), (OFFERS, load_packages(landed.where(package))[0])):
+            rows.write.mode("overwrite").parquet(f"{kept}/{kind}/batch={batch_id}")
+
+
+def _batches(spark: SparkSession, kept: str) -> list[int]:
+    """Numbers of the kept batches; one that ended before its last kind was written does not count."""
+    found = [int(n.removeprefix("batch=")) for n in names_in(spark, f"{kept}/{OFFERS}") if n.startswith("batch=")]
+    return sorted(n for n in found if exists(spark, f"{kept}/{OFFERS}/batch={n}/_SUCCESS"))
+
+
+def _kept_rows(spark: SparkSession, kept: str, kind: str, batches: list[int]) -> DataFrame:
+    """The rows of kept batches, unique by key, as if these had been merged one after the other."""
+    schema, keys, policy = _KINDS[kind]
+    base = f"{kept}/{kind}"
+    if len(batches) == 1:
+        return spark.read.schema(schema).parquet(f"{base}/batch={batches[0]}")
+    numbered = StructType([*schema.fields, StructField("batch", LongType())])
+    rows = spark.read.schema(numbered).option("basePath", base).parquet(*[f"{base}/batch={n}" for n in batches])
+    return fold(rows, keys, policy, "batch").select(*schema.fieldNames())
+
+
+def merge_kept(spark: SparkSession, kept: str, path: str, package_path: str, last: str) -> None:
+    """Merge the kept batches into the date-partitioned observation and package tables, all at once.
+
+    The merged days are written below `kept` first and stay there until they have replaced the stored ones: if the
+    driver dies while they do, the next run takes them from there instead of merging with days of which some are already
+    replaced or gone. Batches up to the number in the file `last` are in the tables.
+    """
+    batches, paths = _batches(spark, kept), {TIMES: path, OFFERS: package_path}
+    if batches:
+        for kind, at in paths.items():
+            if not exists(spark, f"{kept}/merged/{kind}/_SUCCESS"):
+                schema, keys, policy = _KINDS[kind]
+                with staging_scope(spark):
+                    new = stage(_kept_rows(spark, kept, kind, batches), "batch")
+                    old = current_partitions(spark, at, new.select("observed_date").distinct(), schema)
+                    rows = new if old is None else upsert(old, new, keys, policy, unique=True)
+                    rows.write.mode("overwrite").parquet(f"{kept}/merged/{kind}")
+        for kind, at in paths.items():
+            schema, keys, _ = _KINDS[kind]
+            replace_partition(spark.read.schema(schema).parquet(f"{kept}/merged/{kind}"), at, sort=keys)
+        write_text(spark, last, str(batches[-1]))
+    for name in (OFFERS, TIMES, "merged"):
+        remove(spark, f"{kept}/{name}")
 
 
 def run_ingest(
@@ -91,61 +122,74 @@ def run_ingest(
     files_per_batch: int = FILES_PER_BATCH, package_path: str | None = None,
 ) -> StreamingQuery:
     """Ingest everything that has landed since the last run, then stop. Package rows go to
-    `package_path`, beside the observations unless it is given."""
-    package_path = package_path or f"{path.rstrip('/')}-packages"
+    `package_path`, beside the observations unless it is given.
 
-    kept = f"{checkpoint.rstrip('/')}-merged"
+    Batches are kept as they come and merged into the tables once, at the end of the run, so a run rewrites the stored
+    days once, however many batches it has. What a run that died has kept is merged by the next one first."""
+    package_path = package_path or f"{path.rstrip('/')}-packages"
+    kept, last = f"{checkpoint.rstrip('/')}-merged", f"{checkpoint.rstrip('/')}/last-merged"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        remove(spark, f"{kept}/{batch_id - 1}")  # committed, as the next batch has begun
-        upsert_batch(batch, path, package_path, f"{kept}/{batch_id}")
-
-    query = (
-        ingest_stream(spark, folder, files_per_batch=files_per_batch)
-        .writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+        if not (exists(spark, last) and batch_id <= int(read_text(spark, last))):
+            keep_batch(batch, batch_id, kept)
+
+    merge_kept(spark, kept, path, package_path, last)
+    query = _run(ingest_stream(spark, folder, files_per_batch=files_per_batch), write, checkpoint)
+    merge_kept(spark, kept, path, package_path, last)
+    return query
+
+
+def _run(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 
 
+def _published_up_to(notes: dict[str, str], name: str) -> int:
+    return int(notes.get(f"{name}.batch", -1))
+
+
+def publish_kept(store: Published, kept: str, name: str, package_name: str) -> None:
+    """Merge the kept batches into two published tables: all their days of both become visible together. The number of
+    the last batch is published with them, so a batch that is played again after its publication changes nothing."""
+    change, spark = store.begin(), store.spark
+    done = _published_up_to(change.notes(), name)
+    batches = [n for n in _batches(spark, kept) if n > done]
+    if batches:
+        with staging_scope(spark):
+            for table, kind in ((name, TIMES), (package_name, OFFERS)):
+                schema, keys, policy = _KINDS[kind]
+                new = stage(_kept_rows(spark, kept, kind, batches), "batch")
+                days = [r[0].isoformat() for r in new.select("observed_date").distinct().collect()]  # days of one run
+                old = change.read(table, schema, "observed_date", days)
+                merged = upsert(old, new, keys, policy, unique=True).select(*schema.fieldNames())
+                change.put(table, merged, "observed_date", keys, days)
+        change.note({f"{name}.batch": str(batches[-1])})
+        change.publish()
+    remove(spark, kept)
+
+
 def publish_batch(batch: DataFrame, batch_id: int, store: Published, name: str, package_name: str) -> None:
-    """Merge one micro-batch into two published tables: all its days of both become visible together. The number of the
-    batch is published with them, so a batch that is played again after its publication changes nothing."""
-    change = store.begin()
-    if batch_id <= int(change.notes().get(f"{name}.batch", -1)):
-        return
-    order = F.struct("landed_at", "landed_in", F.monotonically_increasing_id().alias("row"))
-    with staging_scope(batch.sparkSession):
-        landed = stage(batch.withColumn("ordinal", order), "landed")
-        package = F.coalesce(F.col("kind") == "pkg", F.lit(False))
-        parts = (
-            (name, load_observations(landed.where(~package))[0], schemas.OBSERVATION, OBSERVATION, OBSERVATION_POLICY),
-            (package_name, load_packages(landed.where(package))[0], schemas.PACKAGE, PACKAGE, PACKAGE_POLICY),
-        )
-        for table, rows, schema, keys, policy in parts:
-            new = stage(rows, "batch")
-            days = [r[0].isoformat() for r in new.select("observed_date").distinct().collect()]  # days of one batch
-            old = change.read(table, schema, "observed_date", days)
-            merged = upsert(old, new, keys, policy).select(*[f.name for f in schema.fields])
-            change.put(table, merged, "observed_date", keys, days)
-    change.note({f"{name}.batch": str(batch_id)})
-    change.publish()
+    """Merge one micro-batch into two published tables, unless it has been published."""
+    if batch_id > _published_up_to(store.begin().notes(), name):
+        kept = f"{shared_dir(store.spark)}/kept-{uuid.uuid4().hex}"
+        keep_batch(batch, batch_id, kept)
+        publish_kept(store, kept, name, package_name)
 
 
 def publish_ingest(
     store: Published, folder: str, checkpoint: str, name: str, package_name: str, files_per_batch: int = FILES_PER_BATCH
 ) -> StreamingQuery:
-    """Ingest everything that has landed since the last run into published tables, then stop."""
-    query = (
-        ingest_stream(store.spark, folder, files_per_batch=files_per_batch)
-        .writeStream.foreachBatch(lambda batch, n: publish_batch(batch, n, store, name, package_name))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    """Ingest everything that has landed since the last run into published tables, then stop. The batches of a run are
+    published together, at its end; what a run that died has kept is published by the next one first."""
+    kept = f"{checkpoint.rstrip('/')}-kept"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if batch_id > _published_up_to(store.begin().notes(), name):
+            keep_batch(batch, batch_id, kept)
+
+    publish_kept(store, kept, name, package_name)
+    query = _run(ingest_stream(store.spark, folder, files_per_batch=files_per_batch), write, checkpoint)
+    publish_kept(store, kept, name, package_name)
     store.sweep()
     return query
