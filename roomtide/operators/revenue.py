@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,11 +22,17 @@ SHORT_DAYS = 3
 
 @dataclass(frozen=True)
 class Pricing:
-    """Priced days, their blocks of sold hours and the package cuts."""
+    """Priced days, their blocks of sold hours and the package cuts.
+
+    The cuts stage days with their windows; that is done when they are first asked for."""
 
     priced: DataFrame
     blocks: DataFrame
-    cuts: DataFrame
+    make_cuts: Callable[[], DataFrame]
+
+    @cached_property
+    def cuts(self) -> DataFrame:
+        return self.make_cuts()
 
 
 def pricing(
@@ -40,8 +48,7 @@ def pricing(
     terms = price_terms(price_baseline(obs, snap), guest)
     priced = stage(priced_days(days, terms, mult, cap), "priced-days")
     blocks = booking_blocks(priced)
-    cuts = package_adjustment(priced, packages, obs, guest, snap, same_observation)
-    return Pricing(priced, blocks, cuts)
+    return Pricing(priced, blocks, lambda: package_adjustment(priced, packages, obs, guest, snap, same_observation))
 
 
 def venue_revenue(
