@@ -35,6 +35,28 @@ def test_tasks_that_derive_the_panel_grow_in_number_not_in_size(panel):
     assert panel._observations().rdd.getNumPartitions() == 12
 
 
+def plan(df, kind="executedPlan"):
+    return getattr(df._jdf.queryExecution(), kind)().toString()
+
+
+def test_bookings_are_dealt_by_venue_once(panel):
+    assert plan(panel._runs).count("Exchange") == 1
+
+
+def test_days_unfold_when_they_are_read(panel):
+    assert "Generate explode" in plan(panel.observations, "optimizedPlan") and "Generate" in plan(panel.packages, "optimizedPlan")
+    keys = plan(panel.observations.where("observed_date = '2026-01-16'").select("space_id", "target_date"), "optimizedPlan")
+    assert "runs" not in keys.split("Generate explode(sequence")[0]
+    by_rate = panel.observations.groupBy("space_id", "observed_date").count()
+    assert plan(by_rate).count("Exchange") == 1
+
+
+def test_listed_hours(spark):
+    masks = spark.createDataFrame([(None,), (0,), (1,), (0xFFFFFF,), (0x820801,), (0x3FC00,)], "mask int")
+    rows = masks.select(fixtures._listed_hours("mask").alias("a"), H.mask_hours("mask").cast("array<smallint>").alias("b")).collect()
+    assert [r.a for r in rows] == [r.b for r in rows] and rows[4].a == [0, 11, 17, 23]
+
+
 def test_bookings_of_the_panel_by_observation(panel):
     rows = panel.observations.where("space_id = 1 AND product_id = 2 AND target_date = '2026-01-21'").collect()
     closed = [0, 1, 2]  # venue 1: the first three hours
