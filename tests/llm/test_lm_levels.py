@@ -57,3 +57,13 @@ def test_empty_documents(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     trie = lm.train(spark.createDataFrame([(1, "a b")], "doc_id long, text string"))
     assert lm.score_texts(empty, trie).collect() == []
+
+
+def test_the_select_step_takes_few_passes_and_finds_each_bit(monkeypatch):
+    rng = np.random.default_rng(7)
+    words = np.concatenate([rng.integers(1, 1 << 63, 500, dtype=np.uint64), np.array([1, 1 << 63, 2**64 - 1, 0x8000000000000001], np.uint64)])
+    which = [(w, k, place) for w in words.tolist() for k, place in enumerate(i for i in range(64) if w >> i & 1)]
+    calls, counted = [], np.bitwise_count
+    monkeypatch.setattr(np, "bitwise_count", lambda x: (calls.append(1), counted(x))[1])
+    got = lm._select(np.array([w for w, _, _ in which], np.uint64), np.array([k for _, k, _ in which]))
+    assert got.tolist() == [place for _, _, place in which] and len(calls) == 1
