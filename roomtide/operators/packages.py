@@ -236,9 +236,10 @@ def choose_packages(day_hits: DataFrame, over_hits: DataFrame) -> tuple[DataFram
 
     The claims of overnight windows are one row per day: from which hour its last block and up to
     which hour its first block is taken. A morning is claimed in the observation it was read from,
-    which may differ from the evening's.
+    which may differ from the evening's. Both claims and the result read the chosen windows, so they are
+    written once: the days are joined with the next ones once.
     """
-    over = _best(_with_cut(over_hits))
+    over = stage(_best(_with_cut(over_hits)), "overnight")
     day = [*RATE, "observed_date", "target_date"]
     evening = over.select(
         *day, F.col("blk").alias("late_blk"), F.col("shour").alias("late_from"),

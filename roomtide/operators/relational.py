@@ -5,17 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DateType, NumericType, TimestampType
 
 from ..functions.scalars import col
 
 
+#: Types whose values an aggregate can replace in place.
+FIXED_WIDTH = (NumericType, BooleanType, DateType, TimestampType)
+
+
 def latest_per(df: DataFrame, keys: list[str], order) -> DataFrame:
     """The row with the largest `order` per key.
 
     An aggregate rather than a ranking window: it merges before the shuffle, so a key with very
-    many rows arrives as one row per map task and never as one sorted partition.
+    many rows arrives as one row per map task and never as one sorted partition. Columns of fixed
+    width are kept one by one, all of the same row: a struct would have every row sorted by its key.
     """
     rest = [c for c in df.columns if c not in keys]
+    if rest and isinstance(order, str) and all(isinstance(df.schema[c].dataType, FIXED_WIDTH) for c in [*rest, order]):
+        return df.groupBy(*keys).agg(*[F.max_by(c, order).alias(c) for c in rest])
     best = F.max_by(F.struct(*rest), col(order)).alias("r")
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"r.{c}") for c in rest])
 

@@ -11,7 +11,8 @@ from frames import day, observation, observations, packages, rates, units
 from roomtide import fixtures, schemas
 from roomtide.functions import hours as H
 from roomtide.keys import OBSERVATION
-from roomtide.operators import occupancy, revenue
+from roomtide.operators import occupancy, relational, revenue
+from roomtide.operators import packages as pk
 from roomtide.sources import published, writers
 from roomtide.streaming import landing
 
@@ -163,3 +164,27 @@ def test_days_are_written_in_key_order_with_one_sort(spark, tmp_path):
     for name in ("observed_date=2026-01-01", "observed_date=2026-01-02"):
         rows = spark.read.parquet(str(tmp_path / "t" / name)).select("space_id", "target_date").collect()
         assert [tuple(r) for r in rows] == [(s, day(n)) for s in (1, 2) for n in (8, 9)]
+
+
+def test_last_rows_of_fixed_width_are_found_without_a_sort(spark):
+    rows = spark.createDataFrame([(1, 1, 9, None), (1, 3, None, 0.5), (1, None, 7, 1.5), (2, None, 4, 2.5), (None, 2, 5, None), (None, 1, 6, 3.5)],
+                                 "k long, day int, a int, b double")
+    last = relational.latest_per(rows, ["k"], "day")
+    assert "Sort" not in plan(last) and last.columns == ["k", "day", "a", "b"]
+    assert sorted(map(tuple, last.collect()), key=str) == [(1, 3, None, 0.5), (2, None, None, None), (None, 2, 5, None)]
+    texts = relational.latest_per(rows.withColumn("b", F.col("b").cast("string")), ["k"], "day")
+    assert sorted(map(tuple, texts.collect()), key=str) == [(1, 3, None, "0.5"), (2, None, None, None), (None, 2, 5, None)]
+
+
+def test_overnight_windows_are_chosen_once_for_claims_and_cuts(spark, monkeypatch):
+    staged, real = [], pk.stage
+    monkeypatch.setattr(pk, "stage", lambda df, label: (staged.append(label), real(df, label))[1])
+    hit = "space_id long, product_id long, rsv_type_id long, observed_date date, target_date date, blk int, lead_days int"
+    win = "shour int, ehour int, pkg_floor long, win_floor long"
+    over = spark.createDataFrame([(1, 1, 1, day(0), day(1), 3, 1, day(0), -1, 22, 2, 10, 30)], f"{hit}, head_observed_date date, blk_next int, {win}")
+    days = spark.createDataFrame([(1, 1, 1, day(0), day(1), 3, 1, 20, 24, 10, 90), (1, 1, 1, day(0), day(2), -1, 2, 1, 4, 10, 90),
+                                  (1, 1, 1, day(0), day(2), -1, 2, 2, 5, 10, 15)], f"{hit}, {win}")
+    chosen_day, chosen_over = pk.choose_packages(days, over)
+    assert staged == ["overnight"]
+    assert [(r.target_date, r.cut) for r in chosen_day.collect()] == [(day(2), 5)]
+    assert [(r.target_date, r.cut) for r in chosen_over.collect()] == [(day(1), 20)]
