@@ -7,6 +7,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,6 +49,38 @@ def utf8(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
 
 
+def text_slices(batches: Iterable[pa.RecordBatch], name: str, most: int = 1 << 19) -> Iterator[pa.RecordBatch]:
+    """The same rows in slices of at most so many bytes of text, or of one row."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, side="right")))
+            yield batch.slice(at, stop - at)
+            at = stop
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words of all texts, one after another, as bytes, and their number by text: the rule of `utf8`, for a
+    whole column at once. Null has no words."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words = pc.list_flatten(lists)
+    words = words.cast(pa.large_binary() if pa.types.is_large_string(words.type) else pa.binary())
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    real = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0  # space at an end splits off an empty word
+    if not real.all():
+        upto, ends = np.concatenate(([0], np.cumsum(real))), np.cumsum(sizes)
+        words, sizes = words.filter(pa.array(real)), upto[ends] - upto[ends - sizes]
+    return words, sizes
+
+
+def hashes_of(words: pa.Array) -> np.ndarray:
+    """The 64-bit hash of each word, as `Words` keeps them."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words.to_numpy(zero_copy_only=False)), np.uint64, len(words))
+
+
 class _Numbers(dict):
     """Gives each new key the next number; unlike a defaultdict over its own length, no reference cycle."""
 
@@ -100,7 +133,7 @@ class Words:
 def pack(a: np.ndarray) -> bytes:
     """An integer array as compressed byte planes: high planes of small numbers cost next to nothing."""
     a = np.ascontiguousarray(a)
-    return zstandard.compress(a.view(np.uint8).reshape(-1, a.itemsize).T.tobytes(), 1)
+    return zstandard.compress(np.ascontiguousarray(a.view(np.uint8).reshape(-1, a.itemsize).T).ravel(), 1)
 
 
 def unpack(data: bytes, dtype) -> np.ndarray:

@@ -35,17 +35,18 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from .common import Words, batch_of, buckets_of, crc_mod, deltas, pack, rows, slices, unpack, utf8
+from .common import batch_of, buckets_of, crc_mod, deltas, hashes_of, pack, rows, split_words, text_slices, unpack
 
 ORDER, DISCOUNT = 3, 0.75
 END, START = xxhash.xxh3_64_intdigest(b"\n</s>"), xxhash.xxh3_64_intdigest(b"\n<s>")
-CHUNK_TOKENS, STEP = 500_000, 1 / 4096
+CHUNK_TOKENS, CHUNK_BYTES, STEP = 500_000, 1 << 26, 1 / 4096
 MESSAGE = "slot int, data binary, counts binary"
 
 
@@ -175,7 +176,8 @@ class Level:
 
     def successors(self, parent: np.ndarray, word: np.ndarray) -> np.ndarray:
         """The node of each (parent, word), -1 where there is none; parents are sorted."""
-        own, which = np.unique(parent, return_inverse=True)
+        new = np.append(True, parent[1:] != parent[:-1])[:len(parent)]
+        own, which = parent[new], np.cumsum(new) - 1
         begin, end = self.pointers.access(own).astype(np.int64), self.pointers.access(own + 1).astype(np.int64)
         base = np.where(begin > 0, self.words.access(np.maximum(begin - 1, 0)) if self.words.n else 0, 0).astype(np.uint64)
         return self.words.find(base[which] + word.astype(np.uint64), begin[which], end[which])
@@ -209,7 +211,7 @@ def _get(path: str) -> dict[str, np.ndarray]:
         with files.open_input_stream(inner, compression=None) as source, os.fdopen(handle, "wb") as copy:
             while block := source.read(1 << 22):
                 copy.write(block)
-    data = np.memmap(at, np.uint8, "r")
+    data = np.asarray(np.memmap(at, np.uint8, "r"))  # parts of a memmap proper cost more to take
     if copied:
         os.remove(at)
     head = 8 + int.from_bytes(data[:8].tobytes(), "little")
@@ -222,14 +224,17 @@ def slot_of(hashes: np.ndarray, slots: int) -> np.ndarray:
 
 
 def _order(columns: list[np.ndarray]) -> np.ndarray:
-    """Places that sort the rows; as one number each where that fits."""
-    widths = [int(c.max()) + 1 for c in columns]
-    if math.prod(widths) >= 1 << 63:
-        return np.lexsort(columns[::-1])
-    key = np.zeros(len(columns[0]), np.uint64)
-    for column, width in zip(columns, widths, strict=True):
-        key = key * np.uint64(width) + column.astype(np.uint64)
-    return np.argsort(key)
+    """Places that sort the rows; neighbouring columns become one number each where that fits."""
+    keys, room = [], 0
+    for column in columns:
+        least = column.min()
+        own, width = (column - least).astype(np.uint64), int(column.max()) - int(least) + 1
+        if keys and room * width < 1 << 63:
+            keys[-1], room = keys[-1] * np.uint64(width) + own, room * width
+        else:
+            keys.append(own)
+            room = width
+    return np.argsort(keys[0]) if len(keys) == 1 else np.lexsort(keys[::-1])
 
 
 def _grouped(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
@@ -247,14 +252,52 @@ def _grouped(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.nda
 
 def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, and of each key its place among them."""
-    order = np.argsort(keys)
-    ranked = keys[order]
+    bits = len(keys).bit_length()
+    if len(keys) and keys.min() >= 0 and int(keys.max()) < 1 << 63 - bits:
+        # key and place as one number: numbers sort faster than places by number
+        ranked = np.sort(keys << bits | np.arange(len(keys)))
+        order, ranked = ranked & (1 << bits) - 1, ranked >> bits
+    else:
+        order = np.argsort(keys)
+        ranked = keys[order]
     new = np.concatenate(([True], ranked[1:] != ranked[:-1])) if len(keys) else np.zeros(0, bool)
     place = np.empty(len(keys), np.int64)
     place[order] = np.cumsum(new) - 1
     return ranked[new], place
 
 
+def _windows(line: np.ndarray, begin: np.ndarray, order: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct windows of a line, in order, and how often each begins at the given places."""
+    words, place = _numbered(line)
+    bits = len(words).bit_length()
+    if bits * order > 63:
+        return _grouped([line[begin + k] for k in range(order)], np.ones(len(begin), np.int64))
+    key = place[begin]
+    for k in range(1, order):
+        key = key << bits | place[begin + k]
+    key.sort()
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    own = key[first]
+    columns = [words[own >> bits * k & (1 << bits) - 1] for k in reversed(range(order))]
+    return columns, np.diff(np.append(first, len(key)))
+
+
+def _portions(batches: Iterable[pa.RecordBatch], most: int):
+    """Portions of about so many tokens: other columns of the rows, words of all texts one after another, words by text."""
+    keys, words, sizes, held, weight = [], [], [], 0, 0
+    for batch in text_slices(batches, "text"):
+        keys += zip(*(batch.column(n).to_pylist() for n in batch.schema.names if n != "text"), strict=True) if batch.num_columns > 1 else [()] * len(batch)
+        own, n = split_words(batch.column("text"))
+        words.append(own)
+        sizes.append(n)
+        held, weight = held + len(own) + len(n), weight + own.nbytes
+        if held >= most or weight >= CHUNK_BYTES:
+            yield keys, pa.chunked_array(words), np.concatenate(sizes)
+            keys, words, sizes, held, weight = [], [], [], 0, 0
+    if keys:
+        yield keys, pa.chunked_array(words), np.concatenate(sizes)
+
+
 def _word_counts(slots: int):
     def emit(hashes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
         (hashes,), counts = _grouped([hashes], counts)
@@ -263,18 +306,12 @@ def _word_counts(slots: int):
         return batch_of({n: (t, [p[i] for p in parts]) for i, (n, t) in enumerate((("slot", pa.int32()), ("data", pa.binary()), ("counts", pa.binary())))})
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, counts, texts = Words(), np.zeros(0, np.int64), 0
-        for batch in slices(batches):
-            for text in utf8(batch, "text"):
-                texts += 1
-                if text:
-                    seen = np.bincount(words.number(text.lower().split()), minlength=len(counts))
-                    seen[:len(counts)] += counts
-                    counts = seen
-                if len(words.ids) > words.keep:
-                    yield emit(words.hashes().copy(), counts)
-                    words, counts = Words(), np.zeros(0, np.int64)
-        yield emit(np.append(words.hashes(), np.array([END, START], np.uint64)), np.append(counts, [texts, texts]))
+        texts = 0
+        for _, words, sizes in _portions(batches, 4 * CHUNK_TOKENS):
+            texts += len(sizes)
+            seen = pc.value_counts(words)
+            yield emit(hashes_of(seen.field("values")), seen.field("counts").to_numpy(zero_copy_only=False))
+        yield emit(np.array([END, START], np.uint64), np.array([texts, texts]))
 
     return run
 
@@ -333,26 +370,13 @@ class Vocabulary:
 
 def _chunks(batches: Iterable[pa.RecordBatch], vocabulary: Vocabulary):
     """Per chunk of texts: rows, per token its number and count, tokens per text (words and the end)."""
-    words, keys, texts, sizes, held = Words(), [], [], [], 0
-
-    def cut():
-        numbers, counts = vocabulary.look_up(np.append(words.hashes(), np.array([END], np.uint64)))
-        end = np.array([len(numbers) - 1])
-        tokens = np.concatenate([t for text in texts for t in (text, end)]) if texts else np.zeros(0, np.int64)
-        return keys, numbers[tokens], counts[tokens], np.array(sizes, np.int64)
-
-    for batch in slices(batches):
-        extra = list(zip(*(batch.column(n).to_pylist() for n in batch.schema.names if n != "text"), strict=True)) or [()] * len(batch)
-        for key, text in zip(extra, utf8(batch, "text"), strict=True):
-            keys.append(key)
-            texts.append(words.number(text.lower().split()) if text else np.zeros(0, np.int64))
-            sizes.append(len(texts[-1]) + 1)
-            held += sizes[-1]
-            if held >= CHUNK_TOKENS:
-                yield cut()
-                words, keys, texts, sizes, held = Words(), [], [], [], 0
-    if keys:
-        yield cut()
+    for keys, words, sizes in _portions(batches, CHUNK_TOKENS):
+        coded = words.dictionary_encode().combine_chunks()
+        known = coded.dictionary
+        numbers, counts = vocabulary.look_up(np.append(hashes_of(known), np.array([END], np.uint64)))
+        tokens = np.full(len(words) + len(sizes), len(known))
+        tokens[np.arange(len(words)) + np.repeat(np.arange(len(sizes)), sizes)] = coded.indices.to_numpy()
+        yield keys, numbers[tokens], counts[tokens], sizes + 1
 
 
 def _padded(tokens: np.ndarray, sizes: np.ndarray, before: int, after: int, pad: int) -> tuple[np.ndarray, np.ndarray]:
@@ -371,7 +395,7 @@ def _gram_counts(vocabulary: Vocabulary, order: int):
             # windows that begin in a text or its front pads and end inside it or its back pads
             length = sizes + 2 * order - 3
             begin = np.repeat(np.cumsum(length) - length, sizes + order - 2) + np.concatenate([np.arange(n + order - 2) for n in sizes])
-            columns, counts = _grouped([line[begin + k] for k in range(order)], np.ones(len(begin), np.int64))
+            columns, counts = _windows(line, begin, order)
             cuts = np.searchsorted(columns[0], vocabulary.first)
             slots, data, totals = [], [], []
             for s, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
