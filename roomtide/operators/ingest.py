@@ -30,7 +30,7 @@ class VenueRows:
     tags: DataFrame
 
 
-def _shaped(df: DataFrame, schema: StructType) -> DataFrame:
+def shaped(df: DataFrame, schema: StructType) -> DataFrame:
     """Columns of the table in its order and types; what the input lacks is NULL."""
     have = set(df.columns)
     return df.select(
@@ -78,7 +78,7 @@ def load_venues(
         "region.sido_code", "region.sigungu_code", "region.dong_code",
     ).drop("region")
     named = fill_from_dictionary(flat, flat, "dong_code", "eupmyeondong", "ordinal")
-    venues = _shaped(with_vintage(named, vintage), schemas.VENUE)
+    venues = shaped(with_vintage(named, vintage), schemas.VENUE)
 
     products = F.col("detail.products")
     prices, totals = price_stats(products), venue_totals(products)
@@ -133,15 +133,15 @@ def load_venues(
     )
     return VenueRows(
         venues,
-        _shaped(metrics, schemas.VENUE_SNAPSHOT),
-        _shaped(units, schemas.UNIT_SNAPSHOT),
-        _shaped(rates, schemas.RATE_SNAPSHOT),
-        _shaped(tags, schemas.VENUE_TAG),
+        shaped(metrics, schemas.VENUE_SNAPSHOT),
+        shaped(units, schemas.UNIT_SNAPSHOT),
+        shaped(rates, schemas.RATE_SNAPSHOT),
+        shaped(tags, schemas.VENUE_TAG),
     )
 
 
 def load_reviews(reviews: DataFrame, date: str) -> DataFrame:
-    return _shaped(
+    return shaped(
         reviews.select(
             "review_id", "space_id", F.col("review_date").cast("date").alias("review_date"),
             F.lit(date).cast("date").alias("first_seen"),
@@ -197,31 +197,40 @@ def collection_targets(
     return units if done is None else pending(units, done, ["product_id", "rsv_type_id", "year", "month"])
 
 
+def observation_columns() -> list[Column]:
+    """The columns of an observation row, of a landed time row."""
+    return [
+        *map(F.col, RATE),
+        F.col("observed").cast("date").alias("observed_date"),
+        F.col("d").cast("date").alias("target_date"),
+        F.col("wday"), F.coalesce(F.col("hday") == "Y", F.lit(False)).alias("is_holiday"), F.col("n_slots"),
+        F.col("booked").alias("booked_hours"), F.size("booked").alias("n_booked"), F.col("price"),
+        F.col("hp").alias("hour_prices"),
+    ]
+
+
+def package_columns() -> list[Column]:
+    """The columns of a package row, of a landed package row."""
+    return [
+        *map(F.col, RATE), F.col("package_id"),
+        F.col("observed").cast("date").alias("observed_date"),
+        F.col("d").cast("date").alias("target_date"),
+        *map(F.col, ("name", "shour", "ehour", "price")),
+        F.coalesce(F.lower("available") == "true", F.lit(False)).alias("available"),
+    ]
+
+
 def load_observations(slots: DataFrame, ordinal="ordinal") -> tuple[DataFrame, DataFrame]:
     """(observation rows, one-row count of dropped past targets) of landed time rows. Of repeated
     keys the last row in file order counts."""
     kept, skipped = drop_past(slots, "d", "observed")
-    rows = kept.select(
-        *RATE,
-        F.col("observed").cast("date").alias("observed_date"),
-        F.col("d").cast("date").alias("target_date"),
-        "wday", F.coalesce(F.col("hday") == "Y", F.lit(False)).alias("is_holiday"), "n_slots",
-        F.col("booked").alias("booked_hours"), F.size("booked").alias("n_booked"), "price",
-        F.col("hp").alias("hour_prices"), col(ordinal).alias("ordinal"),
-    )
-    return _shaped(dedupe_last(rows, OBSERVATION, "ordinal"), schemas.OBSERVATION), skipped
+    rows = kept.select(*observation_columns(), col(ordinal).alias("ordinal"))
+    return shaped(dedupe_last(rows, OBSERVATION, "ordinal"), schemas.OBSERVATION), skipped
 
 
 def load_packages(slots: DataFrame, ordinal="ordinal") -> tuple[DataFrame, DataFrame]:
     """(package rows, one-row count of windows over midnight) of landed package rows."""
     kept, _ = drop_past(slots, "d", "observed")
-    rows = kept.select(
-        *RATE, "package_id",
-        F.col("observed").cast("date").alias("observed_date"),
-        F.col("d").cast("date").alias("target_date"),
-        "name", "shour", "ehour", "price",
-        F.coalesce(F.lower("available") == "true", F.lit(False)).alias("available"),
-        col(ordinal).alias("ordinal"),
-    )
-    unique = _shaped(dedupe_last(rows, PACKAGE, "ordinal"), schemas.PACKAGE)
+    rows = kept.select(*package_columns(), col(ordinal).alias("ordinal"))
+    unique = shaped(dedupe_last(rows, PACKAGE, "ordinal"), schemas.PACKAGE)
     return unique, unique.agg(F.count_if(F.col("shour") >= F.col("ehour")).alias("n_wrap"))

@@ -35,8 +35,7 @@ DOCUMENT_RULES = [
 
 
 def _total(c: str) -> Column:
-    known = F.filter(c, lambda v: v.isNotNull())
-    return F.aggregate(known, F.lit(0).cast("long"), lambda a, v: a + v)
+    return F.aggregate(c, F.lit(0).cast("long"), lambda a, v: a + F.coalesce(v, F.lit(0)))
 
 
 def _digest(obs: DataFrame) -> DataFrame:

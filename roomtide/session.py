@@ -14,6 +14,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_SCAN_TASKS = "spark.sql.files.minPartitionNum"
 
 
 def build_session(app: str = "roomtide", master: str | None = None, **conf: str) -> SparkSession:
@@ -75,6 +76,26 @@ def _files(spark: SparkSession, table: str) -> Iterator[tuple[str, int]]:
             yield inner, f.getLen()
 
 
+def stored_bytes(spark: SparkSession, table: str) -> int:
+    """Bytes of all data files below a folder."""
+    return sum(size for _, size in _files(spark, table))
+
+
+@contextmanager
+def scan_tasks(spark: SparkSession, least: int) -> Iterator[None]:
+    """Inside this block files are read by `least` tasks or more, if their size allows it: where every task sorts what it
+    reads. The setting belongs to the session and is read when a scan runs."""
+    before = spark.conf.get(_SCAN_TASKS, None)
+    spark.conf.set(_SCAN_TASKS, str(max(least, int(before or spark.sparkContext.defaultParallelism))))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_SCAN_TASKS)
+        else:
+            spark.conf.set(_SCAN_TASKS, before)
+
+
 def _digest(files: list[tuple[str, int]]) -> str:
     return hashlib.sha1("\n".join(f"{n}:{size}" for n, size in sorted(files)).encode()).hexdigest()
 

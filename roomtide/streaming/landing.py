@@ -8,7 +8,8 @@ bounded batches and stops.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -18,10 +19,11 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from .. import schemas
 from ..keys import OBSERVATION, PACKAGE
-from ..operators.ingest import load_observations, load_packages
-from ..session import exists, names_in, read_text, remove, shared_dir, stage, staging_scope, write_text
+from ..operators.ingest import observation_columns, package_columns, shaped
+from ..operators.occupancy import drop_past
+from ..session import exists, names_in, read_text, remove, scan_tasks, shared_dir, stage, staging_scope, stored_bytes, write_text
 from ..sources.published import Published
-from ..sources.writers import OBSERVATION_POLICY, PACKAGE_POLICY, fold, replace_partition, upsert
+from ..sources.writers import OBSERVATION_POLICY, PACKAGE_POLICY, dedupe_last, fold, replace_partition, upsert
 
 FILES_PER_BATCH = 1000
 
@@ -59,61 +61,102 @@ def current_partitions(
     )
 
 
-#: Kinds of kept rows, below the folder that keeps batches.
+#: Kinds of kept rows.
 TIMES, OFFERS = "observations", "packages"
 _KINDS = {TIMES: (schemas.OBSERVATION, OBSERVATION, OBSERVATION_POLICY), OFFERS: (schemas.PACKAGE, PACKAGE, PACKAGE_POLICY)}
+#: Kept rows of both kinds: the columns of both tables, the kind and the place in the order of landing.
+_PLACE = schemas.table(is_package=schemas.FLAG, landed_at=schemas.TS, landed_in=schemas.TEXT, row=schemas.LONG)
+_KEPT = StructType([*{f.name: f for f in (*schemas.OBSERVATION, *schemas.PACKAGE, *_PLACE)}.values()])
+_ROWS = "rows"
+#: Bytes of kept files that a task of the merge reads: more batches make more tasks, not larger sorts.
+_TASK_BYTES = 4 << 20
 
 
 def keep_batch(batch: DataFrame, batch_id: int, kept: str) -> None:
-    """Write the rows of one micro-batch below the folder `kept`, by kind and batch. Within the batch the record of a
-    key that landed last counts. A batch that is played again replaces what it left before."""
-    order = F.struct("landed_at", "landed_in", F.monotonically_increasing_id().alias("row"))
-    with staging_scope(batch.sparkSession):
-        landed = stage(batch.withColumn("ordinal", order), "landed")
-        package = F.coalesce(F.col("kind") == "pkg", F.lit(False))
-        for kind, rows in ((TIMES, load_observations(landed.where(~package))[0]), (OFFERS, load_packages(landed.where(package))[0])):
-            rows.write.mode("overwrite").parquet(f"{kept}/{kind}/batch={batch_id}")
+    """Write the rows of one micro-batch below the folder `kept`, both kinds as they come, each with its place in the
+    order of landing: one pass over the landed files, nothing is shuffled or sorted. Which record of a key counts is
+    found for all batches of a run at once. A batch that is played again replaces what it left before."""
+    placed = batch.withColumn("row", F.monotonically_increasing_id())
+    package = F.coalesce(F.col("kind") == "pkg", F.lit(False)).alias("is_package")
+    rows, _ = drop_past(placed, "d", "observed")
+    offer = F.struct(*package_columns())
+    only = [offer[f].alias(f) for f in schemas.PACKAGE.fieldNames() if f not in schemas.OBSERVATION.fieldNames()]
+    made = rows.select(*observation_columns(), *only, package, "landed_at", "landed_in", "row")
+    shaped(made, _KEPT).write.mode("overwrite").parquet(f"{kept}/{_ROWS}/batch={batch_id}")
 
 
 def _batches(spark: SparkSession, kept: str) -> list[int]:
-    """Numbers of the kept batches; one that ended before its last kind was written does not count."""
-    found = [int(n.removeprefix("batch=")) for n in names_in(spark, f"{kept}/{OFFERS}") if n.startswith("batch=")]
-    return sorted(n for n in found if exists(spark, f"{kept}/{OFFERS}/batch={n}/_SUCCESS"))
+    """Numbers of the kept batches; one that ended before it was written does not count."""
+    found = [int(n.removeprefix("batch=")) for n in names_in(spark, f"{kept}/{_ROWS}") if n.startswith("batch=")]
+    return sorted(n for n in found if exists(spark, f"{kept}/{_ROWS}/batch={n}/_SUCCESS"))
 
 
 def _kept_rows(spark: SparkSession, kept: str, kind: str, batches: list[int]) -> DataFrame:
-    """The rows of kept batches, unique by key, as if these had been merged one after the other."""
+    """The rows of kept batches, unique by key, as if these had been merged one after the other: within a batch the
+    record of a key that landed last counts.
+
+    Only hashes of the keys are shuffled to find repeated ones; rows whose key comes once are taken as they are. For
+    runs that write their result inside a staging scope."""
     schema, keys, policy = _KINDS[kind]
-    base = f"{kept}/{kind}"
-    if len(batches) == 1:
-        return spark.read.schema(schema).parquet(f"{base}/batch={batches[0]}")
-    numbered = StructType([*schema.fields, StructField("batch", LongType())])
+    base = f"{kept}/{_ROWS}"
+    numbered = StructType([*_KEPT, StructField("batch", LongType())])
     rows = spark.read.schema(numbered).option("basePath", base).parquet(*[f"{base}/batch={n}" for n in batches])
-    return fold(rows, keys, policy, "batch").select(*schema.fieldNames())
+    rows = rows.where(F.col("is_package") if kind == OFFERS else ~F.col("is_package"))
+    mark = F.xxhash64(*keys).alias("mark")
+    repeated = stage(rows.groupBy(mark).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("mark"), "repeated")
+    if repeated.isEmpty():
+        return rows.select(*schema.fieldNames())
+    marked = rows.select("*", mark)
+    once = marked.join(repeated, "mark", "left_anti")
+    order = F.struct("landed_at", "landed_in", "row")
+    again = marked.join(repeated, "mark", "left_semi").select(*schema.fieldNames(), "batch", order.alias("ordinal"))
+    folded = fold(dedupe_last(again, [*keys, "batch"], "ordinal"), keys, policy, "batch")
+    return once.select(*schema.fieldNames()).unionByName(folded.select(*schema.fieldNames()))
 
 
-def merge_kept(spark: SparkSession, kept: str, path: str, package_path: str, last: str) -> None:
-    """Merge the kept batches into the date-partitioned observation and package tables, all at once.
+def _days(rows: DataFrame) -> list[str]:
+    return [r[0].isoformat() for r in rows.select("observed_date").distinct().collect()]  # days of one run
+
+
+@contextmanager
+def _merging(spark: SparkSession, kept: str) -> Iterator[None]:
+    """Tables staged in the block are removed at its end; its scans have tasks by the size of what was kept."""
+    with staging_scope(spark), scan_tasks(spark, stored_bytes(spark, f"{kept}/{_ROWS}") // _TASK_BYTES):
+        yield
+
 
-    The merged days are written below `kept` first and stay there until they have replaced the stored ones: if the
-    driver dies while they do, the next run takes them from there instead of merging with days of which some are already
-    replaced or gone. Batches up to the number in the file `last` are in the tables.
-    """
-    batches, paths = _batches(spark, kept), {TIMES: path, OFFERS: package_path}
+def _merge_kind(spark: SparkSession, kept: str, kind: str, batches: list[int], at: str) -> None:
+    """Merge the kept rows of one kind into its table.
+
+    Days that are not stored yet are written at once. A note below `kept` says so before: if the driver dies while they
+    are, what it left of them is replaced by the next run, not merged with. Else the merged days are written below
+    `kept` first and stay there until they have replaced the stored ones: the next run takes them from there instead
+    of merging with days of which some are already replaced or gone."""
+    schema, keys, policy = _KINDS[kind]
+    merged, fresh = f"{kept}/merged/{kind}", f"{kept}/fresh-{kind}"
+    with _merging(spark, kept):
+        if not exists(spark, f"{merged}/_SUCCESS"):
+            new = _kept_rows(spark, kept, kind, batches)
+            if not exists(spark, fresh) and {f"observed_date={d}" for d in _days(new)}.isdisjoint(names_in(spark, at)):
+                write_text(spark, fresh, "")
+            if exists(spark, fresh):
+                replace_partition(new, at, sort=keys)
+                return
+            new = stage(new, "batch")
+            old = current_partitions(spark, at, new.select("observed_date").distinct(), schema)
+            upsert(old, new, keys, policy, unique=True).write.mode("overwrite").parquet(merged)
+        replace_partition(spark.read.schema(schema).parquet(merged), at, sort=keys)
+
+
+def merge_kept(spark: SparkSession, kept: str, path: str, package_path: str, last: str) -> None:
+    """Merge the kept batches into the date-partitioned observation and package tables, all at once. Batches up to the
+    number in the file `last` are in the tables."""
+    batches = _batches(spark, kept)
     if batches:
-        for kind, at in paths.items():
-            if not exists(spark, f"{kept}/merged/{kind}/_SUCCESS"):
-                schema, keys, policy = _KINDS[kind]
-                with staging_scope(spark):
-                    new = stage(_kept_rows(spark, kept, kind, batches), "batch")
-                    old = current_partitions(spark, at, new.select("observed_date").distinct(), schema)
-                    rows = new if old is None else upsert(old, new, keys, policy, unique=True)
-                    rows.write.mode("overwrite").parquet(f"{kept}/merged/{kind}")
-        for kind, at in paths.items():
-            schema, keys, _ = _KINDS[kind]
-            replace_partition(spark.read.schema(schema).parquet(f"{kept}/merged/{kind}"), at, sort=keys)
+        for kind, at in ((TIMES, path), (OFFERS, package_path)):
+            _merge_kind(spark, kept, kind, batches, at)
         write_text(spark, last, str(batches[-1]))
-    for name in (OFFERS, TIMES, "merged"):
+    for name in (_ROWS, "merged", *[f"fresh-{kind}" for kind in _KINDS]):
         remove(spark, f"{kept}/{name}")
 
 
@@ -156,14 +199,15 @@ def publish_kept(store: Published, kept: str, name: str, package_name: str) -> N
     done = _published_up_to(change.notes(), name)
     batches = [n for n in _batches(spark, kept) if n > done]
     if batches:
-        with staging_scope(spark):
-            for table, kind in ((name, TIMES), (package_name, OFFERS)):
-                schema, keys, policy = _KINDS[kind]
-                new = stage(_kept_rows(spark, kept, kind, batches), "batch")
-                days = [r[0].isoformat() for r in new.select("observed_date").distinct().collect()]  # days of one run
-                old = change.read(table, schema, "observed_date", days)
-                merged = upsert(old, new, keys, policy, unique=True).select(*schema.fieldNames())
-                change.put(table, merged, "observed_date", keys, days)
+        for table, kind in ((name, TIMES), (package_name, OFFERS)):
+            schema, keys, policy = _KINDS[kind]
+            with _merging(spark, kept):
+                new = _kept_rows(spark, kept, kind, batches)
+                days = _days(new)
+                if not set(days).isdisjoint(change.tables.get(table, {})):
+                    old = change.read(table, schema, "observed_date", days)
+                    new = upsert(old, stage(new, "batch"), keys, policy, unique=True).select(*schema.fieldNames())
+                change.put(table, new, "observed_date", keys, days)
         change.note({f"{name}.batch": str(batches[-1])})
         change.publish()
     remove(spark, kept)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from frames import day, observation, observations, packages, rates, units
-from roomtide import fixtures, schemas
+from roomtide import fixtures, schemas, session
 from roomtide.functions import hours as H
 from roomtide.keys import OBSERVATION
 from roomtide.operators import occupancy, relational, revenue
@@ -134,6 +134,83 @@ def test_the_batches_of_a_run_are_published_together(spark, tmp_path):
     assert sorted((str(r.target_date), r.n_booked) for r in store.read("observation").collect()) == expected(3)
 
 
+def test_a_batch_is_kept_in_one_pass_without_a_shuffle(spark, tmp_path, monkeypatch):
+    slots(tmp_path / "in", 2)
+    staged, plans, real = [], [], landing.shaped
+    monkeypatch.setattr(landing, "stage", lambda df, label: staged.append(label))
+    monkeypatch.setattr(landing, "shaped", lambda df, schema: (plans.append(plan(df)), real(df, schema))[1])
+    batch = landing.ingest_stream(spark, str(tmp_path / "in"))
+    assert batch.isStreaming
+    landed = spark.read.schema(schemas.SLOT).json(str(tmp_path / "in")).select(
+        "*", F.col("_metadata.file_modification_time").alias("landed_at"), F.col("_metadata.file_path").alias("landed_in"))
+    landing.keep_batch(landed, 0, str(tmp_path / "kept"))
+    assert not staged and len(plans) == 1 and "Exchange" not in plans[0] and "Sort" not in plans[0]
+
+
+def test_days_that_are_not_stored_yet_are_not_merged(spark, tmp_path, monkeypatch):
+    slots(tmp_path / "in", 2)
+
+    def merged(*_, **__):
+        raise AssertionError("merged")
+
+    monkeypatch.setattr(landing, "upsert", merged)
+    store, table = published.Published(spark, str(tmp_path / "tables")), str(tmp_path / "table")
+    landing.publish_ingest(store, str(tmp_path / "in"), str(tmp_path / "cp"), "observation", "package")
+    landing.run_ingest(spark, str(tmp_path / "in"), table, str(tmp_path / "cp2"))
+    assert store.read("observation").count() == spark.read.schema(schemas.OBSERVATION).parquet(table).count() == 3
+    (tmp_path / "in" / "late.json").write_text((tmp_path / "in" / "0.json").read_text())
+    with pytest.raises(AssertionError, match="merged"):
+        landing.run_ingest(spark, str(tmp_path / "in"), table, str(tmp_path / "cp2"))
+
+
+def test_new_days_whose_writing_died_are_written_again_not_merged_with(spark, tmp_path, monkeypatch):
+    slots(tmp_path / "in", 2)
+    lost = json.loads((tmp_path / "in" / "0.json").read_text().split("\n")[0]) | {"space_id": None}
+    (tmp_path / "in" / "lost.json").write_text(json.dumps(lost))
+    real = landing.replace_partition
+
+    def dies(df, path, **o):
+        real(df, path, **o)
+        raise RuntimeError("killed")
+
+    table, cp = str(tmp_path / "table"), str(tmp_path / "cp")
+    with monkeypatch.context() as m:
+        m.setattr(landing, "replace_partition", dies)
+        with pytest.raises(Exception, match="killed"):
+            landing.run_ingest(spark, str(tmp_path / "in"), table, cp)
+    landing.run_ingest(spark, str(tmp_path / "in"), table, cp)
+    rows = spark.read.schema(schemas.OBSERVATION).parquet(table).collect()
+    assert sorted((r.space_id or 0, str(r.target_date)) for r in rows) == [(0, "2026-02-01"), (1, "2026-01-10"), (1, "2026-01-11"), (1, "2026-02-01")]
+    assert session.names_in(spark, f"{cp}-merged") == []
+
+
+def test_repeats_within_and_between_batches_are_folded_as_if_merged_one_by_one(spark, tmp_path):
+    folder = tmp_path / "in"
+    slots(folder, 3)
+    row = json.loads((folder / "0.json").read_text().split("\n")[0])
+    offer = {**row, "kind": "pkg", "package_id": 4, "name": "n", "shour": 1, "ehour": 2, "available": "true"}
+    for i in range(3):
+        more = [{**row, "space_id": None, "price": i}, {**row, "space_id": None, "price": 10 + i}, {**offer, "price": i}, {**offer, "price": 20 + i}]
+        with open(folder / f"{i}.json", "a") as f:
+            f.write("\n" + "\n".join(map(json.dumps, more)))
+        os.utime(folder / f"{i}.json", (1_770_000_000 + i, 1_770_000_000 + i))
+    table = str(tmp_path / "table")
+    landing.run_ingest(spark, str(folder), table, str(tmp_path / "cp"), files_per_batch=1)
+    rows = spark.read.schema(schemas.OBSERVATION).parquet(table).collect()
+    assert sorted(r.price for r in rows if r.space_id is None) == [10, 11, 12]  # a key with a null matches none of another batch
+    assert [(r.n_booked, r.wday) for r in rows if r.space_id and str(r.target_date) == "2026-02-01"] == [(3, "0")]
+    assert [r.price for r in spark.read.schema(schemas.PACKAGE).parquet(f"{table}-packages").collect()] == [22]
+
+
+def test_scans_have_tasks_by_the_size_of_what_was_kept(spark, tmp_path):
+    spark.range(200_000).repartition(1).write.parquet(str(tmp_path / "t"))
+    before = spark.conf.get("spark.sql.files.minPartitionNum", None)
+    with session.scan_tasks(spark, 7):
+        assert spark.conf.get("spark.sql.files.minPartitionNum") == "7"
+    assert spark.conf.get("spark.sql.files.minPartitionNum", None) == before
+    assert session.stored_bytes(spark, str(tmp_path / "t")) == sum(f.stat().st_size for f in (tmp_path / "t").glob("part*"))
+
+
 def test_days_carry_their_classes_before_they_are_unfolded(spark):
     obs = observations(spark, [observation(n, [n % 3, 5], observed=o) for o in (0, 1) for n in range(o + 1, 20)])
     days = occupancy.future_only(obs)
