@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .fixtures import AS_OF, Panel
+from .functions import hours as H
 from .keys import RATE
 from .session import shared_dir
 
@@ -52,13 +53,20 @@ def _ymd() -> list[Column]:
 
 def calendar_responses(obs: DataFrame) -> DataFrame:
     """One response per rate type and observation: its days, each with 24 time slots."""
-    times = F.transform(
+    hours = range(H.HOURS)
+    # Days of 24 prices, as all are, in generated code; hours are looked up one by one only in others.
+    listed = F.expr(
+        f"arrays_zip(array({', '.join(map(str, hours))}), hour_prices, "
+        f"array({', '.join(f'NOT array_contains(booked_hours, {h}S)' for h in hours)}))"
+    ).cast("array<struct<hour: int, price: int, available: boolean>>")
+    each = F.transform(
         "hour_prices",
         lambda p, h: F.struct(
             h.alias("hour"), p.alias("price"),
             (~F.array_contains("booked_hours", h.cast("short"))).alias("available"),
         ),
     )
+    times = F.when(F.size("hour_prices") == H.HOURS, listed).otherwise(each)
     hday = F.when(F.col("is_holiday"), "Y").otherwise("N").alias("hday")
     days = F.struct("target_date", *_ymd(), "wday", hday, times.alias("times"))
     grouped = obs.groupBy(*RATE, "observed_date").agg(F.sort_array(F.collect_list(days)).alias("days"))

@@ -22,14 +22,14 @@ def flatten_calendar(responses: DataFrame) -> DataFrame:
     )
     times = F.col("y.times")
     taken = F.filter(times, lambda t: ~F.coalesce(t["available"], F.lit(False)))
-    by_hour = F.transform(
-        F.sequence(F.lit(0), F.lit(HOURS - 1)),
-        lambda h: F.get(F.filter(times, lambda t: t["hour"] == h), F.lit(0))["price"],
-    )
+    # The first slot of each hour, found by its place. Spelled out, not a lambda in a lambda: stays in generated code.
+    by_hour = F.expr("array(" + ", ".join(
+        f"get(y.times.price, cast(array_position(y.times.hour, {h}) AS int) - 1)" for h in range(HOURS)
+    ) + ")")
     return day.select(
         *RATE, "observed", _date("y"), F.col("y.wday"), F.col("y.hday"),
         F.size(times).alias("n_slots"),
-        F.transform(taken, lambda t: t["hour"].cast("short")).alias("booked"),
+        taken["hour"].cast("array<smallint>").alias("booked"),
         by_hour.alias("hp"),
         F.get(times, F.lit(0))["price"].alias("price"),
     )

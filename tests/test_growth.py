@@ -8,12 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from frames import day, observation, observations, packages, rates, units
-from roomtide import fixtures, schemas, session
+from roomtide import fixtures, landed, schemas, session
 from roomtide.functions import hours as H
 from roomtide.keys import OBSERVATION
 from roomtide.operators import occupancy, relational, revenue
 from roomtide.operators import packages as pk
-from roomtide.sources import published, writers
+from roomtide.sources import calendar, published, writers
 from roomtide.streaming import landing
 
 LINE = ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
@@ -211,6 +211,26 @@ def test_scans_have_tasks_by_the_size_of_what_was_kept(spark, tmp_path):
     assert session.stored_bytes(spark, str(tmp_path / "t")) == sum(f.stat().st_size for f in (tmp_path / "t").glob("part*"))
 
 
+def test_hours_of_a_calendar_day_are_found_without_a_lambda_in_a_lambda(spark):
+    schema = "space_id long, product_id long, rsv_type_id long, observed string, days array<struct<year: int, month: int, day: int, wday: string, hday: string, times: array<struct<hour: int, price: int, available: boolean>>>>"
+    times = [(3, 30, True), (1, 10, False), (3, 31, False), (None, 5, True), None, (24, 9, None), (2, None, True), (2, 20, True)]
+    days = [(2026, 1, 20, "2", "N", times), (2026, 1, 21, "3", "N", []), (2026, 1, 22, "4", "N", None)]
+    flat = calendar.flatten_calendar(spark.createDataFrame([(1, 1, 1, "2026-01-02", days)], schema))
+    r, = flat.collect()
+    assert r.hp == [None, 10, None, 30, *[None] * 20] and (r.n_slots, r.price, r.d) == (8, 30, "2026-01-20")
+    assert r.booked == [1, 3, None, 24]
+    assert dict(flat.dtypes)["booked"] == "array<smallint>" and dict(flat.dtypes)["hp"] == "array<int>"
+    assert "sequence" not in plan(flat.select("hp"), "analyzed")
+
+
+def test_responses_list_the_hours_of_whole_and_of_other_days(spark):
+    obs = observations(spark, [observation(1, [0, 23], prices=[*range(23), None]), observation(2, [1], prices=[7, 8]), observation(3, [], prices=[])])
+    r, = landed.calendar_responses(obs).collect()
+    whole, two, none = (y.times for y in r.days)
+    assert [tuple(t) for t in whole] == [(h, h if h < 23 else None, h not in (0, 23)) for h in range(24)]
+    assert [tuple(t) for t in two] == [(0, 7, True), (1, 8, False)] and none == []
+
+
 def test_days_carry_their_classes_before_they_are_unfolded(spark):
     obs = observations(spark, [observation(n, [n % 3, 5], observed=o) for o in (0, 1) for n in range(o + 1, 20)])
     days = occupancy.future_only(obs)
