@@ -18,22 +18,25 @@ WINDOW = ["shour", "ehour"]
 BLOCK = [*OBSERVATION, "blk"]
 
 
-def latest_packages(packages: DataFrame, snap) -> DataFrame:
-    """Last positive price of each package and day seen before that day. The rate type is not
-    part of the key."""
+def _seen_prices(packages: DataFrame, snap) -> DataFrame:
     seen = packages.where(
         (F.col("observed_date") <= F.lit(snap).cast("date"))
         & (F.col("observed_date") < F.col("target_date"))
         & (F.col("price") > 0)
     )
-    slim = seen.select(*RATE, "package_id", "target_date", "observed_date", *WINDOW, "price")
-    return latest_per(slim, [*UNIT, "package_id", "target_date"], "observed_date")
+    return seen.select(*RATE, "package_id", "target_date", "observed_date", *WINDOW, "price")
+
+
+def latest_packages(packages: DataFrame, snap) -> DataFrame:
+    """Last positive price of each package and day seen before that day. The rate type is not
+    part of the key."""
+    return latest_per(_seen_prices(packages, snap), [*UNIT, "package_id", "target_date"], "observed_date")
 
 
 def roll_latest_packages(previous: DataFrame, new: DataFrame, snap) -> DataFrame:
-    """`latest_packages` brought forward by new observation days. The result can stand in for the
+    """`latest_packages` brought forward by new observation days, in one grouping. The result can stand in for the
     whole price history wherever `packages` is asked for."""
-    merged = previous.unionByName(latest_packages(new, snap))
+    merged = previous.unionByName(_seen_prices(new, snap))
     return latest_per(merged, [*UNIT, "package_id", "target_date"], "observed_date")
 
 

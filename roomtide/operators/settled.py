@@ -21,18 +21,22 @@ def past_seen_before(obs: DataFrame, as_of) -> DataFrame:
     return future_only(obs).where(F.col("target_date") < F.lit(as_of).cast("date"))
 
 
+def _seen(obs: DataFrame) -> DataFrame:
+    cols = [*RATE_DAY, "observed_date", "is_holiday", "booked_mask", "price", "hour_prices"]
+    return with_masks(future_only(obs)).select(*cols)
+
+
 def last_seen(obs: DataFrame) -> DataFrame:
     """The last observation before the day per rate type and target date."""
-    cols = [*RATE_DAY, "observed_date", "is_holiday", "booked_mask", "price", "hour_prices"]
-    return latest_per(with_masks(future_only(obs)).select(*cols), RATE_DAY, "observed_date")
+    return latest_per(_seen(obs), RATE_DAY, "observed_date")
 
 
 def roll_last_seen(previous: DataFrame, new_obs: DataFrame) -> DataFrame:
     """`last_seen` brought forward by new observation days, without reading the old panel again.
 
-    Keep the result as a table and each day costs one observation day plus the kept rows.
+    Keep the result as a table and each day costs one observation day plus the kept rows, which meet in one grouping.
     """
-    return latest_per(previous.unionByName(last_seen(new_obs)), RATE_DAY, "observed_date")
+    return latest_per(previous.unionByName(_seen(new_obs)), RATE_DAY, "observed_date")
 
 
 def counted_days(

@@ -7,11 +7,11 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from frames import day, observation, observations, packages, rates, units
+from frames import day, observation, observations, package, packages, rates, units
 from roomtide import fixtures, landed, schemas, session
 from roomtide.functions import hours as H
 from roomtide.keys import OBSERVATION
-from roomtide.operators import occupancy, relational, revenue
+from roomtide.operators import occupancy, relational, revenue, settled
 from roomtide.operators import packages as pk
 from roomtide.sources import calendar, published, writers
 from roomtide.streaming import landing
@@ -231,6 +231,23 @@ def test_responses_list_the_hours_of_whole_and_of_other_days(spark):
     assert [tuple(t) for t in two] == [(0, 7, True), (1, 8, False)] and none == []
 
 
+def test_kept_rows_and_those_of_new_days_meet_in_one_grouping(spark):
+    obs = observations(spark, [observation(n, [o], observed=o, price=100 + o) for o in (0, 1, 2) for n in range(o + 1, 6)])
+    on = lambda df, cond: df.where(cond)
+    first, new = settled.last_seen(on(obs, F.col("observed_date") == day(0))), on(obs, F.col("observed_date") > day(0))
+    kept = spark.createDataFrame(first.collect(), first.schema)
+    rolled = settled.roll_last_seen(kept, new)
+    assert plan(rolled).count("Exchange") == 1
+    assert sorted((r.target_date, r.observed_date, r.price) for r in rolled.collect()) == sorted(
+        (r.target_date, r.observed_date, r.price) for r in settled.last_seen(obs).collect())
+    offers = packages(spark, [package(5, 1, 2, 10 + o, observed=o) for o in (0, 1, 2)] + [package(6, 1, 2, 0, observed=2), package(6, 1, 2, 7, observed=0)])
+    old = pk.latest_packages(on(offers, F.col("observed_date") == day(0)), day(0).isoformat())
+    held = spark.createDataFrame(old.collect(), old.schema)
+    prices = pk.roll_latest_packages(held, on(offers, F.col("observed_date") > day(0)), day(2).isoformat())
+    assert plan(prices).count("Exchange") == 1
+    assert sorted((r.target_date, r.price) for r in prices.collect()) == [(day(5), 12), (day(6), 7)]
+
+
 def test_days_carry_their_classes_before_they_are_unfolded(spark):
     obs = observations(spark, [observation(n, [n % 3, 5], observed=o) for o in (0, 1) for n in range(o + 1, 20)])
     days = occupancy.future_only(obs)
